@@ -86,8 +86,12 @@ def value_counts_by_side(ref: DataFrame, cur: DataFrame, cols: list[str]) -> Dat
         F.sum(F.lit(1) - F.col("is_ref")).cast("long").alias("n_cur"))
 
 
+def _round(c: Column, places: int | None) -> Column:
+    return c if places is None else F.bround(c, places)
+
+
 def ks_statistics(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATURES,
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int | None = None, places: int | None = 4) -> DataFrame:
     """D1 + D2: (ord, column, ks_statistic, p_value, drifted, n_ref, n_cur).
 
     Columns absent on either side are skipped; a side with < 2 values gives
@@ -97,19 +101,19 @@ def ks_statistics(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEAT
     cols = [c for c in cols if c in ref.columns and c in cur.columns]
     g = value_counts_by_side(ref, cur, cols)
     g = running_totals(g, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
-    tot = g.groupBy("column").agg(F.sum("n_ref").alias("N_ref"), F.sum("n_cur").alias("N_cur"))
+    tot = g.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     g = g.join(F.broadcast(tot), "column")   # one row per monitored column
-    diff = F.abs(F.col("cum_n_ref") / F.col("N_ref") - F.col("cum_n_cur") / F.col("N_cur"))
-    d = g.groupBy("column", "N_ref", "N_cur").agg(F.max(diff).alias("d"))
+    diff = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
+    d = g.groupBy("column", "tot_ref", "tot_cur").agg(F.max(diff).alias("d"))
     order = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
-    ok = (F.col("N_ref") > 1) & (F.col("N_cur") > 1)
-    p = ks_pvalue(F.col("d"), F.col("N_ref"), F.col("N_cur"))
+    ok = (F.col("tot_ref") > 1) & (F.col("tot_cur") > 1)
+    p = ks_pvalue(F.col("d"), F.col("tot_ref"), F.col("tot_cur"))
     out = d.select(
         order[F.col("column")].alias("ord"), "column",
-        F.when(ok, F.bround(F.col("d"), 4)).alias("ks_statistic"),
-        F.when(ok, F.bround(p, 4)).alias("p_value"),
+        F.when(ok, _round(F.col("d"), places)).alias("ks_statistic"),
+        F.when(ok, _round(p, places)).alias("p_value"),
         F.coalesce(ok & (p < P_THRESHOLD), F.lit(False)).alias("drifted"),
-        F.col("N_ref").alias("n_ref"), F.col("N_cur").alias("n_cur"))
+        F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"))
     # a column with no values at all on a side still gets a row
     allc = ref.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "ord int, column string")
     return allc.join(out.drop("ord"), "column", "left").select(
@@ -173,25 +177,29 @@ def second_test(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATUR
     per_col = g.groupBy("column").agg(
         F.count_if(F.col("n_ref") > 0).alias("k_ref"),
         F.count(F.lit(1)).alias("k"),
-        F.sum("n_ref").alias("N_ref"), F.sum("n_cur").alias("N_cur"),
+        F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
         F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("mean_ref"),
         F.try_divide(F.sum(F.col("value") * F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("m2_ref"))
     per_col = per_col.withColumn(
         "std_ref", F.sqrt(F.greatest(F.col("m2_ref") - F.col("mean_ref") * F.col("mean_ref"), F.lit(0.0))))
     gj = g.join(F.broadcast(per_col), "column")   # one row per column
     # chi-square part
-    exp_ = F.col("n_ref") * (F.col("N_cur").cast("double") / F.col("N_ref"))
+    exp_ = F.col("n_ref") * (F.col("tot_cur").cast("double") / F.col("tot_ref"))
     chi = gj.filter(F.col("k_ref") <= max_values).groupBy("column", "k").agg(
-        F.sum(F.try_divide((F.col("n_cur") - exp_) ** 2, exp_)).alias("statistic"))
+        F.sum(F.when(exp_ > 0, (F.col("n_cur") - exp_) ** 2 / exp_)).alias("_stat"),
+        F.count_if((F.col("n_ref") == 0) & (F.col("n_cur") > 0)).alias("_new"))
+    # a value never seen in the reference makes the statistic infinite: null here, drifted
+    chi = chi.withColumn("statistic", F.when(F.col("_new") == 0, F.col("_stat")))
     crit = F.element_at(F.array(*[F.lit(v) for v in CHI2_CRITICAL_95]),
                         F.least(F.greatest(F.col("k") - 1, F.lit(1)), F.lit(len(CHI2_CRITICAL_95))).cast("int"))
     chi = chi.select("column", F.lit("chi_square").alias("test"), "statistic",
-                     crit.alias("threshold"), F.coalesce(F.col("statistic") > crit, F.lit(False)).alias("drifted"))
+                     crit.alias("threshold"),
+                     ((F.col("_new") > 0) | F.coalesce(F.col("statistic") > crit, F.lit(False))).alias("drifted"))
     # Wasserstein part
-    wg = gj.filter(F.col("k_ref") > max_values).select("column", "value", "n_ref", "n_cur", "N_ref", "N_cur", "std_ref")
+    wg = gj.filter(F.col("k_ref") > max_values).select("column", "value", "n_ref", "n_cur", "tot_ref", "tot_cur", "std_ref")
     wg = running_totals(wg, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
     wg = with_next_value(wg, "value", keys=["column"], buckets=buckets)
-    step = F.abs(F.col("cum_n_ref") / F.col("N_ref") - F.col("cum_n_cur") / F.col("N_cur")) * (
+    step = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur")) * (
         F.col("next_value") - F.col("value"))
     w = wg.groupBy("column", "std_ref").agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("w1"))
     w = w.select("column", F.lit("wasserstein_norm").alias("test"),
@@ -202,7 +210,7 @@ def second_test(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATUR
 
 
 def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
-                buckets: int | None = None) -> DataFrame:
+                buckets: int | None = None, places: int | None = 4) -> DataFrame:
     """KS of one reference against every time slice ``window`` of ``cur``.
 
     Per window w with sorted distinct values x_1 < ... < x_m, the largest gap
@@ -219,27 +227,27 @@ def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
     points = c.select("v").distinct().withColumn("n_ref", F.lit(0).cast("long"))
     allv = ref_counts.unionByName(points).groupBy("v").agg(F.sum("n_ref").alias("n_ref"))
     allv = running_totals(allv, "v", ["n_ref"], buckets=buckets)
-    n_ref = r.agg(F.count(F.lit(1)).alias("N_ref"))
+    n_ref = r.agg(F.count(F.lit(1)).alias("tot_ref"))
     cdf = allv.crossJoin(F.broadcast(n_ref)).select(   # one-row broadcast
-        "v", (F.col("cum_n_ref") / F.col("N_ref")).alias("f_ref"),
-        ((F.col("cum_n_ref") - F.col("n_ref")) / F.col("N_ref")).alias("f_ref_below"), "N_ref")
+        "v", (F.col("cum_n_ref") / F.col("tot_ref")).alias("f_ref"),
+        ((F.col("cum_n_ref") - F.col("n_ref")) / F.col("tot_ref")).alias("f_ref_below"), "tot_ref")
     wc = c.groupBy("w", "v").agg(F.count(F.lit(1)).cast("long").alias("n_cur"))
     wc = running_totals(wc, "v", ["n_cur"], keys=["w"], buckets=buckets)
     wc = with_next_value(wc, "v", keys=["w"], buckets=buckets)
-    wn = wc.groupBy("w").agg(F.sum("n_cur").alias("N_cur"), F.min("v").alias("v_first"))
+    wn = wc.groupBy("w").agg(F.sum("n_cur").alias("tot_cur"), F.min("v").alias("v_first"))
     wc = wc.join(wn, "w").join(cdf, "v")
     nxt = cdf.select(F.col("v").alias("next_v"), F.col("f_ref_below").alias("f_ref_below_next"))
     wc = wc.join(nxt, "next_v", "left")
-    f_w = F.col("cum_n_cur") / F.col("N_cur")
+    f_w = F.col("cum_n_cur") / F.col("tot_cur")
     gap = F.greatest(
         F.abs(F.col("f_ref") - f_w),
         F.coalesce(F.abs(F.col("f_ref_below_next") - f_w), F.lit(0.0)),
         F.when(F.col("v") == F.col("v_first"), F.col("f_ref_below")).otherwise(F.lit(0.0)))
-    d = wc.groupBy("w", "N_ref", "N_cur").agg(F.max(gap).alias("d"))
-    ok = (F.col("N_ref") > 1) & (F.col("N_cur") > 1)
-    p = ks_pvalue(F.col("d"), F.col("N_ref"), F.col("N_cur"))
+    d = wc.groupBy("w", "tot_ref", "tot_cur").agg(F.max(gap).alias("d"))
+    ok = (F.col("tot_ref") > 1) & (F.col("tot_cur") > 1)
+    p = ks_pvalue(F.col("d"), F.col("tot_ref"), F.col("tot_cur"))
     return d.select(F.col("w").alias(window),
-                    F.when(ok, F.bround("d", 4)).alias("ks_statistic"),
-                    F.when(ok, F.bround(p, 4)).alias("p_value"),
+                    F.when(ok, _round(F.col("d"), places)).alias("ks_statistic"),
+                    F.when(ok, _round(p, places)).alias("p_value"),
                     F.coalesce(ok & (p < P_THRESHOLD), F.lit(False)).alias("drifted"),
-                    F.col("N_ref").cast("long").alias("n_ref"), F.col("N_cur").cast("long").alias("n_cur"))
+                    F.col("tot_ref").cast("long").alias("n_ref"), F.col("tot_cur").cast("long").alias("n_cur"))

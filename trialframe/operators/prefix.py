@@ -1,15 +1,16 @@
 """Ordered running totals that do not funnel into one task.
 
 A plain ``Window.orderBy(v)`` (no partition) or ``partitionBy(column)``
-with a dozen columns runs in one / a dozen tasks.  Here the rows are
-range-partitioned on (keys, order) into balanced buckets (Spark samples the
-bounds), running sums are computed inside each bucket, and each bucket gets
-the total of all earlier buckets of the same key as an offset.  The offset
-table has at most (#buckets + #keys) rows, so broadcasting it is bounded by
-the partition count, not by the data.
+with a dozen columns runs in one / a dozen tasks.  Here every row gets a
+value bucket (equal width over the key's exact [min, max], so the bucket of
+a row is a pure function of its value and is the same in every consumer
+and every retry), running sums are computed inside each (key, bucket)
+window, and each bucket adds the total of all earlier buckets of its key as
+an offset.  The offset table has one row per non-empty (key, bucket).
 
 Callers first aggregate to distinct order values, so a value that holds a
-third of all rows is one row here.
+third of all rows is one row here.  ``buckets`` sets the number of buckets
+per key; the (key, bucket) windows are spread over tasks by hash.
 """
 
 from __future__ import annotations
@@ -17,6 +18,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+DEFAULT_BUCKETS = 1024
+
+
+def _with_bucket(df: DataFrame, order: str, keys: list[str], n: int) -> DataFrame:
+    rng = df.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    r = df.join(rng, keys) if keys else df.crossJoin(F.broadcast(rng))  # no keys: one row
+    width = F.col("_hi") - F.col("_lo")
+    pos = F.floor((F.col(order) - F.col("_lo")) / width * F.lit(n))
+    b = F.when(width > 0, F.least(pos, F.lit(n - 1))).otherwise(F.lit(0)).cast("int")
+    return r.withColumn("_b", b).drop("_lo", "_hi")
+
 
 def running_totals(df: DataFrame, order: str, sums: list[str], keys: list[str] | None = None,
                    buckets: int | None = None) -> DataFrame:
@@ -25,10 +37,8 @@ def running_totals(df: DataFrame, order: str, sums: list[str], keys: list[str] |
     Ties in ``order`` must already be aggregated (one row per key/value).
     """
     keys = list(keys or [])
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *keys, order).withColumn("_b", F.spark_partition_id())
-    w_in = (Window.partitionBy("_b", *keys).orderBy(order)
+    r = _with_bucket(df, order, keys, buckets or DEFAULT_BUCKETS)
+    w_in = (Window.partitionBy(*keys, "_b").orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     r = r.withColumns({f"_in_{c}": F.sum(c).over(w_in) for c in sums})
     totals = r.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
@@ -36,7 +46,7 @@ def running_totals(df: DataFrame, order: str, sums: list[str], keys: list[str] |
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(*keys, "_b", *[
         F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sums])
-    out = r.join(F.broadcast(offsets), [*keys, "_b"])
+    out = r.join(offsets, [*keys, "_b"])
     out = out.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.col(f"_in_{c}") for c in sums})
     return out.drop("_b", *[f"_in_{c}" for c in sums], *[f"_o_{c}" for c in sums])
 
@@ -45,18 +55,16 @@ def with_next_value(df: DataFrame, order: str, keys: list[str] | None = None,
                     buckets: int | None = None) -> DataFrame:
     """Add ``next_<order>``: the next larger order value within the same keys.
 
-    Bucketed like :func:`running_totals`: ``lead`` inside each bucket, and the
-    first value of the following bucket for a bucket's last row.
+    ``lead`` inside each bucket; a bucket's last row takes the first value
+    of the next non-empty bucket.
     """
     keys = list(keys or [])
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, *keys, order).withColumn("_b", F.spark_partition_id())
-    w_in = Window.partitionBy("_b", *keys).orderBy(order)
+    r = _with_bucket(df, order, keys, buckets or DEFAULT_BUCKETS)
+    w_in = Window.partitionBy(*keys, "_b").orderBy(order)
     r = r.withColumn("_lead", F.lead(order).over(w_in))
     firsts = r.groupBy(*keys, "_b").agg(F.min(order).alias("_first"))
     w_next = Window.partitionBy(*keys).orderBy("_b")
     nxt = firsts.select(*keys, "_b", F.lead("_first").over(w_next).alias("_next_first"))
-    out = r.join(F.broadcast(nxt), [*keys, "_b"])
+    out = r.join(nxt, [*keys, "_b"])
     out = out.withColumn(f"next_{order}", F.coalesce(F.col("_lead"), F.col("_next_first")))
     return out.drop("_b", "_lead", "_next_first")
