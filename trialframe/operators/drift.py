@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from trialframe.operators.prefix import running_totals, with_next_value
 from trialframe.operators.quantiles import stack_long
+from trialframe.session import cut_lineage
 
 # Monitored columns, p-value threshold and drift share gate.
 MONITOR_FEATURES = [
@@ -79,9 +80,19 @@ def _sides(ref: DataFrame, cur: DataFrame, cols: list[str], keys: list[str]) ->
     return r.unionByName(c)
 
 
-def value_counts_by_side(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, value, n_ref, n_cur): distinct values with per-side counts."""
-    return _sides(ref, cur, cols, []).groupBy("column", "value").agg(
+def value_counts_by_side(ref: DataFrame, cur: DataFrame | None, cols: list[str],
+                         side: Column | None = None) -> DataFrame:
+    """(column, value, n_ref, n_cur): distinct values with per-side counts.
+
+    Either two DataFrames, or one DataFrame (``ref``) and a boolean ``side``
+    expression that is true on reference rows: then the table is scanned and
+    stacked once.
+    """
+    if cur is None:
+        long = stack_long(ref.withColumn("is_ref", side.cast("int")), cols, keep=["is_ref"])
+    else:
+        long = _sides(ref, cur, cols, [])
+    return long.groupBy("column", "value").agg(
         F.sum("is_ref").cast("long").alias("n_ref"),
         F.sum(F.lit(1) - F.col("is_ref")).cast("long").alias("n_cur"))
 
@@ -90,16 +101,18 @@ def _round(c: Column, places: int | None) -> Column:
     return c if places is None else F.bround(c, places)
 
 
-def ks_statistics(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATURES,
-                  buckets: int | None = None, places: int | None = 4) -> DataFrame:
+def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR_FEATURES,
+                  buckets: int | None = None, places: int | None = 4,
+                  side: Column | None = None) -> DataFrame:
     """D1 + D2: (ord, column, ks_statistic, p_value, drifted, n_ref, n_cur).
 
     Columns absent on either side are skipped; a side with < 2 values gives
     null statistic and ``drifted = false``.  Statistic and p-value are
     rounded to 4; ``drifted`` uses the unrounded p.
     """
-    cols = [c for c in cols if c in ref.columns and c in cur.columns]
-    g = value_counts_by_side(ref, cur, cols)
+    cols = [c for c in cols if c in ref.columns and (cur is None or c in cur.columns)]
+    # the distinct-value table feeds several branches: materialize it once
+    g = cut_lineage(value_counts_by_side(ref, cur, cols, side))
     g = running_totals(g, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
     tot = g.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     g = g.join(F.broadcast(tot), "column")   # one row per monitored column
@@ -161,8 +174,9 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATU
     return s.crossJoin(n)
 
 
-def second_test(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATURES,
-                max_values: int = CHI_SQUARE_MAX_VALUES, buckets: int | None = None) -> DataFrame:
+def second_test(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR_FEATURES,
+                max_values: int = CHI_SQUARE_MAX_VALUES, buckets: int | None = None,
+                side: Column | None = None) -> DataFrame:
     """Per column, chi-square goodness of fit (<= ``max_values`` distinct
     reference values) or normed Wasserstein-1 (others).
 
@@ -172,8 +186,8 @@ def second_test(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATUR
     Wasserstein: sum |F_ref - F_cur| dx over sorted distinct values divided by
     the reference population std; drifted above 0.1.
     """
-    cols = [c for c in cols if c in ref.columns and c in cur.columns]
-    g = value_counts_by_side(ref, cur, cols)
+    cols = [c for c in cols if c in ref.columns and (cur is None or c in cur.columns)]
+    g = cut_lineage(value_counts_by_side(ref, cur, cols, side))
     per_col = g.groupBy("column").agg(
         F.count_if(F.col("n_ref") > 0).alias("k_ref"),
         F.count(F.lit(1)).alias("k"),
@@ -225,13 +239,13 @@ def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
         F.col("v").isNotNull())
     ref_counts = r.groupBy("v").agg(F.count(F.lit(1)).cast("long").alias("n_ref"))
     points = c.select("v").distinct().withColumn("n_ref", F.lit(0).cast("long"))
-    allv = ref_counts.unionByName(points).groupBy("v").agg(F.sum("n_ref").alias("n_ref"))
+    allv = cut_lineage(ref_counts.unionByName(points).groupBy("v").agg(F.sum("n_ref").alias("n_ref")))
     allv = running_totals(allv, "v", ["n_ref"], buckets=buckets)
     n_ref = r.agg(F.count(F.lit(1)).alias("tot_ref"))
     cdf = allv.crossJoin(F.broadcast(n_ref)).select(   # one-row broadcast
         "v", (F.col("cum_n_ref") / F.col("tot_ref")).alias("f_ref"),
         ((F.col("cum_n_ref") - F.col("n_ref")) / F.col("tot_ref")).alias("f_ref_below"), "tot_ref")
-    wc = c.groupBy("w", "v").agg(F.count(F.lit(1)).cast("long").alias("n_cur"))
+    wc = cut_lineage(c.groupBy("w", "v").agg(F.count(F.lit(1)).cast("long").alias("n_cur")))
     wc = running_totals(wc, "v", ["n_cur"], keys=["w"], buckets=buckets)
     wc = with_next_value(wc, "v", keys=["w"], buckets=buckets)
     wn = wc.groupBy("w").agg(F.sum("n_cur").alias("tot_cur"), F.min("v").alias("v_first"))

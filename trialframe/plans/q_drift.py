@@ -21,11 +21,20 @@ from trialframe.sources.tables import read_table, trials
 
 
 def drift_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    f = engineer_features(shifted_production(trials(spark, sf_dir)), scale="batch", by="side")
-    f = f.select("side", *MONITOR_FEATURES)
+    f = drift_table(spark, sf_dir)
     return f.filter(F.col("side") == "reference"), f.filter(F.col("side") == "production")
 
 
+def drift_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides in one table (scanned once); ``side`` tells them apart."""
+    f = engineer_features(shifted_production(trials(spark, sf_dir)), scale="batch", by="side")
+    return f.select("side", *MONITOR_FEATURES)
+
+
+def is_ref():
+    return F.col("side") == "reference"
+
+
 _LONG = " UNION ALL ".join(
     f"SELECT {i} AS ord, '{c}' AS \"column\", side, CAST({c} AS DOUBLE) AS value FROM feat WHERE {c} IS NOT NULL"
     for i, c in enumerate(MONITOR_FEATURES))
@@ -51,8 +60,7 @@ SELECT ord, "column", ROUND(d, 4) + 0e0 AS ks_statistic, ROUND(p, 4) + 0e0 AS p_
        COALESCE(p < {P_THRESHOLD}, false) AS drifted, n_ref, n_cur FROM ks""", extra_ctes=_DRIFT_CTES))
 def ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 + D2: two-sample KS per monitored column, reference vs shifted production."""
-    ref, cur = drift_sides(spark, sf_dir)
-    k = ks_statistics(ref, cur, places=None)
+    k = ks_statistics(drift_table(spark, sf_dir), None, places=None, side=is_ref())
     return k.withColumns({"ks_statistic": rnd("ks_statistic", 4), "p_value": rnd("p_value", 4)})
 
 
@@ -71,10 +79,10 @@ FROM (SELECT CAST(count(*) FILTER (WHERE COALESCE(p < {P_THRESHOLD}, false)) AS
       FROM ks) s""", extra_ctes=_DRIFT_CTES))
 def drift_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 + D6 + D7: dataset verdict, alert (or) and retrain (and) decisions."""
-    ref, cur = drift_sides(spark, sf_dir)
-    per = ks_statistics(ref, cur)
-    n = ref.agg(F.count(F.lit(1)).cast("long").alias("n_reference_samples")).crossJoin(
-        cur.agg(F.count(F.lit(1)).cast("long").alias("n_current_samples")))
+    t = drift_table(spark, sf_dir)
+    per = ks_statistics(t, None, side=is_ref())
+    n = t.agg(F.count_if(is_ref()).cast("long").alias("n_reference_samples"),
+              F.count_if(~is_ref()).cast("long").alias("n_current_samples"))
     s = drift_summary(per, 0, 0).drop("n_reference_samples", "n_current_samples").crossJoin(n)
     return s.select("n_drifted_features", "n_total_features", rnd("share_drifted_features", 4).alias(
         "share_drifted_features"), F.array_join("drifted_columns", ",").alias("drifted_columns"),
@@ -109,8 +117,7 @@ k AS (SELECT "column", count(*) FILTER (WHERE n_ref > 0) AS k_ref,
       FROM g GROUP BY 1)"""))
 def second_drift_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chi-square (few distinct values) or normed Wasserstein (others) per column."""
-    ref, cur = drift_sides(spark, sf_dir)
-    s = second_test(ref, cur)
+    s = second_test(drift_table(spark, sf_dir), None, side=is_ref())
     return s.select("column", "test", r6("statistic").alias("statistic"), r6("threshold").alias("threshold"),
                     "drifted")
 
