@@ -75,13 +75,14 @@ def lipinski_ok(mw: Column, logp: Column, hbd: Column, hba: Column) -> Column:
     return ((mw <= 500) & (logp <= 5) & (hbd <= 5) & (hba <= 10)).cast("double")
 
 
-def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trials(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """The raw trial table as a projection of lineitem/orders/part/customer.
 
     Columns: the 21 raw columns, plus ``row_key`` (unique), ``noise`` (the
-    label's random term) and ``side`` (reference / production).
+    label's random term) and ``side`` (reference / production).  A streaming
+    ``lineitem`` may be passed: the dimension joins are then stream-static.
     """
-    li = read_table(spark, sf_dir, "lineitem")
+    li = lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
