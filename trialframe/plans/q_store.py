@@ -70,7 +70,7 @@ def latest_version_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("registry_current", with_trials("""
 SELECT h.*, best_f1 >= 0.72 AS qualified_for_production,
-       version = (SELECT arg_max(version, (registered_at, version)) FROM h WHERE best_f1 >= 0.72) AS is_current
+       COALESCE(version = (SELECT arg_max(version, (registered_at, version)) FROM h WHERE best_f1 >= 0.72), false) AS is_current
 FROM h""", extra_ctes="""h AS (
   SELECT 'drug_efficacy_classifier' AS model_name, batch_id AS version, max(ingestion_timestamp) AS registered_at,
          ROUND(CASE WHEN 2 * count(*) FILTER (WHERE efficacy_label = 1 AND noise >= 0.5)
