@@ -96,3 +96,13 @@ def test_entry_and_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_pipeline_job_runs_all_stages(spark, tmpdir_path):
+    from trialframe.plans.jobs import STAGES, run_pipeline
+    from trialframe.sources.audit import read_audit
+    stages, summary = run_pipeline(spark, SF_SMALL, tmpdir_path, candidates=["logistic_regression"])
+    rows = stages.collect()
+    assert [r.stage for r in rows] == STAGES, [(r.stage, r.status, r.error) for r in rows]
+    assert summary.first().all_passed
+    assert read_audit(spark, f"{tmpdir_path}/registry/../audit").count() == len(STAGES)
