@@ -2,8 +2,8 @@
 
 A plain ``Window.orderBy(v)`` (no partition) or ``partitionBy(column)``
 with a dozen columns runs in one / a dozen tasks.  Here every row gets a
-value bucket (equal width over the key's exact [min, max], so the bucket of
-a row is a pure function of its value and is the same in every consumer
+value bucket (equal width, on a sign(v)*log1p(|v|) scale, over the key's
+exact [min, max], so the bucket of a row is a pure function of its value and is the same in every consumer
 and every retry), running sums are computed inside each (key, bucket)
 window, and each bucket adds the total of all earlier buckets of its key as
 an offset.  The offset table has one row per non-empty (key, bucket).
@@ -19,25 +19,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 1024
+ROWS_PER_BUCKET = 2_000_000   # more buckets for bigger keys: a bucket stays one task's worth
 
 
-def _with_bucket(df: DataFrame, order: str, keys: list[str], n: int) -> DataFrame:
-    rng = df.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+def _squash(c):
+    """Monotone sign(v) * log1p(|v|): equal-width buckets on this scale stay
+    balanced for heavy-tailed values (outliers no longer stretch the range)."""
+    c = c.cast("double")
+    return F.signum(c) * F.log1p(F.abs(c))
+
+
+def _with_bucket(df: DataFrame, order: str, keys: list[str], n: int, scale: str = "log") -> DataFrame:
+    """Bucket id per row.  ``scale``: "log" (sign*log1p, for measurements that may
+    be heavy-tailed) or "linear" (for values spread evenly, such as hashes).
+    The bucket count per key is at least ``n`` and grows with the key's rows."""
+    f = _squash if scale == "log" else (lambda c: c.cast("double"))
+    rng = df.groupBy(*keys).agg(f(F.min(order)).alias("_lo"), f(F.max(order)).alias("_hi"),
+                                F.count(F.lit(1)).alias("_cnt"))
+    rng = rng.withColumn("_nb", F.greatest(F.lit(n), F.ceil(F.col("_cnt") / F.lit(ROWS_PER_BUCKET))))
     r = df.join(rng, keys) if keys else df.crossJoin(F.broadcast(rng))  # no keys: one row
     width = F.col("_hi") - F.col("_lo")
-    pos = F.floor((F.col(order) - F.col("_lo")) / width * F.lit(n))
-    b = F.when(width > 0, F.least(pos, F.lit(n - 1))).otherwise(F.lit(0)).cast("int")
-    return r.withColumn("_b", b).drop("_lo", "_hi")
+    pos = F.floor((f(F.col(order)) - F.col("_lo")) / width * F.col("_nb"))
+    b = F.when(width > 0, F.least(pos, F.col("_nb") - 1)).otherwise(F.lit(0)).cast("long")
+    return r.withColumn("_b", b).drop("_lo", "_hi", "_cnt", "_nb")
 
 
 def running_totals(df: DataFrame, order: str, sums: list[str], keys: list[str] | None = None,
-                   buckets: int | None = None) -> DataFrame:
+                   buckets: int | None = None, scale: str = "log") -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows of the same keys with order <= this row.
 
     Ties in ``order`` must already be aggregated (one row per key/value).
     """
     keys = list(keys or [])
-    r = _with_bucket(df, order, keys, buckets or DEFAULT_BUCKETS)
+    r = _with_bucket(df, order, keys, buckets or DEFAULT_BUCKETS, scale)
     w_in = (Window.partitionBy(*keys, "_b").orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     totals = r.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
