@@ -2,8 +2,7 @@
 
 A suite is a list of :class:`Check`.  ``run_suite`` turns the whole list
 into ONE aggregate over the table (scan shared by all checks), plus one
-``groupBy(key)`` for duplicate checks and one bounded top-k per value-list
-check.  The one-row result is exploded into a (check, status, observed,
+grouping-sets pass for the duplicate and value-list checks.  The one-row result is exploded into a (check, status, observed,
 details) table; nothing is collected except by the gate, which reads the
 one-row summary.
 
@@ -138,18 +137,45 @@ def _observed_and_details(df: DataFrame, chk: Check):
     raise ValueError(f"unknown check kind {chk.kind}")
 
 
+def _grouped_side_checks(df: DataFrame, checks: list[Check]) -> dict[int, DataFrame]:
+    """Duplicate counts and value lists of all checks from ONE grouping-sets pass.
+
+    ``groupingSets`` expands each row once per grouped column and shuffles the
+    partial counts once; every consumer reads the same exchange.  Returns a
+    one-row DataFrame per check index.
+    """
+    cols = sorted({c.column for c in checks if c.kind in ("unique", "isin")})
+    if not cols:
+        return {}
+    g = df.groupingSets([[c] for c in cols], *cols).agg(
+        F.count(F.lit(1)).cast("long").alias("_n"), F.grouping_id().alias("_gid"))
+    gid = {c: (1 << len(cols)) - 1 - (1 << (len(cols) - 1 - i)) for i, c in enumerate(cols)}
+    out = {}
+    for i, chk in enumerate(checks):
+        if chk.kind == "unique":
+            part = g.filter(F.col("_gid") == gid[chk.column])
+            out[i] = part.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias(f"dup_{i}"))
+        elif chk.kind == "isin":
+            part = g.filter(F.col("_gid") == gid[chk.column]).select(chk.column)
+            top = part.orderBy(F.col(chk.column).asc_nulls_last()).limit(VALUE_LIST_LIMIT)
+            vals = top.agg(F.transform(F.sort_array(F.collect_list(F.col(chk.column))),
+                                       lambda v: v.cast("string")).alias("values"))
+            out[i] = vals.select(F.concat(F.lit("unique_values=["), F.array_join("values", ", "),
+                                          F.lit("]")).alias(f"det_{i}"))
+    return out
+
+
 def run_suite(df: DataFrame, checks: list[Check] = TRIAL_CHECKS) -> DataFrame:
-    """Every check from one shared scan.
+    """Every check from one shared scan plus one grouping-sets pass.
 
     Returns (ord, check, status, observed, details); ``observed`` is the
     measured number (failing rows, rate, mean, row count or duplicates).
     """
-    exprs, rows, extra = [], [], []
+    exprs, rows = [], []
+    side = _grouped_side_checks(df, checks)
     for i, chk in enumerate(checks):
         obs, ok, det = _observed_and_details(df, chk)
         if chk.kind == "unique":
-            d = duplicate_count(df, chk.column).withColumnRenamed("duplicates", f"dup_{i}")
-            extra.append(d)
             obs, ok = F.col(f"dup_{i}").cast("double"), F.col(f"dup_{i}") == 0
             det = F.format_string("duplicates=%d", F.col(f"dup_{i}"))
             rows.append((i, chk.name, obs, ok, det))
@@ -157,13 +183,9 @@ def run_suite(df: DataFrame, checks: list[Check] = TRIAL_CHECKS) -> DataFrame:
         exprs += [obs.alias(f"obs_{i}"), ok.alias(f"ok_{i}")]
         if det is not None:
             exprs.append(det.alias(f"det_{i}"))
-        if chk.kind == "isin":
-            v = distinct_values(df, chk.column).select(
-                F.concat(F.lit("unique_values=["), F.array_join("values", ", "), F.lit("]")).alias(f"det_{i}"))
-            extra.append(v)
         rows.append((i, chk.name, F.col(f"obs_{i}"), F.col(f"ok_{i}"), F.col(f"det_{i}")))
     one = df.agg(*exprs)
-    for e in extra:   # each is a provably one-row aggregate
+    for e in side.values():   # each is a provably one-row aggregate
         one = one.crossJoin(F.broadcast(e))
     table = F.array(*[
         F.struct(F.lit(i).alias("ord"), F.lit(name).alias("check"),
