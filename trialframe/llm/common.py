@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trialframe.session import scratch_path
 
@@ -29,6 +30,14 @@ def id_text(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage; survives lost executors)."""
     spark = df.sparkSession
@@ -38,7 +47,7 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]],
-                schema: str) -> DataFrame:
+                schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with per-task state: ``make()`` runs once a task and returns the batch function."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()

@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialframe.llm import bpe, chat_format, token_store
-from trialframe.llm.common import read_table
+from trialframe.llm import (bpe, brown_lm, byte_cnn, chat_format, decontam, license_join, line_quality, ngram_join,
+                            token_store, toxic_fm)
+from trialframe.llm.common import fold_is, read_table
 from trialframe.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,95 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_join.scan_documents(read_table(spark, sf_dir, "documents")).drop("n_blocks")
+
+
+def _license_sql() -> str:
+    """Every line against every template, by lists."""
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    phrases = []
+    for phrase, label in license_join.PHRASES:
+        words = phrase.split()
+        test = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
+        phrases.append(f"SELECT doc_id, '{label}' AS label, i FROM (SELECT doc_id, w, unnest(range(len(w) - {len(words) - 1})) AS i "
+                       f"FROM words WHERE len(w) >= {len(words)}) WHERE {test}")
+    templates = ", ".join(f"('{label}', [{', '.join(repr(w) for w in license_join.template_words(wording))}])"
+                          for label, wording in license_join.TEMPLATES)
+    return f"""
+WITH words AS (SELECT doc_id, regexp_extract_all({low}, {word}) AS w FROM documents),
+places AS ({' UNION ALL '.join(phrases)}),
+base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
+lines AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split({low}, chr(10))), {word})) AS b FROM documents),
+templates(label, t) AS (VALUES {templates}),
+hits AS (SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS containment FROM lines, templates
+  WHERE len(list_intersect(b, t)) >= ceil({license_join.THRESHOLD} * len(t) - 1e-9)),
+best AS (SELECT doc_id, max(containment) AS best FROM hits GROUP BY doc_id),
+found AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT doc_id, label FROM hits UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id)
+SELECT d.doc_id, len(words.w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM documents d JOIN words USING (doc_id) LEFT JOIN base USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+ORACLE["op2_license_scan"] = _license_sql()
+
+
+@register
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@register
+def op5_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score_documents(read_table(spark, sf_dir, "documents"), fold_is("doc_id", 1))
+
+
+@register
+def op6_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(read_table(spark, sf_dir, "documents"), "source").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "removed_words", "depleted")
+
+
+_SPACE, _WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
+ORACLE["op6_line_rules"] = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS host FROM documents),
+words AS (SELECT doc_id, host, text, regexp_extract_all(text, '{_WORD}') AS w FROM docs),
+windows AS (SELECT doc_id, i, array_to_string(w[i + 1:i + {line_quality.WINDOW}], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(len(w) - {line_quality.WINDOW - 1})) AS i FROM words WHERE len(w) >= {line_quality.WINDOW})),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range({line_quality.WINDOW}) AS r(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS line FROM docs),
+full_lines AS (SELECT doc_id, host, text, line, len(regexp_extract_all(line, '{_WORD}')) AS n,
+  trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}', ' ', 'g'), ' ') AS norm
+  FROM lines WHERE regexp_matches(line, '{_WORD}')),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
+host_docs AS (SELECT host, count(DISTINCT text) AS n FROM docs GROUP BY host),
+often AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS n FROM full_lines GROUP BY host, norm) f
+  JOIN host_docs h USING (host) WHERE f.n > {line_quality.MIN_DOCS} AND f.n > {line_quality.SHARE} * h.n),
+lost AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN often USING (host, norm) GROUP BY doc_id),
+facts AS (SELECT doc_id, len(w) AS n_words, len(regexp_replace(text, '{_SPACE}', '', 'g')) AS word_chars,
+  len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS removed_words
+  FROM words LEFT JOIN dups USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN lost USING (doc_id)),
+judged AS (SELECT *, n_words < {line_quality.MIN_WORDS} OR 100 * n_repeat_words > {int(100 * line_quality.MAX_REPEAT)} * n_words AS base_failed,
+  removed_words > 0 AND (n_words - removed_words < {line_quality.MIN_WORDS}
+    OR n_words - removed_words < {line_quality.MIN_KEPT} * n_words) AS depleted FROM facts)
+SELECT *, NOT base_failed AND NOT depleted AS kept FROM judged
+"""
+
+
 @register
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_store.write_tokens(read_table(spark, sf_dir, "documents"),
@@ -71,3 +161,19 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(opens) AS BIGINT) AS n_merged
 FROM marked GROUP BY conv_id
 """
+
+
+@register
+def op9_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read_table(spark, sf_dir, "documents"), fold_is("doc_id", 0)
+    model = byte_cnn.fit(docs, read_table(spark, sf_dir, "labels"), "quality", ~fold)
+    return byte_cnn.score(docs.select("doc_id", "text", fold.alias("held_out")), model, "held_out").withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@register
+def op10_factor_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read_table(spark, sf_dir, "documents"), fold_is("doc_id", 0)
+    model = toxic_fm.fit(docs, read_table(spark, sf_dir, "labels"), "toxic", ~fold)
+    return toxic_fm.score(docs.select("doc_id", "text", fold.alias("held_out")), model, "held_out").withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
