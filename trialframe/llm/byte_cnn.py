@@ -11,7 +11,8 @@ logistic layer makes one probability of them.
 
 Training sees at most ``SAMPLE_PER_CLASS`` labelled documents of each class, of at most
 ``SAMPLE_BYTES`` bytes each, chosen by a hash of the id (bounds are parameters).  The
-class shares of all labelled documents, counted in full, correct the sample's balance.
+classes take equal parts in it; their shares among all labelled documents, counted in full,
+set the level of the probabilities.
 Scoring is a per-batch numpy function without a shuffle, so memory is bounded by the
 chunks of one text at a time and a lost task is simply run again.
 
@@ -36,7 +37,7 @@ from trialframe.llm.common import id_text, map_batches, slices
 CHUNK, OVERLAP, WIDTH, STRIDE = 512, 64, 8, 2
 DIMENSIONS, FILTERS = 8, 24
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 1_000, 12_000
-EPOCHS, RATE, DECAY, DOCS_A_STEP = 10, 0.01, 1e-4, 32
+STEPS, RATE, DECAY, DOCS_A_STEP = 500, 0.01, 1e-4, 32
 PAD = 256
 
 
@@ -79,46 +80,43 @@ def pooled(w: dict, chunks: np.ndarray) -> np.ndarray:
     return np.maximum(out.max(axis=1) + w["bias"], 0)
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> dict[str, np.ndarray]:
-    """Adam on the log loss of the whole documents."""
+def train(texts: list[bytes], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> dict[str, np.ndarray]:
+    """Adam on the log loss of whole documents; each step takes as many documents of either class."""
     w = new_weights(seed)
     m, v = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     cut = [chunks_of(t) for t in texts]
-    order, step = np.random.default_rng(seed), 0
-    steps = epochs * -(-len(texts) // DOCS_A_STEP)
-    for _ in range(epochs):
-        turn = order.permutation(len(texts))
-        for at in range(0, len(turn), DOCS_A_STEP):
-            docs = turn[at: at + DOCS_A_STEP]
-            sizes = np.array([len(cut[d]) for d in docs])
-            first = np.cumsum(sizes) - sizes
-            owner = np.repeat(np.arange(len(docs)), sizes)
-            chunks = np.concatenate([cut[d] for d in docs])
-            act, where, win = activations(w, chunks)
-            top = np.maximum.reduceat(act, first)
-            mean = np.add.reduceat(act, first) / sizes[:, None]
-            features = np.hstack([top, mean])
-            p = 1 / (1 + np.exp(-np.clip(features @ w["out"] + w["base"], -30, 30)))
-            error = ((p - labels[docs]) / len(docs)).astype(np.float32)
-            g = {"out": features.T @ error + DECAY * w["out"], "base": error.sum(keepdims=True)}
-            to_features = error[:, None] * w["out"]
-            share = act == top[owner]
-            ties = np.add.reduceat(share.astype(np.float32), first)
-            d_act = (share * (to_features[:, :FILTERS] / ties)[owner] + (to_features[:, FILTERS:] / sizes[:, None])[owner]) * (act > 0)
-            g["bias"] = d_act.sum(axis=0)
-            picked = np.take_along_axis(win, where[:, :, None], axis=1)                 # (chunks, FILTERS, WIDTH * DIMENSIONS)
-            g["filters"] = np.einsum("cf,cfk->kf", d_act, picked) + DECAY * w["filters"]
-            to_win = d_act[:, :, None] * w["filters"].T                                 # the same shape
-            places = where[:, :, None] * STRIDE + np.arange(WIDTH)
-            ids = np.take_along_axis(chunks[:, None, :].repeat(FILTERS, axis=1), places, axis=2)
-            g["bytes"] = np.zeros_like(w["bytes"])
-            np.add.at(g["bytes"], ids.ravel(), to_win.reshape(-1, DIMENSIONS))
-            step += 1
-            rate = RATE * (1 - step / (steps + 1))
-            for k in w:
-                m[k] += 0.1 * (g[k] - m[k])
-                v[k] += 0.001 * (g[k] ** 2 - v[k])
-                w[k] -= (rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+    draw = np.random.default_rng(seed)
+    classes = [np.flatnonzero(labels == k) for k in (0, 1)]
+    for step in range(1, steps + 1):
+        docs = np.concatenate([draw.choice(c, DOCS_A_STEP // 2, replace=len(c) < DOCS_A_STEP // 2) for c in classes])
+        sizes = np.array([len(cut[d]) for d in docs])
+        first = np.cumsum(sizes) - sizes
+        owner = np.repeat(np.arange(len(docs)), sizes)
+        chunks = np.concatenate([cut[d] for d in docs])
+        act, where, win = activations(w, chunks)
+        top = np.maximum.reduceat(act, first)
+        mean = np.add.reduceat(act, first) / sizes[:, None]
+        features = np.hstack([top, mean])
+        p = 1 / (1 + np.exp(-np.clip(features @ w["out"] + w["base"], -30, 30)))
+        error = ((p - labels[docs]) / len(docs)).astype(np.float32)
+        g = {"out": features.T @ error + DECAY * w["out"], "base": error.sum(keepdims=True)}
+        to_features = error[:, None] * w["out"]
+        share = act == top[owner]
+        ties = np.add.reduceat(share.astype(np.float32), first)
+        d_act = (share * (to_features[:, :FILTERS] / ties)[owner] + (to_features[:, FILTERS:] / sizes[:, None])[owner]) * (act > 0)
+        g["bias"] = d_act.sum(axis=0)
+        picked = np.take_along_axis(win, where[:, :, None], axis=1)                 # (chunks, FILTERS, WIDTH * DIMENSIONS)
+        g["filters"] = np.einsum("cf,cfk->kf", d_act, picked) + DECAY * w["filters"]
+        to_win = d_act[:, :, None] * w["filters"].T                                 # the same shape
+        places = where[:, :, None] * STRIDE + np.arange(WIDTH)
+        ids = np.take_along_axis(chunks[:, None, :].repeat(FILTERS, axis=1), places, axis=2)
+        g["bytes"] = np.zeros_like(w["bytes"])
+        np.add.at(g["bytes"], ids.ravel(), to_win.reshape(-1, DIMENSIONS))
+        rate = RATE * (1 - step / (steps + 1))
+        for k in w:
+            m[k] += 0.1 * (g[k] - m[k])
+            v[k] += 0.001 * (g[k] ** 2 - v[k])
+            w[k] -= (rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
     return w
 
 
@@ -137,22 +135,21 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, label: str, may_learn: C
            for k in (0, 1)]
     chosen = F.broadcast(ids[0].unionByName(ids[1]))            # 2 * per_class rows at most
     rows = (id_text(docs).join(chosen, "doc_id").where(F.octet_length("text") <= max_bytes)
-            .dropDuplicates(["doc_id", "label"]))
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")))        # repeated ids: one text
     return rows, counts
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, may_learn: Column,
         per_class: int = SAMPLE_PER_CLASS, max_bytes: int = SAMPLE_BYTES) -> dict:
-    """Model: weights, and the shift from the sample's class balance to that of all labels."""
+    """Model: weights, and the shift from equal classes to the shares of all labels."""
     rows, counts = sample_labelled(docs, labels, label, may_learn, per_class, max_bytes)
     got = sorted(((r.doc_id, r.label, r.text) for r in rows.collect()), key=lambda r: r[:2])
     y = np.array([r[1] for r in got], dtype=np.float32)
     n0, n1 = counts.get(0, 0), counts.get(1, 0)
     if not n0 or not n1 or not 0 < y.sum() < len(y):
         return {"weights": None, "shift": 0.5 if n0 + n1 == 0 else n1 / (n0 + n1)}
-    share = y.mean()
-    shift = float(np.log(n1 / n0) - np.log(share / (1 - share)))
-    return {"weights": train([r[2].encode() for r in got], y), "shift": shift}
+    # training sees the classes in equal parts
+    return {"weights": train([r[2].encode() for r in got], y), "shift": float(np.log(n1 / n0))}
 
 
 def probability(model: dict, text: str | None) -> float:

@@ -37,7 +37,7 @@ BITS, FACTORS = 18, 6
 BUCKETS = 1 << BITS
 PREFIXES = (4, 5)
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 4_000, 20_000
-MIN_DOCS, SURE = 4, 4.0
+MIN_DOCS, SURE = 3, 4.0
 EPOCHS, RATE, SPARSE, SPARSE_PAIRS, DOCS_A_STEP = 8, 0.1, 1e-3, 1e-3, 64
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 
