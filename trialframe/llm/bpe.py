@@ -20,8 +20,8 @@ empty table gives an empty result; length is bounded by memory for one text.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from trialframe.llm.common import id_text, map_batches, slices
 
 REPLAY_BYTES = 4 << 20      # bytes of distinct words replayed together
-VOCABULARY_KEPT = 400_000   # distinct words remembered by a task before it starts afresh
+VOCABULARY_KEPT = 200_000   # distinct words remembered by a task before it starts afresh
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -180,12 +180,28 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.
     return flat[np.repeat(shift, n) + np.arange(total)]
 
 
-class WordCodes(dict):
-    """word -> number in order of first sight."""
+class Numbering:
+    """Numbers words in order of first sight."""
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
+    def __init__(self):
+        self.first: dict[str, int] = {}     # word -> its first place in all that was seen
+        self.places, self.seen = itertools.count(), 0
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def places_of(self, words: list[str]) -> np.ndarray:
+        self.seen += len(words)
+        return np.fromiter(map(self.first.setdefault, words, self.places), dtype=np.int64, count=len(words))
+
+    def numbers(self) -> np.ndarray:
+        """By first place: the word's number."""
+        out = np.zeros(self.seen, dtype=np.int32)
+        out[np.fromiter(self.first.values(), dtype=np.int64, count=len(self.first))] = np.arange(len(self.first))
+        return out
+
+    def since(self, n: int) -> list[str]:
+        return list(itertools.islice(self.first, n, None))
 
 
 class CorpusEncoder:
@@ -196,13 +212,13 @@ class CorpusEncoder:
         self.reset()
 
     def reset(self) -> None:
-        self.codes = WordCodes()
+        self.words = Numbering()
         self.flat = np.zeros(0, dtype=np.uint32)
         self.starts = self.counts = np.zeros(0, dtype=np.int64)
 
     def learn(self) -> None:
         """Replay the merges over the words seen since the last call."""
-        fresh = list(self.codes)[len(self.counts):]
+        fresh = self.words.since(len(self.counts))
         flats, counts, group, held = [self.flat], [self.counts], [], 0
         for word in fresh:
             data = word.encode("utf-8", "surrogatepass")
@@ -219,40 +235,31 @@ class CorpusEncoder:
         self.starts = np.cumsum(self.counts) - self.counts
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.codes) > VOCABULARY_KEPT:
+        if len(self.words) > VOCABULARY_KEPT:
             self.reset()
-        codes, seen = self.codes, []
-        for text in texts:
-            words = self.split(text)
-            seen.append(np.fromiter(map(codes.__getitem__, words), dtype=np.int32, count=len(words)))
+        seen = [self.words.places_of(self.split(text)) for text in texts]
         self.learn()
-        for held in seen:
-            yield gather(self.flat, self.starts, self.counts, held)
+        numbers = self.words.numbers()
+        for places in seen:
+            yield gather(self.flat, self.starts, self.counts, numbers[places])
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens long, ids binary): ids as little-endian unsigned 32-bit integers."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *more: str) -> DataFrame:
+    """(doc_id, ``more``..., n_tokens long, ids binary): ids as little-endian unsigned 32-bit integers."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in (docs.schema[c] for c in ("doc_id", *more)))
 
     def make():
         encoder = CorpusEncoder(load_ranks(ranks_path), pattern)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            ids = [x.astype("<u4").tobytes() for x in encoder.encode(batch.column("text").to_pylist())]
-            part = 0
-            while part < len(ids):                      # rows of bounded size leave together
-                stop, held = part, 0
-                while stop < len(ids) and (stop == part or held < 8 << 20):
-                    held += len(ids[stop])
-                    stop += 1
+            for part in slices(batch):
+                ids = [x.astype("<u4").tobytes() for x in encoder.encode(part.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(part, stop - part),
-                     pa.array([len(x) // 4 for x in ids[part:stop]], pa.int64()), pa.array(ids[part:stop], pa.binary())],
-                    names=["doc_id", "n_tokens", "ids"])
-                part = stop
+                    [*(part.column(c) for c in ("doc_id", *more)), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                     pa.array(ids, pa.binary())], names=["doc_id", *more, "n_tokens", "ids"])
         return step
 
-    return map_batches(id_text(docs), make, f"doc_id {kind}, n_tokens long, ids binary")
+    return map_batches(id_text(docs, *more), make, f"{kinds}, n_tokens long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str, *more: str) -> DataFrame:
@@ -271,6 +278,3 @@ def decode_documents(encoded: DataFrame, ranks_path: str, *more: str) -> DataFra
 
     return map_batches(encoded.select("doc_id", "ids", *(c for c in more if c != "ids")), make, f"{kinds}, decoded binary")
 
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
