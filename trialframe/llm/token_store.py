@@ -28,25 +28,27 @@ an empty table gives empty segment and shard tables; extra columns are dropped.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trialframe.llm.bpe import WordCodes, gather
-from trialframe.llm.common import id_text, map_batches
+from trialframe.llm.bpe import Numbering, gather
+from trialframe.llm.common import id_text, map_batches, slices
 
 SAMPLE_DOCS, SAMPLE_BYTES = 500, 16_384
 DICTIONARY_BYTES, LEVEL = 65_536, 3
 SEGMENT_BYTES, SEGMENT_DOCS = 1 << 20, 2_000
-RUNS_KEPT = 400_000     # distinct runs remembered by a task before it starts afresh
+RUNS_KEPT = 500_000     # distinct runs remembered by a task before it starts afresh
+# Unicode's White_Space characters.
+SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
 class RunEncoder:
@@ -57,8 +59,12 @@ class RunEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(r"\s*\S+|\s+").findall
+        self.split = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = [t.content for t in added.values()]
+        # a special token between runs keeps them apart in one call
+        self.fence = next(((i, t.content) for i, t in added.items()
+                           if t.special and not (t.lstrip or t.rstrip or t.single_word) and not has_border(t.content)), None)
         self.reset()
 
     @property
@@ -66,30 +72,55 @@ class RunEncoder:
         return 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
 
     def reset(self) -> None:
-        self.codes = WordCodes()
+        self.runs = Numbering()
         self.flat = np.zeros(0, dtype=np.uint32)
         self.starts = self.counts = np.zeros(0, dtype=np.int64)
 
+    def apart(self, runs: list[str]) -> list[np.ndarray]:
+        """Ids of each run; strings of special tokens in it are ordinary text."""
+        self.tokenizer.encode_special_tokens = True
+        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+
+    def fenced(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all runs, and how many each has; no run holds a special token's string."""
+        number, fence = self.fence
+        self.tokenizer.encode_special_tokens = False
+        texts = [fence.join(runs[i:i + 200]) + fence for i in range(0, len(runs), 200)]
+        ids = np.concatenate([np.array(e.ids, dtype=np.uint32)
+                              for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == number)
+        if len(ends) != len(runs):
+            raise ValueError("the special token does not keep runs apart")
+        return ids[ids != number], np.diff(np.append(-1, ends)) - 1
+
     def learn(self) -> None:
-        fresh = list(self.codes)[len(self.counts):]
+        fresh = self.runs.since(len(self.counts))
         flats, counts = [self.flat], [self.counts]
         for i in range(0, len(fresh), 20_000):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(fresh[i:i + 20_000], add_special_tokens=False)]
-            counts.append(np.array([len(x) for x in ids], dtype=np.int64))
-            flats.append(np.fromiter((t for x in ids for t in x), dtype=np.uint32, count=int(counts[-1].sum())))
+            part = fresh[i:i + 20_000]
+            if self.fence is None or any(t in "".join(part) for t in self.added):
+                ids = self.apart(part)
+                flats.append(np.concatenate(ids))
+                counts.append(np.array([len(x) for x in ids], dtype=np.int64))
+            else:
+                for to, got in zip((flats, counts), self.fenced(part), strict=True):
+                    to.append(got)
         self.flat, self.counts = np.concatenate(flats), np.concatenate(counts)
         self.starts = np.cumsum(self.counts) - self.counts
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if len(self.codes) > RUNS_KEPT:
+        if len(self.runs) > RUNS_KEPT:
             self.reset()
-        codes, seen = self.codes, []
-        for text in texts:
-            runs = self.split(text)
-            seen.append(np.fromiter(map(codes.__getitem__, runs), dtype=np.int32, count=len(runs)))
+        seen = [self.runs.places_of(self.split(text)) for text in texts]
         self.learn()
-        for held in seen:
-            yield gather(self.flat, self.starts, self.counts, held)
+        numbers = self.runs.numbers()
+        for places in seen:
+            yield gather(self.flat, self.starts, self.counts, numbers[places])
+
+
+def has_border(text: str) -> bool:
+    """Whether a beginning of ``text`` is also its end."""
+    return any(text.startswith(text[k:]) for k in range(1, len(text)))
 
 
 def train_dictionary(docs: DataFrame, tokenizer_json: str, end_id: int) -> bytes:
@@ -140,6 +171,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
         shard, state = TaskContext.get().partitionId(), {"segment": 0, "start": 0}
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for part in slices(batch):
+                yield from segments_of(part)
+
+        def segments_of(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             held: list[tuple[int, bytes]] = []
             base = size = 0
 
@@ -147,7 +182,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
                 counts = [n for n, _ in held]
                 starts = (state["start"] + np.cumsum(counts) - counts).astype(np.int64)
                 offsets = np.cumsum([0, *(len(f) for _, f in held)]).astype(np.int64)
-                ids = batch.column("doc_id").slice(base, stop - base)
+                ids = part.column("doc_id").slice(base, stop - base)
                 out = pa.RecordBatch.from_arrays(
                     [pa.array([shard], pa.int32()), pa.array([state["segment"]], pa.int32()), pa.array([checksum]),
                      pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
@@ -159,14 +194,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
                 held.clear()
                 return out
 
-            for i, ids in enumerate(encoder.encode(batch.column("text").to_pylist())):
+            for i, ids in enumerate(encoder.encode(part.column("text").to_pylist())):
                 held.append((len(ids) + 1, pack(serialize(ids, end_id, width))))
                 size += len(held[-1][1])
                 if size >= SEGMENT_BYTES or len(held) >= SEGMENT_DOCS:
                     yield flush(i + 1)
                     base, size = i + 1, 0
             if held:
-                yield flush(batch.num_rows)
+                yield flush(part.num_rows)
         return step
 
     ordered = (id_text(docs).withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h")
