@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,6 +46,13 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted_table(df: DataFrame, name: str, **sums: Column) -> tuple[DataFrame, dict]:
+    """``shared_table`` and, from the same job, its row count ``n`` and further aggregates."""
+    seen = Observation()
+    table = shared_table(df.observe(seen, F.count(F.lit(1)).alias("n"), *[c.alias(k) for k, c in sums.items()]), name)
+    return table, seen.get
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]],
                 schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with per-task state: ``make()`` runs once a task and returns the batch function."""

@@ -6,14 +6,15 @@ returns each document with the smallest id that links reach.  All links count; n
 lost, and no group is expanded into its pairs.
 
 1. Exact copies (equal shingle sets) become one class, named by its smallest id.
-2. Extended prefix.  Let ``d(n)`` be how many of ``n`` tokens a partner may lack.  Each
-   class sends its ``d(n) + ext(n)`` tokens of smallest hash; two similar sets share at
-   least ``ext`` of the smaller one among these.  Tokens of a single class are
-   dropped, and a class that keeps too few has no partner.
-3. Order by frequency.  Within its extended prefix a class sorts the tokens rarest first,
-   and takes a prefix of this order that must share ``1 + g`` tokens with any partner.
-4. Signatures.  Rare tokens (``RARE`` classes at most) are indexed singly.  Frequent tokens
-   are split into ``g`` token classes by hash; of ``1 + g`` shared frequent tokens two must
+2. Candidates.  Let ``lacking(n)`` be how many of ``n`` tokens a partner may lack.  Of the
+   ``lacking(n) + ext(n)`` tokens of smallest hash two similar sets share at least ``ext``
+   of the smaller one, so a document most of whose smallest tokens stand in no other
+   document has no partner and drops out.
+3. Order by frequency.  The tokens of the remaining classes are counted over these
+   classes, and each class sorts its own rarest first.  A prefix of ``lacking(n) + 1 + g``
+   tokens shares ``1 + g`` tokens with any partner's.
+4. Signatures.  Rare tokens of the prefix (``RARE`` classes at most) are indexed singly.  Frequent
+   tokens are split into ``g`` token classes by hash; of ``1 + g`` shared frequent tokens two must
    fall into the same one, so 2-token combinations within a class are indexed.  ``g``
    grows with the set's size, which keeps the combinations linear in it.  Sets too
    small for ``g >= 1`` index frequent tokens singly.
@@ -44,13 +45,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialframe.llm.common import id_text, map_batches, shared_table, slices
-from trialframe.llm.line_quality import WordHashes, window_hashes
+from trialframe.llm.bpe import Numbering
+from trialframe.llm.common import counted_table, id_text, map_batches, shared_table, slices
+from trialframe.llm.line_quality import window_hashes
 
 RARE = 16
+WORDS_KEPT = 300_000     # distinct words remembered by a task before it starts afresh
 BROADCAST_ROWS = 1_000_000
-STAR_ROUNDS = 6
-ALL_PAIRS = 4           # remaining pairs are all checked once they are this many times the active classes
+ALL_PAIRS = 4           # remaining pairs are all checked once they are this many times the active classes,
+                        # or once a round of centres no longer halves them
 
 
 class Bounds:
@@ -73,7 +76,7 @@ class Bounds:
         return 100 * n // self.percent
 
     def ext(self, n: int) -> int:
-        return self.lacking(n) // 2 + 1
+        return self.lacking(n) + 1
 
     def sent(self, n: int) -> int:
         return min(n, self.lacking(n) + self.ext(n))
@@ -84,14 +87,37 @@ class Bounds:
 
     def classes(self, level: int) -> int:
         """Token classes for pairs whose larger set has 2**level to 2**(level + 1) - 1 tokens."""
-        return self.ext(self.least(self.least(1 << level))) - 1
-
-
-def shingle_set(h: np.ndarray, words: int) -> np.ndarray:
-    """Sorted distinct shingle hashes of a sequence of word hashes."""
-    if not len(h):
-        return h
-    return np.unique(window_hashes(h, min(words, len(h))))
+        return self.lacking(self.least(self.least(1 << level))) // 2
+
+
+class Shingler:
+    """Shingle sets of texts; remembers the words of earlier texts of the same task, up to a bound."""
+
+    def __init__(self, words: int):
+        self.words = words
+        self.reset()
+
+    def reset(self) -> None:
+        self.seen, self.hashes = Numbering(), np.zeros(0, dtype=np.uint64)
+
+    def sets(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Sorted distinct 64-bit shingle hashes of each text."""
+        if len(self.seen) > WORDS_KEPT:
+            self.reset()
+        places = [self.seen.places_of(text.encode().lower().split()) for text in texts]
+        fresh = self.seen.since(len(self.hashes))
+        self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], dtype=np.uint64)])
+        numbers = self.seen.numbers()
+        h = self.hashes[numbers[np.concatenate(places)]] if places else self.hashes[:0]
+        runs = window_hashes(h, self.words) if len(h) >= self.words else h[:0]
+        start = 0
+        for p in places:
+            n = len(p)
+            if n >= self.words:
+                yield np.unique(runs[start: start + n - self.words + 1])
+            else:
+                yield window_hashes(h[start: start + n], n) if n else h[:0]
+            start += n
 
 
 def shingles(docs: DataFrame, words: int, fields: str, make_row) -> DataFrame:
@@ -101,16 +127,11 @@ def shingles(docs: DataFrame, words: int, fields: str, make_row) -> DataFrame:
     types = [_ARROW[f.split()[1]] for f in fields.split(", ")]
 
     def make():
-        hashes = WordHashes()
+        shingler = Shingler(words)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch):
-                rows = []
-                for text in part.column("text").to_pylist():
-                    held = text.encode().lower().split()
-                    h = np.fromiter(map(hashes.__getitem__, held), dtype=np.uint64, count=len(held))
-                    rows.append(make_row(shingle_set(h, words)))
-                columns = list(zip(*rows, strict=True))
+                columns = list(zip(*map(make_row, shingler.sets(part.column("text").to_pylist())), strict=True))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
                                                  names=["doc_id", *names])
         return step
@@ -125,79 +146,79 @@ def set_key(s: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
 
 
-def signatures(rows: DataFrame, bounds: Bounds) -> DataFrame:
-    """(key, rep) from rows (rep, n, df array, h array): tokens of several classes among the sent ones."""
-    kind = rows.schema["rep"].dataType.simpleString()
-
-    def mix(*parts) -> np.ndarray:
-        out = np.uint64(0)
+def mix(*parts) -> np.ndarray:
+    out = np.uint64(0)
+    with np.errstate(over="ignore"):
         for p in parts:
             out = (out ^ p) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(29)
-        return out
-
-    def of(n: int, df: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """Signatures of one class; ``df`` and ``h`` are sorted rarest first."""
-        sent, shared = bounds.sent(n), bounds.shared(n)
-        if len(h) < shared:
-            return h[:0]
-        alone = sent - len(h)                   # tokens held by no other class come first in the order
-        levels = sorted({n.bit_length() - 1, bounds.most(n).bit_length() - 1})
-        length = {at: sent - shared + 1 + bounds.classes(at) - alone for at in levels}
-        head = max(0, *length.values())
-        rare = df[:head] <= RARE
-        out = [mix(h[:head][rare], np.uint64(1))]
-        for level in levels:
-            head, split = max(0, length[level]), bounds.classes(level)
-            often = h[:head][df[:head] > RARE]
-            if not split:
-                out.append(mix(often, np.uint64(2), np.uint64(level)))
-                continue
-            owner = often % np.uint64(split)
-            order = np.lexsort((often, owner))
-            often, owner = often[order], owner[order]
-            for step in range(1, len(often)):   # pairs of equal class lie at most a class apart
-                same = owner[step:] == owner[:-step]
-                if not same.any():
-                    break
-                out.append(mix(often[:-step][same], often[step:][same], np.uint64(3), np.uint64(level)))
-        return np.unique(np.concatenate(out))
+    return out
+
+
+def class_signatures(n: int, df: np.ndarray, h: np.ndarray, bounds: Bounds) -> np.ndarray:
+    """Signatures of a class of ``n`` tokens; ``df`` and ``h`` are those held by several classes, rarest first."""
+    alone = n - len(h)                      # the others come first in the order
+    levels = sorted({n.bit_length() - 1, bounds.most(n).bit_length() - 1})
+    length = {at: max(0, bounds.lacking(n) + 1 + bounds.classes(at) - alone) for at in levels}
+    head = max(length.values())
+    out = [mix(h[:head][df[:head] <= RARE], np.uint64(1))]
+    for level in levels:
+        head, split = length[level], bounds.classes(level)
+        often = h[:head][df[:head] > RARE]
+        if not split:
+            out.append(mix(often, np.uint64(2), np.uint64(level)))
+            continue
+        owner = often % np.uint64(split)
+        order = np.lexsort((often, owner))
+        often, owner = often[order], owner[order]
+        for step in range(1, len(often)):
+            same = owner[step:] == owner[:-step]
+            if not same.any():
+                break
+            out.append(mix(often[:-step][same], often[step:][same], np.uint64(3), np.uint64(level)))
+    return np.unique(np.concatenate(out))
+
+
+def signatures(rows: DataFrame, bounds: Bounds) -> DataFrame:
+    """(key, rep) from rows (rep, n, tokens array<struct<df, h>>)."""
+    kind = rows.schema["rep"].dataType.simpleString()
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            keys, counts = [], []
-            for n, tokens in zip(batch.column("n").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
-                df = np.array([t["df"] for t in tokens], dtype=np.int64)
-                h = np.array([t["h"] for t in tokens], dtype=np.int64).view(np.uint64)
+            tokens = batch.column("tokens")
+            flat, ends = tokens.flatten(), tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
+            all_df, all_h = flat.field("df").to_numpy(), flat.field("h").to_numpy().view(np.uint64)
+            keys = []
+            for n, low, high in zip(batch.column("n").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                df, h = all_df[low:high], all_h[low:high]
                 order = np.lexsort((h, df))
-                with np.errstate(over="ignore"):
-                    keys.append(of(n, df[order], h[order]))
-                counts.append(len(keys[-1]))
-            reps = batch.column("rep").take(pa.array(np.repeat(np.arange(batch.num_rows), counts)))
+                keys.append(class_signatures(n, df[order], h[order], bounds))
+            reps = batch.column("rep").take(pa.array(np.repeat(np.arange(batch.num_rows), [len(k) for k in keys])))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), reps], names=["key", "rep"])
         return step
 
     return map_batches(rows.select("rep", "n", "tokens"), make, f"key long, rep {kind}")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """``df`` to be broadcast if its size, checked here, allows it."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of ``rows`` rows, to be broadcast if they are few enough."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, link) of pairs (a, b) of classes, by their whole sets (doc_id, tokens)."""
     kind = pairs.schema["a"].dataType.simpleString()
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("a_tokens"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("b_tokens"))
-    both = left.join(small(pairs), "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens")
+    both = left.join(small(pairs, n_pairs), "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens")
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             link = []
             for x, y in zip(batch.column("a_tokens"), batch.column("b_tokens"), strict=True):
-                x, y = (np.frombuffer(t.as_buffer(), dtype=np.uint64) for t in (x, y))
-                common = len(x) + len(y) - len(np.union1d(x, y))
+                x, y = x.values.to_numpy(), y.values.to_numpy()
+                both = np.sort(np.concatenate([x, y]))
+                common = int((both[1:] == both[:-1]).sum())
                 link.append(100 * common >= percent * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(link, pa.bool_())], names=["a", "b", "link"])
         return step
@@ -208,48 +229,54 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each connected component of ``edges`` (a, b)."""
     sym = shared_table(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    labels = shared_table(sym.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
+    labels = sym.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("label"))
     while True:
         near = sym.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
         hooked = labels.join(near.withColumnRenamed("a", "node"), "node").select(
             "node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         jump = hooked.select(F.col("node").alias("label"), F.col("label").alias("further"))
-        after = shared_table(hooked.join(jump, "label").select("node", "was", F.least("label", "further").alias("label")), "labels")
-        if after.where("label != was").isEmpty():
-            return after.select("node", "label")
+        after = hooked.join(jump, "label").select("node", "was", F.least("label", "further").alias("label"))
+        after, facts = counted_table(after, "labels", moved=F.count_if(F.col("label") != F.col("was")))
         labels = after.select("node", "label")
+        if not facts["moved"]:
+            return labels
 
 
 def join_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id), one row per row of ``docs``."""
     bounds = Bounds(percent)
-    member = shared_table(shingles(docs, words, "n_shingles long, key binary", lambda s: (len(s), set_key(s))), "members")
+    first = shared_table(shingles(docs, words, "n_shingles long, key binary, tokens array<long>, shared long", lambda s: (
+        len(s), set_key(s), s[: bounds.sent(len(s))].view(np.int64), bounds.shared(len(s)))), "first")
+    member = first.select("doc_id", "n_shingles", "key")
     reps = member.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"))
 
-    # 2. extended prefixes of the classes; tokens held by several classes
-    sent = shingles(docs, words, "n long, key binary, tokens array<long>", lambda s: (
-        len(s), set_key(s), s[: bounds.sent(len(s))].view(np.int64)))
-    classes = (sent.where("key is not null").groupBy("key")
-               .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.any_value("tokens").alias("tokens"))
-               .where("rep is not null"))
-    tokens = classes.select("rep", "n", F.explode("tokens").alias("h"))
-    often = (tokens.groupBy("h").agg(F.count("*").alias("df"), F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-             .where("lo != hi").select("h", "df"))
+    # 2. tokens that stand in one document only, and the classes that keep enough others
+    sole = (first.select("doc_id", F.explode("tokens").alias("h")).where("doc_id is not null")
+            .groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo = hi")
+            .groupBy(F.col("lo").alias("own")).agg(F.count("*").alias("alone")))
+    may = (first.select("doc_id", "key", F.size("tokens").alias("sent"), "shared").join(sole, F.col("doc_id") == F.col("own"), "left")
+           .where(F.col("sent") - F.coalesce("alone", F.lit(0)) >= F.col("shared")).select("key").distinct())
+    active, facts = counted_table(reps.join(may, "key").where("rep is not null").select(F.col("rep").alias("doc_id")).distinct(), "active")
+
+    # 3. whole sets of these classes, and the frequencies of their tokens
+    sets, facts = counted_table(
+        shingles(id_text(docs).join(small(active, facts["n"]), "doc_id"), words, "n long, tokens array<long>",
+                 lambda s: (len(s), s.view(np.int64))), "sets")
+    tokens = sets.select(F.col("doc_id").alias("rep"), "n", F.explode("tokens").alias("h"))
+    often = tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     lists = tokens.join(often, "h").groupBy("rep", "n").agg(F.collect_list(F.struct("df", "h")).alias("tokens"))
 
     # 4. signatures held by several classes
     raw = shared_table(signatures(lists, bounds).distinct(), "signatures")
     held = raw.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo != hi").select("key")
     index = shared_table(raw.join(held, "key"), "index")
-    active = shared_table(index.select(F.col("rep").alias("doc_id")).distinct(), "active")
-    n_active = active.count()
+    paired, facts = counted_table(index.select(F.col("rep").alias("doc_id")).distinct(), "paired")
 
-    # 5. whole sets of the classes with candidates, and rounds of verification
+    # 5. rounds of verification
     comp = None
-    if n_active:
-        sets = shared_table(shingles(id_text(docs).join(small(active), "doc_id"), words, "n long, tokens binary",
-                                     lambda s: (len(s), s.tobytes())).dropDuplicates(["doc_id", "tokens"]), "sets")
-        comp = link_rounds(index, active, sets.select("doc_id", "n", "tokens"), bounds, n_active)
+    if facts["n"]:
+        own = sets.join(small(paired, facts["n"]), "doc_id")
+        comp = link_rounds(index, paired, own, bounds, facts["n"])
     out = member.join(reps, "key", "left")
     if comp is None:
         label = F.col("rep")
@@ -264,40 +291,39 @@ def link_rounds(index: DataFrame, active: DataFrame, sets: DataFrame, bounds: Bo
     """(doc_id, label) for all active classes."""
     sizes = sets.groupBy("doc_id").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
     comp = active.select("doc_id", F.col("doc_id").alias("label"))
-    tested = None
-    for turn in range(STAR_ROUNDS + 1):
+    tested, before, turn = None, None, 0
+    while True:
         marked = index.join(comp.withColumnRenamed("doc_id", "rep"), "rep")
-        open_keys = (marked.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", F.lit(turn))).alias("rep"))
+        draw = F.xxhash64("rep", F.lit(turn))
+        open_keys = (marked.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("rep", draw).alias("rep"))
                      .groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("labels"),
-                                         F.min_by(F.struct("rep", "label"), F.xxhash64("rep", F.lit(turn))).alias("centre"))
+                                         F.min_by(F.struct("rep", "label"), draw).alias("centre"))
                      .where("labels > 1"))
-        open_keys = shared_table(open_keys, "open")
-        left = open_keys.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")).first().pairs or 0
+        open_keys, facts = counted_table(open_keys, "open", pairs=F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2))
+        left = facts["pairs"] or 0
         if not left:
             return comp
-        last = left <= ALL_PAIRS * n_active or turn == STAR_ROUNDS
+        last = left <= ALL_PAIRS * n_active or (before is not None and 2 * left > before)
         if last:
             one = marked.join(open_keys.select("key"), "key")
             two = one.select("key", F.col("rep").alias("other"), F.col("label").alias("other_label"))
             pairs = (one.join(two, "key").where((F.col("rep") < F.col("other")) & (F.col("label") != F.col("other_label")))
                      .select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct())
+            pairs = without(pairs, tested)
         else:       # each class meets the centre that it shares most signatures with
             pairs = (marked.join(open_keys.select("key", "centre"), "key").where(F.col("label") != F.col("centre.label"))
-                     .groupBy("rep", F.col("centre.rep").alias("to")).agg(F.count("*").alias("n")))
-            if tested is not None:
-                pairs = without(pairs.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b"), "rep", "to", "n"), tested)
-            pairs = (pairs.groupBy("rep").agg(F.max_by("to", F.struct("n", "to")).alias("to"))
-                     .select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b")).distinct())
-        if last and tested is not None:
-            pairs = without(pairs, tested)
+                     .groupBy("rep", F.col("centre.rep").alias("to")).agg(F.count("*").alias("n"))
+                     .select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b"), "rep", "to", "n"))
+            pairs = (without(pairs, tested).groupBy("rep").agg(F.max_by(F.struct("a", "b"), F.struct("n", "to")).alias("p"))
+                     .select("p.a", "p.b").distinct())
         # sizes that cannot meet the threshold need no sets
         for side in ("a", "b"):
             pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n_lo").alias(f"{side}_lo"), F.col("n_hi").alias(f"{side}_hi")), side)
         may = ((100 * F.col("a_hi") >= bounds.percent * F.col("b_lo")) & (100 * F.col("b_hi") >= bounds.percent * F.col("a_lo")))
-        pairs = shared_table(pairs.select("a", "b", may.alias("may")), "pairs")
-        result = verified(pairs.where("may").select("a", "b"), sets, bounds.percent)
-        links = shared_table(result.where("link").select("a", "b").distinct(), "links")
-        if not links.isEmpty():
+        pairs, facts = counted_table(pairs.select("a", "b", may.alias("may")), "pairs")
+        result = verified(pairs.where("may").select("a", "b"), facts["n"], sets, bounds.percent)
+        links, facts = counted_table(result.where("link").select("a", "b").distinct(), "links")
+        if facts["n"]:
             ends = links
             for side in ("a", "b"):
                 ends = ends.join(comp.select(F.col("doc_id").alias(side), F.col("label").alias(f"{side}_label")), side)
@@ -308,11 +334,11 @@ def link_rounds(index: DataFrame, active: DataFrame, sets: DataFrame, bounds: Bo
             return comp
         done = pairs.select("a", "b")
         tested = done if tested is None else tested.unionByName(done)
-    return comp
+        before, turn = left, turn + 1
 
 
-def without(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    return pairs.join(tested, ["a", "b"], "left_anti")
+def without(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
