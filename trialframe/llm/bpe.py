@@ -183,9 +183,9 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.
 class Numbering:
     """Numbers words in order of first sight."""
 
-    def __init__(self):
-        self.first: dict[str, int] = {}     # word -> its first place in all that was seen
-        self.places, self.seen = itertools.count(), 0
+    def __init__(self, words: list[str] = ()):
+        self.first: dict[str, int] = {w: i for i, w in enumerate(words)}     # word -> its first place in all that was seen
+        self.places, self.seen = itertools.count(len(self.first)), len(self.first)
 
     def __len__(self) -> int:
         return len(self.first)

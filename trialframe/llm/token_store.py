@@ -16,10 +16,10 @@ The dictionary is trained on ids of at most ``SAMPLE_DOCS`` documents of at most
 ``SAMPLE_BYTES`` bytes, chosen by a hash of the id; a corpus too small to train
 on gets the sample itself as raw dictionary content.  Every document is encoded whole.
 
-The tokenizer library encodes each distinct run of "white space, then a word"
-of a block of documents once.  A pre-token never reaches from a word into the
-white space after it, so these runs never cut one, and their ids put together
-are those of the whole text.
+The tokenizer library encodes each distinct run of "white space, then letters" or "white
+space, then a word" of a block of documents once.  A pre-token never reaches from a word into
+the white space after it, nor from letters into another sign, so these runs never cut one, and
+their ids put together are those of the whole text.
 
 Defined cases: null text = empty text = the end id alone; repeated rows are kept;
 an empty table gives empty segment and shard tables; extra columns are dropped.
@@ -27,6 +27,7 @@ an empty table gives empty segment and shard tables; extra columns are dropped.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 from collections.abc import Iterator
@@ -46,8 +47,9 @@ from trialframe.llm.common import id_text, map_batches, slices
 SAMPLE_DOCS, SAMPLE_BYTES = 500, 16_384
 DICTIONARY_BYTES, LEVEL = 65_536, 3
 SEGMENT_BYTES, SEGMENT_DOCS = 1 << 20, 2_000
-RUNS_KEPT = 500_000     # distinct runs remembered by a task before it starts afresh
-# Unicode's White_Space characters.
+RUNS_KEPT, OFTEN = 300_000, 3     # distinct runs remembered before the rare ones are forgotten
+# Letters of Latin blocks, and Unicode's White_Space characters.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"       # some that are letters in every version
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
@@ -59,7 +61,7 @@ class RunEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_json)
-        self.split = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
+        self.split = re.compile(f"[{SPACE}]*[{LETTERS}]+|[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = [t.content for t in added.values()]
         # a special token between runs keeps them apart in one call
@@ -74,7 +76,16 @@ class RunEncoder:
     def reset(self) -> None:
         self.runs = Numbering()
         self.flat = np.zeros(0, dtype=np.uint32)
-        self.starts = self.counts = np.zeros(0, dtype=np.int64)
+        self.starts = self.counts = self.times = np.zeros(0, dtype=np.int64)
+
+    def thin(self) -> None:
+        """Forget the runs that came up less than ``OFTEN`` times."""
+        keep = np.flatnonzero(self.times >= OFTEN)[-RUNS_KEPT // 2:]
+        words = self.runs.since(0)
+        self.runs = Numbering([words[i] for i in keep.tolist()])
+        self.flat = gather(self.flat, self.starts, self.counts, keep)
+        self.counts, self.times = self.counts[keep], self.times[keep]
+        self.starts = np.cumsum(self.counts) - self.counts
 
     def apart(self, runs: list[str]) -> list[np.ndarray]:
         """Ids of each run; strings of special tokens in it are ordinary text."""
@@ -110,12 +121,22 @@ class RunEncoder:
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.runs) > RUNS_KEPT:
-            self.reset()
+            self.thin()
         seen = [self.runs.places_of(self.split(text)) for text in texts]
         self.learn()
-        numbers = self.runs.numbers()
-        for places in seen:
-            yield gather(self.flat, self.starts, self.counts, numbers[places])
+        table = self.runs.numbers()
+        numbers = [table[places] for places in seen]
+        self.times = np.append(self.times, np.zeros(len(self.runs) - len(self.times), dtype=np.int64))
+        if numbers:
+            self.times += np.bincount(np.concatenate(numbers), minlength=len(self.times))
+        for n in numbers:
+            yield gather(self.flat, self.starts, self.counts, n)
+
+
+@functools.cache
+def shared_encoder(tokenizer_json: str) -> RunEncoder:
+    """One encoder for all tasks of a worker process."""
+    return RunEncoder(tokenizer_json)
 
 
 def has_border(text: str) -> bool:
@@ -167,7 +188,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
                           "dict_hash string, dictionary binary, id_bytes int, end_id long").coalesce(1).write.parquet(f"{path}/dictionary")
 
     def make():
-        encoder, pack = RunEncoder(tokenizer_json), compressor(dictionary).compress
+        encoder, pack = shared_encoder(tokenizer_json), compressor(dictionary).compress
         shard, state = TaskContext.get().partitionId(), {"segment": 0, "start": 0}
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
