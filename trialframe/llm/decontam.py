@@ -6,9 +6,9 @@ passages of ``PASSAGE`` words that overlap by half, so every run of ``UNIT`` wor
 whole in some passage.  Impacts are BM25 weights divided by the unit's own total, so a score
 is the weighted share of a unit that a passage covers, and ``THRESHOLD`` means the same
 for every item.  For each passage, block-max WAND retrieves every unit whose score
-reaches the threshold: bounds on terms pick the pivot, bounds on blocks of ``BLOCK`` units
-skip ahead, and only then are postings scored.  A passage whose bounds cannot reach the
-threshold opens no postings.
+reaches the threshold: bounds on terms pick the pivot, bounds on blocks of units skip ahead, and
+only then are postings scored.  The sums of the block bounds are first taken for all passages of a
+text at once, and a passage of which no block can reach the threshold opens no postings.
 
 Each (document, item) retrieved is verified on the whole text: the share of the question's
 and of the answer's runs of ``GRAM`` words that stand in it must reach ``QUESTION`` and
@@ -41,9 +41,9 @@ from trialframe.llm.common import id_text, map_batches, slices
 UNIT, PASSAGE = 64, 128
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
-BLOCK = 32
+BLOCK, INDEX_UNITS = 4, 1_024       # units per block; units of one index, so that its block bounds are a small array
 GRAM, QUESTION, ANSWER, SHORT = 3, 0.7, 0.7, 8
-CHUNK_CHARS = 16_000_000
+CHUNK_CHARS = 2_000_000
 WORDS = re.compile(r"[^\W_]+").findall
 
 
@@ -93,12 +93,17 @@ class Index:
         self.units = [[u for u, _ in postings[w]] for w in self.term]
         self.impacts = [[x for _, x in postings[w]] for w in self.term]
         self.bound = np.array([max(x) for x in self.impacts], dtype=np.float64)
+        self.block = BLOCK
         self.block_bound = []                       # term -> {block: largest impact}
         for units, impacts in zip(self.units, self.impacts, strict=True):
             by: dict[int, float] = {}
             for u, x in zip(units, impacts, strict=True):
-                by[u // BLOCK] = max(by.get(u // BLOCK, 0.0), x)
+                by[u // self.block] = max(by.get(u // self.block, 0.0), x)
             self.block_bound.append(by)
+        self.bounds = np.zeros((len(self.term), -(-len(self.owner) // self.block)), dtype=np.float32)
+        for t, by in enumerate(self.block_bound):
+            for b, x in by.items():
+                self.bounds[t, b] = np.nextafter(np.float32(x), np.float32(2))
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: every unit whose impacts over ``terms`` (distinct) sum to the threshold."""
@@ -129,9 +134,9 @@ class Index:
             unit = cursors[pivot][0]
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == unit:
                 pivot += 1
-            block = unit // BLOCK
+            block = unit // self.block
             if sum(blocks[c[1]].get(block, 0.0) for c in cursors[: pivot + 1]) < slack:
-                beyond = (block + 1) * BLOCK                        # no unit up to here, or before the next cursor
+                beyond = (block + 1) * self.block                        # no unit up to here, or before the next cursor
                 if pivot + 1 < len(cursors):
                     beyond = min(beyond, cursors[pivot + 1][0])
                 for c in cursors[: pivot + 1]:
@@ -166,12 +171,14 @@ class Index:
         previous = np.full(len(at), -1)
         previous[order[same]] = at[order[np.flatnonzero(same) - 1]]  # the same word's place before
         half = PASSAGE // 2
-        slot = at // half
-        weight, n = self.bound[held], int(slot[-1]) + 1
-        reach = np.bincount(slot, weights=weight * (previous < slot * half), minlength=n)
-        early = slot > 0
-        reach += np.bincount(slot[early] - 1, weights=(weight * (previous < (slot - 1) * half))[early], minlength=n)
-        for k in np.flatnonzero(reach >= threshold - 1e-9).tolist():
+        slot = at // half                       # passage k is slots k and k + 1
+        reach = np.zeros((int(slot[-1]) + 2, self.bounds.shape[1]), dtype=np.float32)
+        for passage in (slot, slot - 1):        # each word counts once in a passage
+            once = np.flatnonzero((previous < passage * half) & (passage >= 0))
+            if len(once):
+                where, first = np.unique(passage[once], return_index=True)
+                reach[where] += np.add.reduceat(self.bounds[held[once]], first, axis=0)
+        for k in np.flatnonzero(reach.max(axis=1) >= threshold - 1e-4).tolist():
             low, high = np.searchsorted(at, (k * half, k * half + PASSAGE))
             for unit, score in self.search(np.unique(held[low:high]).tolist(), threshold):
                 item = self.owner[unit]
@@ -200,6 +207,19 @@ class Index:
         return shares[0], shares[1]
 
 
+def indexes(items: list[tuple], df: dict[str, int], n_units: int, mean_words: float) -> list[Index]:
+    """Indexes of at most ``INDEX_UNITS`` units, or of one item."""
+    out, group, held = [], [], 0
+    for item in items:
+        n = len(units_of(item[1]))
+        if group and held + n > INDEX_UNITS:
+            out.append(Index(group, df, n_units, mean_words))
+            group, held = [], 0
+        group.append(item)
+        held += n
+    return [*out, Index(group, df, n_units, mean_words)] if held else out
+
+
 def item_terms(items: DataFrame) -> DataFrame:
     """(part, words int, terms array<string>): the units of the items, for the counts."""
     def make():
@@ -239,21 +259,21 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD)
 
 def _searcher(shared, threshold: float, kinds: list[str]):
     def make():
-        index = Index(*shared.value)
+        held = indexes(*shared.value)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch):
                 out: list[tuple] = []
                 for at, text in enumerate(part.column("text").to_pylist()):
-                    words = words_of(text)
-                    best = index.retrieve(words, threshold)
-                    if not best:
-                        continue
-                    runs = grams(words, GRAM)
-                    for item, (score, first) in sorted(best.items()):
-                        asked, told = index.verify(item, words, runs)
-                        if asked >= QUESTION and told >= ANSWER:
-                            out.append((at, index.ids[item], score, asked, told, first))
+                    words, runs = words_of(text), None
+                    for index in held:
+                        best = index.retrieve(words, threshold)
+                        if best and runs is None:
+                            runs = grams(words, GRAM)
+                        for item, (score, first) in sorted(best.items()):
+                            asked, told = index.verify(item, words, runs)
+                            if asked >= QUESTION and told >= ANSWER:
+                                out.append((at, index.ids[item], score, asked, told, first))
                 if out:
                     at, item, *rest = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
