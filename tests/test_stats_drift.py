@@ -110,7 +110,7 @@ def test_same_law_not_drifted_shift_drifted(spark):
     r_same = {x.column: x.drifted for x in ks_statistics(ref, same, ["age", "dose"]).collect()}
     r_shift = {x.column: x.drifted for x in ks_statistics(ref, shifted, ["age", "dose"]).collect()}
     assert not r_same["age"] and r_shift["age"]
-    tests = {x.column: x.test for x in second_test(ref, shifted, ["age", "dose"]).collect()}
+    tests = {x.column: x.test for x in second_test(ref, shifted, ["age", "dose"], categorical=["dose"]).collect()}
     assert tests == {"age": "wasserstein_norm", "dose": "chi_square"}
 
 

@@ -9,7 +9,7 @@ KS p-value (D2): Kolmogorov's limiting distribution as a column expression
 ``ks_asymptotic``.
 
 Second test (D4): goodness-of-fit chi-square against the reference shares
-for low-cardinality columns, normed Wasserstein-1 for the others.
+for columns declared categorical, normed Wasserstein-1 for the others.
 
 Windowed drift (D9): the reference CDF is computed once over the distinct
 values of reference and all windows together (no copy of the reference per
@@ -23,9 +23,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trialframe.operators.prefix import running_totals, with_next_value
+from trialframe.operators.prefix import BUCKETS, running_totals
 from trialframe.operators.quantiles import stack_long
-from trialframe.session import cut_lineage
 
 # Monitored columns, p-value threshold and drift share gate.
 MONITOR_FEATURES = [
@@ -36,10 +35,8 @@ MONITOR_FEATURES = [
 P_THRESHOLD = 0.05
 MAX_DRIFT_SHARE = 0.15
 WASSERSTEIN_THRESHOLD = 0.1
-CHI_SQUARE_MAX_VALUES = 5
-# Chi-square 95th percentiles for 1..10 degrees of freedom.
-CHI2_CRITICAL_95 = [3.841459, 5.991465, 7.814728, 9.487729, 11.070498,
-                    12.591587, 14.067140, 15.507313, 16.918978, 18.307038]
+# Fixed value: monitored columns that are lists of fixed values, tested by chi-square.
+CATEGORICAL = ["dose_mg"]
 SERIES_TERMS = 10
 
 
@@ -102,7 +99,7 @@ def _round(c: Column, places: int | None) -> Column:
 
 
 def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR_FEATURES,
-                  buckets: int | None = None, places: int | None = 4,
+                  buckets: int = BUCKETS, places: int | None = 4,
                   side: Column | None = None) -> DataFrame:
     """D1 + D2: (ord, column, ks_statistic, p_value, drifted, n_ref, n_cur).
 
@@ -111,9 +108,17 @@ def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONIT
     rounded to 4; ``drifted`` uses the unrounded p.
     """
     cols = [c for c in cols if c in ref.columns and (cur is None or c in cur.columns)]
-    # the distinct-value table feeds several branches: materialize it once
-    g = cut_lineage(value_counts_by_side(ref, cur, cols, side))
-    g = running_totals(g, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
+    return ks_from_counts(value_counts_by_side(ref, cur, cols, side), cols, buckets, places)
+
+
+def side_counts(df: DataFrame, cols: list[str], name: str) -> DataFrame:
+    """(column, value, ``name``): distinct values of one side with their counts."""
+    return stack_long(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias(name))
+
+
+def ks_from_counts(counts: DataFrame, cols: list[str], buckets: int = BUCKETS, places: int | None = 4) -> DataFrame:
+    """D1 + D2 from (column, value, n_ref, n_cur); see :func:`ks_statistics`."""
+    g = running_totals(counts, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
     tot = g.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     g = g.join(F.broadcast(tot), "column")   # one row per monitored column
     diff = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
@@ -128,7 +133,7 @@ def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONIT
         F.coalesce(ok & (p < P_THRESHOLD), F.lit(False)).alias("drifted"),
         F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"))
     # a column with no values at all on a side still gets a row
-    allc = ref.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "ord int, column string")
+    allc = counts.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "ord int, column string")
     return allc.join(out.drop("ord"), "column", "left").select(
         "ord", "column", "ks_statistic", "p_value",
         F.coalesce("drifted", F.lit(False)).alias("drifted"),
@@ -174,45 +179,64 @@ def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATU
     return s.crossJoin(n)
 
 
+def chi_square_tail(x: float, df: int) -> float:
+    """P(X > x) of the chi-square law with ``df`` degrees of freedom (finite series)."""
+    h = x / 2
+    if df % 2 == 0:
+        return math.exp(-h) * sum(h ** i / math.factorial(i) for i in range(df // 2))
+    return math.erfc(math.sqrt(h)) + math.exp(-h) * sum(h ** (i - 0.5) / math.gamma(i + 0.5) for i in range(1, df // 2 + 1))
+
+
+def chi_square_critical(df: int, p: float = P_THRESHOLD) -> float:
+    """The value that the chi-square law with ``df`` degrees of freedom exceeds with probability ``p``."""
+    lo, hi = 0.0, df + 20.0 * math.sqrt(2.0 * df) + 20
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if chi_square_tail(mid, df) > p else (lo, mid)
+    return (lo + hi) / 2
+
+
 def second_test(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR_FEATURES,
-                max_values: int = CHI_SQUARE_MAX_VALUES, buckets: int | None = None,
+                categorical: list[str] = CATEGORICAL, max_values: int = 100, buckets: int = BUCKETS,
                 side: Column | None = None) -> DataFrame:
-    """Per column, chi-square goodness of fit (<= ``max_values`` distinct
-    reference values) or normed Wasserstein-1 (others).
+    """Chi-square goodness of fit for the ``categorical`` columns, normed
+    Wasserstein-1 for the others.  The kind is declared, never read off the data.
 
     Returns (column, test, statistic, threshold, drifted).  Chi-square:
     expected = reference count x n_cur / n_ref, drifted when the statistic
-    exceeds the 95 % critical value for (k - 1) degrees of freedom.
+    exceeds the 95 % critical value for (reference values - 1) degrees of freedom, or
+    when a value never seen in the reference arrives (the statistic is then infinite: null).
+    A categorical column of more than ``max_values`` reference values fails the query.
     Wasserstein: sum |F_ref - F_cur| dx over sorted distinct values divided by
     the reference population std; drifted above 0.1.
     """
     cols = [c for c in cols if c in ref.columns and (cur is None or c in cur.columns)]
-    g = cut_lineage(value_counts_by_side(ref, cur, cols, side))
-    per_col = g.groupBy("column").agg(
+    listed = F.col("column").isin([c for c in cols if c in categorical])
+    g = value_counts_by_side(ref, cur, cols, side)
+    per_col = g.groupBy(F.col("column").alias("_c")).agg(
         F.count_if(F.col("n_ref") > 0).alias("k_ref"),
-        F.count(F.lit(1)).alias("k"),
         F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
         F.try_divide(F.sum(F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("mean_ref"),
         F.try_divide(F.sum(F.col("value") * F.col("value") * F.col("n_ref")), F.sum("n_ref")).alias("m2_ref"))
     per_col = per_col.withColumn(
         "std_ref", F.sqrt(F.greatest(F.col("m2_ref") - F.col("mean_ref") * F.col("mean_ref"), F.lit(0.0))))
-    gj = g.join(F.broadcast(per_col), "column")   # one row per column
+    per_col = F.broadcast(per_col)                # one row per column
     # chi-square part
+    cg = g.where(listed).join(per_col, F.col("column") == F.col("_c"))
     exp_ = F.col("n_ref") * (F.col("tot_cur").cast("double") / F.col("tot_ref"))
-    chi = gj.filter(F.col("k_ref") <= max_values).groupBy("column", "k").agg(
+    chi = cg.groupBy("column", "k_ref").agg(
         F.sum(F.when(exp_ > 0, (F.col("n_cur") - exp_) ** 2 / exp_)).alias("_stat"),
         F.count_if((F.col("n_ref") == 0) & (F.col("n_cur") > 0)).alias("_new"))
-    # a value never seen in the reference makes the statistic infinite: null here, drifted
     chi = chi.withColumn("statistic", F.when(F.col("_new") == 0, F.col("_stat")))
-    crit = F.element_at(F.array(*[F.lit(v) for v in CHI2_CRITICAL_95]),
-                        F.least(F.greatest(F.col("k") - 1, F.lit(1)), F.lit(len(CHI2_CRITICAL_95))).cast("int"))
-    chi = chi.select("column", F.lit("chi_square").alias("test"), "statistic",
-                     crit.alias("threshold"),
-                     ((F.col("_new") > 0) | F.coalesce(F.col("statistic") > crit, F.lit(False))).alias("drifted"))
+    limits = F.array(*[F.lit(chi_square_critical(k)) for k in range(1, max_values)])
+    crit = F.when(F.col("k_ref") <= max_values, F.get(limits, F.greatest(F.col("k_ref") - 2, F.lit(0)).cast("int"))).otherwise(
+        F.raise_error(F.format_string("%s has more than %d reference values", F.col("column"), F.lit(max_values))).cast("double"))
+    chi = chi.withColumn("threshold", crit).select(
+        "column", F.lit("chi_square").alias("test"), "statistic", "threshold",
+        ((F.col("_new") > 0) | F.coalesce(F.col("statistic") > F.col("threshold"), F.lit(False))).alias("drifted"))
     # Wasserstein part
-    wg = gj.filter(F.col("k_ref") > max_values).select("column", "value", "n_ref", "n_cur", "tot_ref", "tot_cur", "std_ref")
-    wg = running_totals(wg, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
-    wg = with_next_value(wg, "value", keys=["column"], buckets=buckets)
+    wg = running_totals(g.where(~listed), "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets, next_value=True)
+    wg = wg.join(per_col, F.col("column") == F.col("_c"))
     step = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur")) * (
         F.col("next_value") - F.col("value"))
     w = wg.groupBy("column", "std_ref").agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("w1"))
@@ -224,7 +248,7 @@ def second_test(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR
 
 
 def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
-                buckets: int | None = None, places: int | None = 4) -> DataFrame:
+                buckets: int = BUCKETS, places: int | None = 4) -> DataFrame:
     """KS of one reference against every time slice ``window`` of ``cur``.
 
     Per window w with sorted distinct values x_1 < ... < x_m, the largest gap
@@ -239,15 +263,14 @@ def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
         F.col("v").isNotNull())
     ref_counts = r.groupBy("v").agg(F.count(F.lit(1)).cast("long").alias("n_ref"))
     points = c.select("v").distinct().withColumn("n_ref", F.lit(0).cast("long"))
-    allv = cut_lineage(ref_counts.unionByName(points).groupBy("v").agg(F.sum("n_ref").alias("n_ref")))
+    allv = ref_counts.unionByName(points).groupBy("v").agg(F.sum("n_ref").alias("n_ref"))
     allv = running_totals(allv, "v", ["n_ref"], buckets=buckets)
     n_ref = r.agg(F.count(F.lit(1)).alias("tot_ref"))
     cdf = allv.crossJoin(F.broadcast(n_ref)).select(   # one-row broadcast
         "v", (F.col("cum_n_ref") / F.col("tot_ref")).alias("f_ref"),
         ((F.col("cum_n_ref") - F.col("n_ref")) / F.col("tot_ref")).alias("f_ref_below"), "tot_ref")
-    wc = cut_lineage(c.groupBy("w", "v").agg(F.count(F.lit(1)).cast("long").alias("n_cur")))
-    wc = running_totals(wc, "v", ["n_cur"], keys=["w"], buckets=buckets)
-    wc = with_next_value(wc, "v", keys=["w"], buckets=buckets)
+    wc = c.groupBy("w", "v").agg(F.count(F.lit(1)).cast("long").alias("n_cur"))
+    wc = running_totals(wc, "v", ["n_cur"], keys=["w"], buckets=buckets, next_value=True)
     wn = wc.groupBy("w").agg(F.sum("n_cur").alias("tot_cur"), F.min("v").alias("v_first"))
     wc = wc.join(wn, "w").join(cdf, "v")
     nxt = cdf.select(F.col("v").alias("next_v"), F.col("f_ref_below").alias("f_ref_below_next"))
@@ -265,3 +288,23 @@ def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
                     F.when(ok, _round(p, places)).alias("p_value"),
                     F.coalesce(ok & (p < P_THRESHOLD), F.lit(False)).alias("drifted"),
                     F.col("tot_ref").cast("long").alias("n_ref"), F.col("tot_cur").cast("long").alias("n_cur"))
+
+
+def drift_history_entry(summary: DataFrame, report_id: str, at: str) -> DataFrame:
+    """A drift verdict as a history row."""
+    return summary.select(F.lit(report_id).alias("report_id"), F.lit(at).cast("timestamp_ntz").alias("reported_at"), "*")
+
+
+def append_history(entry: DataFrame, root: str) -> None:
+    entry.write.mode("append").parquet(f"{root}/drift_history")
+
+
+def history_status(history: DataFrame) -> DataFrame:
+    """Number of reports and the latest one (one row)."""
+    latest = F.max_by(F.struct(*history.columns), F.struct("reported_at", "report_id"))
+    return history.agg(F.count(F.lit(1)).cast("long").alias("n_reports"), latest.alias("latest"))
+
+
+def ranked(per_column: DataFrame) -> DataFrame:
+    """K6: columns by KS statistic, largest first (ties by name)."""
+    return per_column.orderBy(F.desc_nulls_last("ks_statistic"), "column")

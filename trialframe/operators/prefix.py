@@ -1,16 +1,16 @@
 """Ordered running totals that do not funnel into one task.
 
-A plain ``Window.orderBy(v)`` (no partition) or ``partitionBy(column)``
-with a dozen columns runs in one / a dozen tasks.  Here every row gets a
-value bucket (equal width, on a sign(v)*log1p(|v|) scale, over the key's
-exact [min, max], so the bucket of a row is a pure function of its value and is the same in every consumer
-and every retry), running sums are computed inside each (key, bucket)
-window, and each bucket adds the total of all earlier buckets of its key as
-an offset.  The offset table has one row per non-empty (key, bucket).
+A plain ``Window.orderBy(v)`` (no partition) or ``partitionBy(column)`` with a
+dozen columns runs in one / a dozen tasks.  Here each key's rows are cut into
+ranges at approximate quantiles of the order value, so ranges hold about equally many
+rows whatever the values' distribution (an outlier does not stretch them).  The range of
+a row is a pure function of its value and the key's cuts.  Sums run inside each
+(key, range) window, and each range adds the total of all earlier ranges of its key.
+The table of range totals has at most ``buckets`` rows per key.
 
 Callers first aggregate to distinct order values, so a value that holds a
-third of all rows is one row here.  ``buckets`` sets the number of buckets
-per key; the (key, bucket) windows are spread over tasks by hash.
+third of all rows is one row here.  A null key is a key like any other; a null
+order value has no place in the order and its row is dropped.
 """
 
 from __future__ import annotations
@@ -18,67 +18,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
-ROWS_PER_BUCKET = 2_000_000   # more buckets for bigger keys: a bucket stays one task's worth
+BUCKETS = 256            # ranges per key
 
 
-def _squash(c):
-    """Monotone sign(v) * log1p(|v|): equal-width buckets on this scale stay
-    balanced for heavy-tailed values (outliers no longer stretch the range)."""
-    c = c.cast("double")
-    return F.signum(c) * F.log1p(F.abs(c))
-
-
-def _with_bucket(df: DataFrame, order: str, keys: list[str], n: int, scale: str = "log") -> DataFrame:
-    """Bucket id per row.  ``scale``: "log" (sign*log1p, for measurements that may
-    be heavy-tailed) or "linear" (for values spread evenly, such as hashes).
-    The bucket count per key is at least ``n`` and grows with the key's rows."""
-    f = _squash if scale == "log" else (lambda c: c.cast("double"))
-    rng = df.groupBy(*keys).agg(f(F.min(order)).alias("_lo"), f(F.max(order)).alias("_hi"),
-                                F.count(F.lit(1)).alias("_cnt"))
-    rng = rng.withColumn("_nb", F.greatest(F.lit(n), F.ceil(F.col("_cnt") / F.lit(ROWS_PER_BUCKET))))
-    r = df.join(rng, keys) if keys else df.crossJoin(F.broadcast(rng))  # no keys: one row
-    width = F.col("_hi") - F.col("_lo")
-    pos = F.floor((f(F.col(order)) - F.col("_lo")) / width * F.col("_nb"))
-    b = F.when(width > 0, F.least(pos, F.col("_nb") - 1)).otherwise(F.lit(0)).cast("long")
-    return r.withColumn("_b", b).drop("_lo", "_hi", "_cnt", "_nb")
+def _with_range(df: DataFrame, order: str, keys: list[str], buckets: int) -> DataFrame:
+    """``_key`` (a struct of the keys, never null) and the range number ``_b`` of each row."""
+    n = 1 << (buckets - 1).bit_length()      # a power of two: the range is found by halving
+    r = df.where(F.col(order).isNotNull()).withColumn("_key", F.struct(*keys) if keys else F.lit(0))
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
+    cuts = r.groupBy("_key").agg(F.percentile_approx(F.col(order).cast("double"), shares, 20 * n).alias("_cuts"))
+    r = r.join(cuts, "_key").withColumn("_b", F.lit(0))
+    v, step = F.col(order).cast("double"), n // 2
+    while step:          # binary search: the number of cuts below the value
+        r = r.withColumn("_b", F.col("_b") + F.when(F.get("_cuts", F.col("_b") + (step - 1)) < v, step).otherwise(0))
+        step //= 2
+    return r.drop("_cuts")
 
 
 def running_totals(df: DataFrame, order: str, sums: list[str], keys: list[str] | None = None,
-                   buckets: int | None = None, scale: str = "log") -> DataFrame:
+                   buckets: int = BUCKETS, next_value: bool = False) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows of the same keys with order <= this row.
 
+    ``next_value`` adds ``next_<order>``, the next larger order value of the same keys.
     Ties in ``order`` must already be aggregated (one row per key/value).
     """
     keys = list(keys or [])
-    r = _with_bucket(df, order, keys, buckets or DEFAULT_BUCKETS, scale)
-    w_in = (Window.partitionBy(*keys, "_b").orderBy(order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    totals = r.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    r = r.withColumns({f"_in_{c}": F.sum(c).over(w_in) for c in sums})
-    w_off = (Window.partitionBy(*keys).orderBy("_b")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(*keys, "_b", *[
-        F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sums])
-    out = r.join(offsets, [*keys, "_b"])
+    r = _with_range(df, order, keys, buckets)
+    inside = Window.partitionBy("_key", "_b").orderBy(order)
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = r.groupBy("_key", "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], F.min(order).alias("_first"))
+    along = Window.partitionBy("_key").orderBy("_b")             # one row a range
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_key", "_b", F.lead("_first").over(along).alias("_next_first"), *[
+        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
+    r = r.withColumns({f"_in_{c}": F.sum(c).over(upto) for c in sums})
+    if next_value:
+        r = r.withColumn("_lead", F.lead(order).over(inside))
+    out = r.join(offsets, ["_key", "_b"])
     out = out.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.col(f"_in_{c}") for c in sums})
-    return out.drop("_b", *[f"_in_{c}" for c in sums], *[f"_o_{c}" for c in sums])
-
+    if next_value:
+        out = out.withColumn(f"next_{order}", F.coalesce("_lead", "_next_first")).drop("_lead")
+    return out.drop("_key", "_b", "_next_first", *[f"_in_{c}" for c in sums], *[f"_o_{c}" for c in sums])
 
-def with_next_value(df: DataFrame, order: str, keys: list[str] | None = None,
-                    buckets: int | None = None) -> DataFrame:
-    """Add ``next_<order>``: the next larger order value within the same keys.
 
-    ``lead`` inside each bucket; a bucket's last row takes the first value
-    of the next non-empty bucket.
-    """
-    keys = list(keys or [])
-    r = _with_bucket(df, order, keys, buckets or DEFAULT_BUCKETS)
-    w_in = Window.partitionBy(*keys, "_b").orderBy(order)
-    r = r.withColumn("_lead", F.lead(order).over(w_in))
-    firsts = r.groupBy(*keys, "_b").agg(F.min(order).alias("_first"))
-    w_next = Window.partitionBy(*keys).orderBy("_b")
-    nxt = firsts.select(*keys, "_b", F.lead("_first").over(w_next).alias("_next_first"))
-    out = r.join(nxt, [*keys, "_b"])
-    out = out.withColumn(f"next_{order}", F.coalesce(F.col("_lead"), F.col("_next_first")))
-    return out.drop("_b", "_lead", "_next_first")
+def with_next_value(df: DataFrame, order: str, keys: list[str] | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """Add ``next_<order>``: the next larger order value within the same keys."""
+    return running_totals(df, order, [], keys, buckets, next_value=True)

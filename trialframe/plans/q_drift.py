@@ -6,13 +6,13 @@ and features computed per side (each side is its own batch).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trialframe.functions.recipe import engineer_features
 from trialframe.operators.drift import (
-    CHI2_CRITICAL_95, MAX_DRIFT_SHARE, MONITOR_FEATURES, P_THRESHOLD, WASSERSTEIN_THRESHOLD,
-    drift_summary, ks_pvalue_sql, ks_statistics, second_test, windowed_ks)
+    CATEGORICAL, MAX_DRIFT_SHARE, MONITOR_FEATURES, P_THRESHOLD, WASSERSTEIN_THRESHOLD, chi_square_critical,
+    drift_summary, ks_pvalue_sql, ks_statistics, ranked, second_test, windowed_ks)
 from trialframe.plans.catalog import r6, register, rnd
 from trialframe.plans.fixtures import shifted_production, shifted_production_sql
 from trialframe.plans.oracle import with_trials
@@ -64,6 +64,16 @@ def ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return k.withColumns({"ks_statistic": rnd("ks_statistic", 4), "p_value": rnd("p_value", 4)})
 
 
+@register("drift_ranked", with_trials("""
+SELECT row_number() OVER (ORDER BY d DESC NULLS LAST, "column") AS place, "column", ROUND(d, 4) + 0e0 AS ks_statistic FROM ks""",
+                                     extra_ctes=_DRIFT_CTES))
+def drift_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: the monitored columns by KS statistic, largest first."""
+    k = ranked(ks_statistics(drift_table(spark, sf_dir), None, places=None, side=is_ref()))
+    w = Window.orderBy(F.desc_nulls_last("ks_statistic"), "column")         # one row per monitored column
+    return k.select(F.row_number().over(w).cast("long").alias("place"), "column", rnd("ks_statistic", 4).alias("ks_statistic"))
+
+
 @register("drift_summary", with_trials(f"""
 SELECT n_drifted_features, n_total_features,
        ROUND(share, 4) + 0e0 AS share_drifted_features,
@@ -89,7 +99,8 @@ def drift_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dataset_drift_detected", "alert", "retrain", "n_reference_samples", "n_current_samples")
 
 
-_CRIT = "[" + ", ".join(f"{v!r}e0" if "e" not in repr(v) else repr(v) for v in CHI2_CRITICAL_95) + "]"
+_CRIT = "[" + ", ".join(f"{chi_square_critical(k)!r}e0" for k in range(1, 20)) + "]"
+_LISTED = "(" + ", ".join(f"'{c}'" for c in CATEGORICAL) + ")"
 
 
 @register("second_drift_test", with_trials(f"""
@@ -98,25 +109,25 @@ FROM (
   SELECT g."column", 'chi_square' AS test,
     CASE WHEN count(*) FILTER (WHERE n_ref = 0 AND n_cur > 0) = 0 THEN
       sum(CASE WHEN n_ref > 0 THEN (n_cur - n_ref * (tot_cur / tot_ref)) ^ 2 / (n_ref * (tot_cur / tot_ref)) END) END AS statistic,
-    {_CRIT}[LEAST(GREATEST(count(*) - 1, 1), {len(CHI2_CRITICAL_95)})] AS threshold,
+    {_CRIT}[GREATEST(max(k_ref) - 1, 1)] AS threshold,
     count(*) FILTER (WHERE n_ref = 0 AND n_cur > 0) > 0
       OR COALESCE(sum(CASE WHEN n_ref > 0 THEN (n_cur - n_ref * (tot_cur / tot_ref)) ^ 2 / (n_ref * (tot_cur / tot_ref)) END)
-                  > {_CRIT}[LEAST(GREATEST(count(*) - 1, 1), {len(CHI2_CRITICAL_95)})], false) AS drifted
+                  > {_CRIT}[GREATEST(max(k_ref) - 1, 1)], false) AS drifted
   FROM g JOIN t USING ("column") JOIN k USING ("column")
-  WHERE k_ref <= 5 GROUP BY g."column"
+  WHERE g."column" IN {_LISTED} GROUP BY g."column"
   UNION ALL
   SELECT "column", 'wasserstein_norm', w1 / std_ref, {WASSERSTEIN_THRESHOLD}e0, COALESCE(w1 / std_ref > {WASSERSTEIN_THRESHOLD}, false)
   FROM (SELECT "column", std_ref,
           COALESCE(sum(abs(cum_ref / tot_ref - cum_cur / tot_cur) * (next_value - value)), 0e0) AS w1
         FROM (SELECT *, lead(value) OVER (PARTITION BY "column" ORDER BY value) AS next_value FROM c) c2
         JOIN t USING ("column") JOIN k USING ("column")
-        WHERE k_ref > 5 GROUP BY "column", std_ref) w
+        WHERE "column" NOT IN {_LISTED} GROUP BY "column", std_ref) w
 ) x""", extra_ctes=_DRIFT_CTES + """,
 k AS (SELECT "column", count(*) FILTER (WHERE n_ref > 0) AS k_ref,
         sqrt(greatest(sum(value * value * n_ref) / sum(n_ref) - (sum(value * n_ref) / sum(n_ref)) ^ 2, 0e0)) AS std_ref
       FROM g GROUP BY 1)"""))
 def second_drift_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chi-square (few distinct values) or normed Wasserstein (others) per column."""
+    """Chi-square (declared categorical) or normed Wasserstein (others) per column."""
     s = second_test(drift_table(spark, sf_dir), None, side=is_ref())
     return s.select("column", "test", r6("statistic").alias("statistic"), r6("threshold").alias("threshold"),
                     "drifted")
@@ -141,11 +152,11 @@ SELECT w AS week_start, ROUND(d, 4) + 0e0 AS ks_statistic,
        {ks_pvalue_sql('d', 'tot_ref', 'tot_cur')} < {P_THRESHOLD} AS drifted,
        CAST(tot_ref AS BIGINT) AS n_ref, CAST(tot_cur AS BIGINT) AS n_cur
 FROM d""")
-def drift_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first week of events is the reference; each later week is tested against it."""
+def drift_by_window(spark: SparkSession, sf_dir: str, split: str = _WEEK_SPLIT) -> DataFrame:
+    """Events before ``split`` are the reference; each later week is tested against them."""
     ev = read_table(spark, sf_dir, "events")
-    ref = ev.filter(F.col("ts") < F.lit(_WEEK_SPLIT).cast("timestamp_ntz"))
-    cur = ev.filter(F.col("ts") >= F.lit(_WEEK_SPLIT).cast("timestamp_ntz")).withColumn(
+    ref = ev.filter(F.col("ts") < F.lit(split).cast("timestamp_ntz"))
+    cur = ev.filter(F.col("ts") >= F.lit(split).cast("timestamp_ntz")).withColumn(
         "week_start", F.to_date(F.date_trunc("week", F.col("ts"))))
     k = windowed_ks(ref, cur, "value", "week_start", places=None)
     return k.withColumns({"ks_statistic": rnd("ks_statistic", 4), "p_value": rnd("p_value", 4)})
