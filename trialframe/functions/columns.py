@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,19 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def number(col: Column | str) -> Column:
+    """The column as double with NaN as null (pandas keeps missing numbers as NaN)."""
+    c = _c(col).cast("double")
+    return F.nanvl(c, F.lit(None).cast("double"))
+
+
+def is_null(df: DataFrame, name: str) -> Column:
+    """Null, or NaN in a floating column."""
+    c = F.col(name)
+    floating = df.schema[name].dataType.typeName() in ("double", "float")
+    return c.isNull() | F.isnan(c) if floating else c.isNull()
+
+
 def clip(col: Column | str, lo: float | None = None, hi: float | None = None) -> Column:
     """Bound values; null stays null (least/greatest would skip it)."""
     c = _c(col)
@@ -39,9 +52,9 @@ def bucket_case(col: Column | str, rules: Sequence[tuple[str, float, float]],
     """First matching (op, bound, value) rule wins, else ``default``.
 
     ``op`` is one of ``<``, ``<=``, ``>``, ``>=``.  A null input matches no
-    rule (pandas compares NaN as False) and gets ``default``.
+    rule, a NaN neither (pandas compares NaN as False), and both get ``default``.
     """
-    c = _c(col)
+    c = number(col)
     ops = {"<": c.__lt__, "<=": c.__le__, ">": c.__gt__, ">=": c.__ge__}
     expr = None
     for op, bound, value in rules:

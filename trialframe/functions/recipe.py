@@ -101,8 +101,13 @@ def engineer_features(df: DataFrame, scale: str | dict[str, float] | DataFrame =
     scale_df = None
     if isinstance(scale, str) and scale == "batch":
         scale_df = fit_scale(df, by)
-    elif isinstance(scale, DataFrame):
+    elif isinstance(scale, DataFrame) and by is not None and by in scale.columns:
         scale_df = scale
+    elif isinstance(scale, DataFrame):
+        rows = scale.limit(2).collect()
+        if len(rows) != 1:
+            raise ValueError("a fitted scale has exactly one row")
+        scale = {k: rows[0][f"scale_{k}"] for k in FIXED_SCALE}
     if scale_df is not None:
         if by is not None and by in scale_df.columns:
             df = df.join(scale_df, by)

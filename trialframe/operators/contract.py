@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trialframe.functions.columns import is_null
+
 
 class MissingColumnsError(ValueError):
     pass
@@ -44,11 +46,14 @@ def drop_if_exists(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def column_report(df: DataFrame, wanted: list[str]) -> DataFrame:
-    """P1/P2/U2 as a table: (ord, column, present) for each wanted name."""
-    have = set(df.columns)
-    spark = df.sparkSession
-    rows = [(i, c, c in have) for i, c in enumerate(wanted)]
-    return spark.createDataFrame(rows, "ord int, column string, present boolean")
+    """P1/P2/U2 as a table: (ord, column, present, nulls) for each wanted name; an absent column
+    is missing in every row.  One pass over the present columns."""
+    missing = set(missing_columns(df, wanted))
+    counts = F.array(*[F.struct(
+        F.lit(i).alias("ord"), F.lit(c).alias("column"), F.lit(c not in missing).alias("present"),
+        (F.count(F.lit(1)) if c in missing else F.count_if(is_null(df, c))).cast("long").alias("nulls"))
+        for i, c in enumerate(wanted)])
+    return df.agg(counts.alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
 
 
 @dataclass(frozen=True)

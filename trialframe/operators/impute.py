@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trialframe.functions.columns import number
 from trialframe.operators.quantiles import exact_medians
 
 
@@ -27,9 +28,13 @@ def fill_median(df: DataFrame, cols: list[str], medians: DataFrame | None = None
     ``medians`` may be a saved one-row table from :func:`median_table`
     (the fitted imputer), so scoring uses training medians.
     """
-    m = medians if medians is not None else median_table(df, cols)
-    out = df.crossJoin(F.broadcast(m))
-    out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"median_{c}")) for c in cols})
+    if medians is not None:
+        rows = medians.limit(2).collect()
+        if len(rows) != 1:
+            raise ValueError("a saved median table has exactly one row")
+        return df.withColumns({c: F.coalesce(number(c), F.lit(rows[0][f"median_{c}"])) for c in cols})
+    out = df.crossJoin(F.broadcast(median_table(df, cols)))        # one row: an aggregate without keys
+    out = out.withColumns({c: F.coalesce(number(c), F.col(f"median_{c}")) for c in cols})
     return out.drop(*[f"median_{c}" for c in cols])
 
 

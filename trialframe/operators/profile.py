@@ -1,8 +1,8 @@
 """Column profiles.
 
 ``column_stats`` computes mean, sample std, min and max of many columns in
-one stacked ``groupBy(column)`` (partial aggregation on the map side), and
-the exact median through the bracketed quantile plan.
+one wide aggregate, and the exact median through the bracketed quantile plan.
+NaN counts as null everywhere.
 """
 
 from __future__ import annotations
@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialframe.operators.quantiles import exact_quantile_long, stack_long
+from trialframe.functions.columns import is_null, number
+from trialframe.operators.quantiles import wide_medians
 
 
 def column_stats(df: DataFrame, cols: list[str], places: int | None = 3,
@@ -18,26 +19,16 @@ def column_stats(df: DataFrame, cols: list[str], places: int | None = 3,
     """(column, mean, std, min, max, median); std is the sample std (ddof 1).
 
     ``by`` adds a grouping column (for example a side), giving one row per
-    (by, column).
+    (by, column).  ``places`` rounds half to even.  A column without values has no row.
     """
-    keep = [by] if by else []
-    long = stack_long(df, cols, keep=keep)
-    keys = keep + ["column"]
-    v = F.col("value")
-    base = long.groupBy(*keys).agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-                                   F.min(v).alias("min"), F.max(v).alias("max"))
-    if by:
-        long = long.withColumn("_k", F.concat_ws("\u0001", F.col(by), F.col("column")))
-        med = exact_quantile_long(long, 0.5, key="_k").select("_k", F.col("quantile").alias("median"))
-        base = base.withColumn("_k", F.concat_ws("\u0001", F.col(by), F.col("column")))
-        out = base.join(med, "_k").drop("_k")
-    else:
-        med = exact_quantile_long(long, 0.5).select("column", F.col("quantile").alias("median"))
-        out = base.join(med, "column")
+    keys = ([by] if by else []) + ["column"]
+    basics = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    stats, medians = wide_medians(df, cols, by=by, more={k: [f(number(c)) for c in cols] for k, f in basics.items()})
+    m = medians.select(*[F.col(k).alias(f"_m_{k}") for k in keys], F.col("quantile").alias("median"))
+    out = stats.join(m, [F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys])
     if places is not None:
-        out = out.withColumns({c: F.round(F.col(c), places) + F.lit(0.0)
-                               for c in ["mean", "std", "min", "max", "median"]})
-    return out.select(*keys, "mean", "std", "min", "max", "median")
+        out = out.withColumns({c: F.bround(F.col(c), places) + F.lit(0.0) for c in [*basics, "median"]})
+    return out.select(*keys, *basics, "median")
 
 
 def value_counts(df: DataFrame, col: str | list[str]) -> DataFrame:
@@ -50,8 +41,12 @@ def value_counts(df: DataFrame, col: str | list[str]) -> DataFrame:
 def compare_stats(ref: DataFrame, cur: DataFrame, cols: list[str]) -> DataFrame:
     """Reference mean beside current mean for columns present on both sides."""
     both = [c for c in cols if c in ref.columns and c in cur.columns]
-    r = column_stats(ref, both, places=None).select("column", F.col("mean").alias("ref_mean"))
-    c = column_stats(cur, both, places=None).select("column", F.col("mean").alias("cur_mean"))
+
+    def means(df: DataFrame, name: str) -> DataFrame:
+        one = df.agg(F.array(*[F.struct(F.lit(c).alias("column"), F.avg(number(c)).alias(name)) for c in both]).alias("m"))
+        return one.select(F.explode("m").alias("r")).select("r.*")
+
+    r, c = means(ref, "ref_mean"), means(cur, "cur_mean")
     return r.join(c, "column").withColumn("mean_change", F.col("cur_mean") - F.col("ref_mean"))
 
 
@@ -59,7 +54,7 @@ def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A1 + A2: (column, nulls, null_share) per column plus a total row ``*``."""
     cols = cols or df.columns
     agg = df.agg(F.count(F.lit(1)).alias("_n"),
-                 *[F.count_if(F.col(c).isNull()).cast("long").alias(f"_nulls_{i}")
+                 *[F.count_if(is_null(df, c)).cast("long").alias(f"_nulls_{i}")
                    for i, c in enumerate(cols)])
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"_nulls_{i}").alias("nulls"))
                      for i, c in enumerate(cols)])

@@ -7,7 +7,7 @@ details) table; nothing is collected except by the gate, which reads the
 one-row summary.
 
 Row rules count failing rows with ``count_if(NOT coalesce(rule, false))``:
-a null fails the rule (pandas compares NaN as False) and an empty table
+a null or NaN fails the rule (pandas compares NaN as False) and an empty table
 passes (pandas ``all()`` of nothing is True).
 """
 
@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trialframe.functions.columns import is_null, number
 from trialframe.sources.tables import DOSES
 
 
@@ -49,7 +50,6 @@ TRIAL_CHECKS = [
 ]
 
 MAX_FAILED_CHECKS = 3     # gate: stop when more than this many checks fail
-VALUE_LIST_LIMIT = 20     # distinct values shown in an isin check's details
 
 
 class QualityGateError(RuntimeError):
@@ -65,20 +65,20 @@ def _rule(c: Column, op: str, bound: float) -> Column:
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> list[Column]:
-    """A1: one ``count_if(isNull)`` per column (to be used in one agg)."""
+    """A1: one null count (NaN included) per column (to be used in one agg)."""
     cols = cols or df.columns
-    return [F.count_if(F.col(c).isNull()).cast("long").alias(f"nulls__{c}") for c in cols]
+    return [F.count_if(is_null(df, c)).cast("long").alias(f"nulls__{c}") for c in cols]
 
 
-def total_nulls(cols: list[str]) -> Column:
+def total_nulls(df: DataFrame, cols: list[str]) -> Column:
     """A1 total, A2 numerator; null counts summed inside the same aggregate."""
-    return sum((F.count_if(F.col(c).isNull()).cast("long") for c in cols), F.lit(0).cast("long"))
+    return sum((F.count_if(is_null(df, c)).cast("long") for c in cols), F.lit(0).cast("long"))
 
 
 def null_rate(df: DataFrame, cols: list[str] | None = None) -> Column:
     """A2: mean over columns of the null share = total nulls / (rows x columns)."""
     cols = cols or df.columns
-    return F.try_divide(total_nulls(cols).cast("double"), F.count(F.lit(1)) * F.lit(len(cols)))
+    return F.try_divide(total_nulls(df, cols).cast("double"), F.count(F.lit(1)) * F.lit(len(cols)))
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
@@ -91,24 +91,30 @@ def duplicate_count(df: DataFrame, key: str) -> DataFrame:
               .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("duplicates")))
 
 
-def distinct_values(df: DataFrame, col: str, limit: int = VALUE_LIST_LIMIT) -> DataFrame:
-    """A5: the smallest ``limit`` distinct values, sorted (bounded top-k, not collect_set)."""
-    top = df.select(col).distinct().orderBy(F.col(col).asc_nulls_last()).limit(limit)
-    return top.agg(F.transform(F.sort_array(F.collect_list(F.col(col))),
-                               lambda v: v.cast("string")).alias("values"))
+def check_values(df: DataFrame, checks: list[Check] | None = None) -> DataFrame:
+    """A5: (check, value, n) - every distinct value that an isin check met, as rows, without a limit."""
+    isin = [c for c in (TRIAL_CHECKS if checks is None else checks) if c.kind == "isin"]
+    pairs = F.array(*[F.struct(F.lit(c.name).alias("check"), F.col(c.column).cast("string").alias("value")) for c in isin])
+    return (df.select(F.explode(pairs).alias("p")).groupBy("p.check", "p.value")
+            .agg(F.count(F.lit(1)).cast("long").alias("n")))
+
+
+def known(df: DataFrame, name: str) -> Column:
+    """The column, NaN as null."""
+    return F.when(~is_null(df, name), F.col(name))
 
 
 def _observed_and_details(df: DataFrame, chk: Check):
     """Aggregate expressions for one check: (observed, passed, details)."""
     a = chk.args
     if chk.kind == "not_null":
-        n = F.count_if(F.col(chk.column).isNull()).cast("long")
+        n = F.count_if(is_null(df, chk.column)).cast("long")
         return n.cast("double"), n == 0, F.format_string("nulls=%d", n)
     if chk.kind == "null_rate":
         r = null_rate(df)
         return r, F.coalesce(r < a["below"], F.lit(False)), F.format_string("null_rate=%.2f%%", r * 100)
     if chk.kind == "range":
-        c = F.col(chk.column)
+        c = known(df, chk.column)
         n = _fails(c.between(a["lo"], a["hi"]))
         fmt = a.get("fmt", "%.1f")
         det = F.format_string(f"range=[{fmt}, {fmt}]", F.min(c), F.max(c))
@@ -117,14 +123,14 @@ def _observed_and_details(df: DataFrame, chk: Check):
         n = _fails(F.col(chk.column).isin(list(a["values"])))
         return n.cast("double"), n == 0, None
     if chk.kind == "mean_between":
-        m = F.avg(F.col(chk.column).cast("double"))
-        ok = F.coalesce((m > a["lo"]) & (m < a["hi"]) & ~F.isnan(m), F.lit(False))
+        m = F.avg(number(chk.column))
+        ok = F.coalesce((m > a["lo"]) & (m < a["hi"]), F.lit(False))
         return m, ok, F.format_string("efficacy_rate=%.2f%%", m * 100)
     if chk.kind == "min_rows":
         n = F.count(F.lit(1))
         return n.cast("double"), n >= a["n"], F.format_string("n_samples=%d", n)
     if chk.kind == "rule":
-        c = F.col(chk.column)
+        c = known(df, chk.column)
         n = _fails(_rule(c, a["op"], a["bound"]))
         if a["op"] == ">":
             fmt = a.get("fmt", "%.0f")
@@ -156,12 +162,8 @@ def _grouped_side_checks(df: DataFrame, checks: list[Check]) -> dict[int, DataFr
             part = g.filter(F.col("_gid") == gid[chk.column])
             out[i] = part.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias(f"dup_{i}"))
         elif chk.kind == "isin":
-            part = g.filter(F.col("_gid") == gid[chk.column]).select(chk.column)
-            top = part.orderBy(F.col(chk.column).asc_nulls_last()).limit(VALUE_LIST_LIMIT)
-            vals = top.agg(F.transform(F.sort_array(F.collect_list(F.col(chk.column))),
-                                       lambda v: v.cast("string")).alias("values"))
-            out[i] = vals.select(F.concat(F.lit("unique_values=["), F.array_join("values", ", "),
-                                          F.lit("]")).alias(f"det_{i}"))
+            part = g.filter(F.col("_gid") == gid[chk.column])
+            out[i] = part.agg(F.format_string("distinct_values=%d", F.count(F.lit(1))).alias(f"det_{i}"))
     return out
 
 

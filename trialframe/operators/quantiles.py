@@ -1,72 +1,120 @@
 """Exact quantiles that scale (used by P18 median fill and A8 column stats).
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-final buffer, which does not hold at 100 TB.  Instead, for each column:
-
-1. one pass: row count and an approximate bracket ``[lo, hi]`` around the
-   target ranks (``percentile_approx`` with a rank error below n/ACCURACY);
-2. second pass: how many values fall below ``lo`` and the (small, about
-   4n/ACCURACY) sorted list of values inside the bracket;
-3. the exact order statistics are read from that list at the target ranks
-   minus the count below ``lo``; the median interpolates like pandas.
-
-All columns go through one stacked (column, value) table, so the plan is
-one scan, two aggregates per pass, grouped by column name.  When the bracket
-misses the ranks (it cannot within the sketch's guarantee) the result is
-null rather than a wrong value.
+final buffer, which does not hold at 100 TB.  Instead:
+
+1. one wide aggregate: row count and an approximate bracket ``[lo, hi]`` around the
+   target ranks of every column (``percentile_approx``, rank error below n/ACCURACY);
+2. second pass: the values are counted, those below ``lo`` or above ``hi`` as one entry
+   and those inside the bracket by distinct value, so a hot value is one row;
+3. running counts over the bracket's distinct values give the exact order
+   statistics; the quantile interpolates like pandas.
+
+Nulls and NaN are ignored.  If a bracket misses its ranks (it cannot within the
+sketch's guarantee) the query fails rather than return a wrong value.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trialframe.functions.columns import number
+from trialframe.operators.prefix import running_totals
+
 ACCURACY = 100_000
 
 
 def stack_long(df: DataFrame, cols: list[str], value: str = "value",
                keep: list[str] | None = None) -> DataFrame:
-    """Wide -> long: (column, value) rows, nulls dropped."""
+    """Wide -> long: (column, value) rows, nulls and NaN dropped."""
     keep = keep or []
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias(value))
-                      for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), number(c).alias(value)) for c in cols])
     return (df.select(*keep, F.explode(pairs).alias("kv"))
               .select(*keep, "kv.column", f"kv.{value}")
               .filter(F.col(value).isNotNull()))
 
 
+def bracket(v: Column, q: float, accuracy: int = ACCURACY) -> Column:
+    """Aggregate: array [lo, hi] around the quantile's ranks."""
+    eps = 3.0 / accuracy
+    return F.percentile_approx(v, F.array(F.lit(max(0.0, q - eps)), F.lit(min(1.0, q + eps))), accuracy)
+
+
+def _from_counts(counts: DataFrame, bounds: DataFrame, q: float, keys: list[str]) -> DataFrame:
+    """(keys, n, quantile) from ``bounds`` (keys, n) and ``counts`` (keys, zone, value, c, top, bottom):
+    zone 0 holds the bracket's distinct values, -1 and 1 what lies below and above it in one row each.
+
+    A rank can lie one order statistic outside the bracket; that is the zone's ``top`` or ``bottom``.
+    """
+    named = lambda zone, p, *cols: counts.where(F.col("zone") == zone).select(      # noqa: E731
+        *[F.col(k).alias(f"{p}{k}") for k in keys], *cols)
+    same = lambda p: [F.col(k).eqNullSafe(F.col(f"{p}{k}")) for k in keys]          # noqa: E731
+    below = named(-1, "_b_", F.col("c").alias("_below"), F.col("top").alias("_under"))
+    above = named(1, "_a_", F.col("bottom").alias("_over"))
+    inside = running_totals(counts.where("zone = 0").select(*keys, "value", "c"), "value", ["c"], keys=keys)
+    pos = F.lit(q) * (F.col("n") - 1)
+    start = F.coalesce("_below", F.lit(0))
+    upto = start + F.col("cum_c")
+    sizes = bounds.select(*[F.col(k).alias(f"_n_{k}") for k in keys], "n")
+    rows = inside.join(sizes, same("_n_")).join(below, same("_b_"), "left").join(above, same("_a_"), "left")
+    at = lambda rank: F.coalesce(F.min(F.when((rank >= start) & (upto > rank), F.col("value"))),             # noqa: E731
+                                 F.max(F.when(rank == start - 1, F.col("_under"))),
+                                 F.min(F.when(rank == F.col("_all"), F.col("_over"))))
+    last = rows.groupBy(*[F.col(k).alias(f"_l_{k}") for k in keys]).agg(F.max(upto).alias("_all"))
+    rows = rows.join(last, same("_l_"))
+    out = rows.groupBy(*keys, "n").agg(at(F.floor(pos)).alias("_first"), at(F.ceil(pos)).alias("_second"))
+    value = F.col("_first") + (F.col("_second") - F.col("_first")) * (pos - F.floor(pos))
+    return out.select(*keys, "n", F.when(value.isNotNull(), value).otherwise(
+        F.raise_error(F.lit("the quantile's bracket missed its ranks")).cast("double")).alias("quantile"))
+
+
+def _zone(v: Column, lo: Column, hi: Column) -> Column:
+    return F.when(v < lo, -1).when(v > hi, 1).otherwise(0)
+
+
+def _counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``counts`` for ``_from_counts`` from rows (keys, zone, v)."""
+    return (rows.groupBy(*keys, "zone", F.when(F.col("zone") == 0, F.col("v")).alias("value"))
+            .agg(F.count(F.lit(1)).alias("c"), F.max("v").alias("top"), F.min("v").alias("bottom")))
+
+
 def exact_quantile_long(long: DataFrame, q: float = 0.5, key: str = "column",
                         value: str = "value", accuracy: int = ACCURACY) -> DataFrame:
-    """Exact linear-interpolated quantile per ``key`` of a long table.
+    """Exact linear-interpolated quantile per ``key`` of a long table: (key, n, quantile)."""
+    rows = long.select(key, number(value).alias("v")).where("v is not null")
+    bounds = rows.groupBy(key).agg(F.count("v").alias("n"), bracket(F.col("v"), q, accuracy).alias("_range"))
+    b = bounds.select(F.col(key).alias("_k"), F.col("_range")[0].alias("_lo"), F.col("_range")[1].alias("_hi"))
+    beside = rows.join(b, F.col(key).eqNullSafe(F.col("_k")))
+    counts = _counted(beside.select(key, "v", _zone(F.col("v"), F.col("_lo"), F.col("_hi")).alias("zone")), [key])
+    return _from_counts(counts, bounds, q, [key])
 
-    Returns (key, n, quantile).
+
+def wide_medians(df: DataFrame, cols: list[str], by: str | None = None,
+                 more: dict[str, list[Column]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Exact medians of many columns without stacking the table for the first pass; the second stacks
+    what is not above the brackets (a median's ranks never are).
+
+    Returns (by, column, n, ``more``...) from one wide aggregate, and (by, column, n, quantile).
+    ``more`` maps a statistic's name to one aggregate per column.
     """
-    eps = 3.0 / accuracy
-    qlo, qhi = max(0.0, q - eps), min(1.0, q + eps)
-    v = F.col(value)
-    bounds = long.groupBy(key).agg(
-        F.count(v).alias("n"),
-        F.percentile_approx(v, F.array(F.lit(qlo), F.lit(qhi)), accuracy).alias("b"))
-    bounds = bounds.select(key, "n", F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi"))
-    # targets (0-based ranks) of the two neighbours of position q*(n-1)
-    pos = F.lit(q) * (F.col("n") - 1)
-    bounds = bounds.withColumns({"k1": F.floor(pos).cast("long"), "k2": F.ceil(pos).cast("long"),
-                                 "frac": pos - F.floor(pos)})
-    # one row per key: join is on a small table keyed by column name
-    j = long.join(F.broadcast(bounds.select(key, "lo", "hi")), key)
-    inner = j.groupBy(key).agg(
-        F.count_if(v < F.col("lo")).alias("below"),
-        F.sort_array(F.collect_list(F.when((v >= F.col("lo")) & (v <= F.col("hi")), v))).alias("mid"))
-    r = bounds.join(inner, key)
-    i1 = F.col("k1") - F.col("below")
-    i2 = F.col("k2") - F.col("below")
-    ok = (i1 >= 0) & (i2 < F.size("mid"))
-    a = F.try_element_at("mid", (i1 + 1).cast("int"))
-    b = F.try_element_at("mid", (i2 + 1).cast("int"))
-    quant = F.when(ok, a + (b - a) * F.col("frac"))
-    return r.select(key, "n", quant.alias("quantile"))
+    keys, more = [by] if by else [], more or {}
+    aggregates = [F.struct(F.lit(c).alias("column"), F.count(number(c)).alias("n"), bracket(number(c), 0.5).alias("_range"),
+                           *[exprs[i].alias(name) for name, exprs in more.items()]) for i, c in enumerate(cols)]
+    one = df.groupBy(*keys).agg(F.array(*aggregates).alias("_stats"))         # one row, or one per value of ``by``
+    stats = one.select(*keys, F.explode("_stats").alias("s")).select(*keys, "s.*")
+    ranges = one.select(*[F.col(k).alias(f"_o_{k}") for k in keys], "_stats")
+    on = [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
+    beside = df.select(*keys, *cols).join(ranges, on) if keys else df.select(*cols).crossJoin(ranges)
+    span = lambda i: F.col("_stats")[i]["_range"]       # noqa: E731
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), number(c).alias("v"),
+                                 _zone(number(c), span(i)[0], span(i)[1]).alias("zone")) for i, c in enumerate(cols)])
+    met = F.filter(entries, lambda e: e["v"].isNotNull() & (e["zone"] <= 0))
+    rows = beside.select(*keys, F.explode(met).alias("e")).select(*keys, "e.*")
+    quantiles = _from_counts(_counted(rows, [*keys, "column"]), stats.where("n > 0"), 0.5, [*keys, "column"])
+    return stats.drop("_range"), quantiles
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(column, n, median) for each column, nulls ignored."""
-    return exact_quantile_long(stack_long(df, cols), 0.5).withColumnRenamed("quantile", "median")
+    """(column, n, median) for each column with values, nulls and NaN ignored."""
+    return wide_medians(df, cols)[1].withColumnRenamed("quantile", "median")

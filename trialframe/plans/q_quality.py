@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trialframe.operators.drift import MONITOR_FEATURES
 from trialframe.operators.profile import column_stats, compare_stats, null_profile, value_counts
-from trialframe.operators.quality import TRIAL_CHECKS, duplicate_count, run_suite, suite_summary
+from trialframe.operators.quality import TRIAL_CHECKS, check_values, duplicate_count, run_suite, suite_summary
 from trialframe.plans.catalog import r6, register, rnd
 from trialframe.plans.fixtures import (
     shifted_production, shifted_production_sql, with_faults, with_faults_sql, with_nulls, with_nulls_sql)
@@ -57,6 +57,12 @@ def suite_sql(src: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def nulls_as_nan(df: DataFrame) -> DataFrame:
+    """Null doubles as NaN, as files written by other tools hold them."""
+    return df.withColumns({f.name: F.coalesce(F.col(f.name), F.lit(float("nan"))) for f in df.schema.fields
+                           if f.dataType.typeName() == "double"})
+
+
 def _suite(t: DataFrame) -> DataFrame:
     r = run_suite(t.select(*RAW_COLUMNS))
     return r.select("ord", "check", "status", r6("observed").alias("observed"))
@@ -75,6 +81,22 @@ def quality_suite_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _suite(with_faults(trials(spark, sf_dir)))
 
 
+@register("check_values", with_trials(" UNION ALL ".join(
+    f"SELECT '{c.name}' AS \"check\", CAST(CAST({c.column} AS DOUBLE) AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS n "
+    f"FROM faulted GROUP BY {c.column}" for c in TRIAL_CHECKS if c.kind == "isin"),
+    extra_ctes=f"faulted AS ({with_faults_sql('trials')})"))
+def check_values_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: every distinct value that the list checks met, as rows."""
+    t = with_faults(trials(spark, sf_dir)).select(*[F.col(c.column).cast("double").alias(c.column) for c in TRIAL_CHECKS if c.kind == "isin"])
+    return check_values(t)
+
+
+@register("quality_suite_nan", with_trials(suite_sql("nans"), extra_ctes=f"nans AS ({with_nulls_sql('trials')})"))
+def quality_suite_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite where missing numbers are NaN: the same verdicts as for nulls."""
+    return _suite(nulls_as_nan(with_nulls(trials(spark, sf_dir))))
+
+
 @register("quality_summary", with_trials(f"""
 SELECT CAST(count(*) AS BIGINT) AS total_checks,
        CAST(count(*) FILTER (WHERE status = 'PASS') AS BIGINT) AS passed,
@@ -110,6 +132,13 @@ def null_profile_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("column", "nulls", r6("null_share").alias("null_share"))
 
 
+@register("null_profile_nan", _null_profile_sql())
+def null_profile_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where missing numbers are NaN."""
+    p = null_profile(nulls_as_nan(with_nulls(trials(spark, sf_dir))).select(*RAW_COLUMNS))
+    return p.select("column", "nulls", r6("null_share").alias("null_share"))
+
+
 @register("duplicate_keys", with_trials("""
 SELECT CAST(count(*) AS BIGINT) AS distinct_ids, CAST(sum(n) AS BIGINT) AS n_rows,
        CAST(sum(n - 1) AS BIGINT) AS duplicates, CAST(max(n) AS BIGINT) AS max_copies
@@ -130,7 +159,7 @@ def _stack_sql(src: str, cols: list[str], keep: str = "") -> str:
         for c in cols)
 
 
-_STAT_COLS = [c for c in MONITOR_FEATURES if c not in ("bioavailability_score", "inflammation_score")]
+_STAT_COLS = [c for c in MONITOR_FEATURES if c not in ("bioavailability_score", "inflammation_score")] + ["is_male", "hbd"]
 
 
 @register("column_stats", with_trials(f"""
