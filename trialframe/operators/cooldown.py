@@ -1,62 +1,109 @@
 """Retrain cooldown gate (W5, T11 batch form).
 
 Rule: a trigger starts a retrain unless an accepted retrain started less
-than ``cooldown`` seconds earlier.  The rule is sequential, but a trigger
-that comes ``cooldown`` or more after the previous *trigger* is always
-accepted, so the trigger stream splits into independent segments at such
-gaps.  Segment numbers come from a bucketed running count of segment
-starts; each segment runs the greedy rule in one ``applyInPandas`` call
-(numpy over the segment's timestamps).  Only a segment whose triggers are
-all closer than the cooldown to their predecessor is processed as a unit.
+than ``cooldown`` seconds earlier.  The rule is sequential, but what a stretch of
+time does with it depends only on the last accepted trigger before the stretch.  So the time
+line is cut into chunks of ``CHUNK`` cooldowns:
+
+1. each chunk, on its own, tabulates its last accepted trigger for every possible
+   entry.  Entries matter within one cooldown of the chunk's start, and chains from
+   neighbouring entries soon meet, so a table has a few rows;
+2. the tables are chained in order of time, a few rows per chunk and key: bounded by the
+   time span, not by the number of triggers;
+3. each chunk marks its triggers, knowing its entry.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialframe.operators.prefix import running_totals
+RETRAIN_COOLDOWN_S = 300
+CHUNK = 24
 
 
-def _prev_ts(df: DataFrame) -> DataFrame:
-    """Previous trigger time: lag inside each day, then across days via the day table."""
-    d = df.withColumn("_day", F.floor(F.col("_us") / F.lit(86_400_000_000)).cast("long"))
-    w = Window.partitionBy("_day").orderBy("_us")
-    d = d.withColumn("_prev", F.lag("_us").over(w))
-    days = d.groupBy("_day").agg(F.max("_us").alias("_last"))
-    days = days.withColumn("_prev_day_last", F.lag("_last").over(Window.orderBy("_day"))).drop("_last")
-    d = d.join(days, "_day")
-    return d.withColumn("_prev", F.coalesce("_prev", "_prev_day_last")).drop("_day", "_prev_day_last")
+def _table(cool: int, keys: list[str]):
+    """A chunk's (entry up to, last accepted) rows."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ts = np.sort(pdf["_us"].to_numpy())
+        n = len(ts)
+        following = np.searchsorted(ts, ts + cool)
+        last = np.arange(n)
+        while (following[last] < n).any():          # at most CHUNK steps
+            last = np.where(following[last] < n, following[np.minimum(last, n - 1)], last)
+        begin = int(pdf["_chunk"].iloc[0]) * CHUNK * cool
+        first = np.append(True, ts[:-1] < begin + cool)     # triggers that can be the chunk's first accepted one
+        upto, leave = ts[first], ts[last[first]]
+        keep = np.append(leave[1:] != leave[:-1], True)
+        head = pdf[[*keys, "_chunk"]].iloc[[0] * int(keep.sum())].reset_index(drop=True)
+        return head.assign(_upto=upto[keep], _exit=leave[keep])
+    return run
 
 
-def _greedy(cooldown_us: int):
+def _chain(cool: int, keys: list[str]):
+    """Each chunk's last accepted trigger before it (null: none)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "trigger_id"])
+        rows, last = [], None
+        for chunk, table in pdf.sort_values(["_chunk", "_upto"]).groupby("_chunk", sort=True):
+            rows.append((chunk, last))
+            at = 0 if last is None else int(np.searchsorted(table["_upto"].to_numpy(), last + cool))
+            if at < len(table):
+                last = int(table["_exit"].iloc[at])
+        out = pd.DataFrame({"_chunk": [c for c, _ in rows], "_last": pd.array([x for _, x in rows], dtype="Int64")})
+        return out.assign(**{k: [pdf[k].iloc[0]] * len(out) for k in keys})[[*keys, "_chunk", "_last"]]
+    return run
+
+
+def _mark(cool: int, keys: list[str]):
+    """The accepted trigger that covers each trigger (its own time if it is accepted)."""
+    def run(pdf: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty:
+            return pdf.assign(_by=pd.Series(dtype="int64"))[[*keys, "_us", "_by"]]
+        pdf = pdf.sort_values("_us")
         ts = pdf["_us"].to_numpy()
-        keep = np.zeros(len(ts), dtype=bool)
-        last = None
-        for i, t in enumerate(ts):
-            if last is None or t - last >= cooldown_us:
-                keep[i] = True
-                last = t
-        out = pdf[["trigger_id", "ts"]].copy()
-        out["accepted"] = keep
-        return out
+        last = entry["_last"].iloc[0]
+        by = np.empty(len(ts), dtype=np.int64)
+        at = 0
+        if not pd.isna(last):
+            at = int(np.searchsorted(ts, int(last) + cool))
+            by[:at] = int(last)
+        while at < len(ts):
+            stop = int(np.searchsorted(ts, ts[at] + cool))
+            by[at:stop] = ts[at]
+            at = stop
+        return pdf.assign(_by=by)[[*keys, "_us", "_by"]]
     return run
 
 
-def apply_cooldown(triggers: DataFrame, cooldown_s: int = 300) -> DataFrame:
+def cover(instants: DataFrame, cooldown_s: int, keys: list[str] | None = None) -> DataFrame:
+    """(keys, _us, _by) of distinct instants (keys, _us): the accepted instant that covers each."""
+    keys, cool = list(keys or []), cooldown_s * 1_000_000
+    kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in (instants.schema[k] for k in keys))
+    i = instants.select(*keys, "_us", F.floor(F.col("_us") / F.lit(CHUNK * cool)).cast("long").alias("_chunk"))
+    tables = i.groupBy(*keys, "_chunk").applyInPandas(_table(cool, keys), f"{kinds}_chunk long, _upto long, _exit long")
+    entries = tables.groupBy(*keys).applyInPandas(_chain(cool, keys), f"{kinds}_chunk long, _last long")
+    return (i.groupBy(*keys, "_chunk").cogroup(entries.groupBy(*keys, "_chunk"))
+            .applyInPandas(_mark(cool, keys), f"{kinds}_us long, _by long"))
+
+
+def apply_cooldown(triggers: DataFrame, cooldown_s: int = RETRAIN_COOLDOWN_S) -> DataFrame:
     """(trigger_id, ts) -> (trigger_id, ts, accepted).  ``trigger_id`` breaks ties."""
-    cool = cooldown_s * 1_000_000
     t = triggers.select("trigger_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
                         F.unix_micros(F.to_timestamp("ts")).alias("_us"))
-    # ties at one instant: only the first can be accepted; keep them in one segment
-    t = _prev_ts(t.groupBy("_us").agg(F.min("trigger_id").alias("_first"))).join(t, "_us")
-    start = (F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") >= cool)).cast("long")
-    per_instant = t.select("_us", start.alias("_start")).distinct()
-    seg = running_totals(per_instant, "_us", ["_start"]).select("_us", F.col("cum__start").alias("_seg"))
-    t = t.join(seg, "_us").select("trigger_id", "ts", "_us", "_seg")
-    return t.groupBy("_seg").applyInPandas(
-        _greedy(cool), "trigger_id long, ts timestamp_ntz, accepted boolean")
+    first = t.groupBy("_us").agg(F.min("trigger_id").alias("_first"))
+    marks = cover(first.select("_us"), cooldown_s)
+    accepted = marks.where(F.col("_us") == F.col("_by")).select("_us").join(first, "_us")       # only the first of an instant
+    accepted = accepted.select(F.col("_us").alias("_a_us"), F.col("_first"))
+    on = (F.col("_us") == F.col("_a_us")) & (F.col("trigger_id") == F.col("_first"))
+    return t.join(accepted, on, "left").select("trigger_id", "ts", F.col("_a_us").isNotNull().alias("accepted"))
+
+
+def retrain_decisions(verdicts: DataFrame, cooldown_s: int = RETRAIN_COOLDOWN_S) -> DataFrame:
+    """Drift verdicts (trigger_id, ts, retrain) -> the same with ``started``: the drift rule asks
+    for a retrain and no accepted one started within the cooldown."""
+    asked = verdicts.where("retrain").select("trigger_id", "ts")
+    allowed = apply_cooldown(asked, cooldown_s).where("accepted").select(F.col("trigger_id").alias("_t"))
+    return (verdicts.join(allowed, F.col("trigger_id") == F.col("_t"), "left")
+            .withColumn("started", F.col("_t").isNotNull()).drop("_t"))

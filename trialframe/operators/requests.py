@@ -18,17 +18,22 @@ rows, which would funnel a whole time range into one task:
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trialframe.operators.cooldown import cover
+
 # Latency histogram upper bounds (seconds) and alert rules.
 LATENCY_BOUNDS = [0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.0]
 ERROR_RATE_LIMIT = 0.01          # failed requests per second, over 5 minutes, for 5 minutes
 LATENCY_P99_LIMIT = 2.0          # seconds, over 5 minutes, for 5 minutes
 SILENCE_LOOKBACK_MIN = 30        # no predictions in 30 minutes ...
 SILENCE_FOR_MIN = 30             # ... for 30 minutes
-REPEAT_INTERVAL_MIN = 60         # one notice per alert group per hour
-RETRAIN_COOLDOWN_S = 300
+GAP_LOOKBACK_MIN = 1             # no request at all in 1 minute ...
+GAP_FOR_MIN = 1                  # ... for 1 minute
+REPEAT_INTERVAL_MIN = 60         # an alert group is told again after an hour
 
 
 def request_log(events: DataFrame) -> DataFrame:
@@ -130,38 +135,69 @@ def sustained(cond: DataFrame, for_minutes: int, key: list[str] | None = None) -
              .filter(F.col("n") == for_minutes + 1).select(*key, F.col("t").alias("end_minute")))
 
 
-def firing_alerts(log: DataFrame) -> DataFrame:
-    """(alertname, severity, end_minute, window_end) for every firing minute
-    of the error-rate and p99-latency rules."""
-    r = rates(log)
-    err = r.filter(F.col("error_rate") > ERROR_RATE_LIMIT).select("end_minute")
-    h = latency_histogram(log)
-    lat = h.filter(histogram_quantile(0.99) > LATENCY_P99_LIMIT).select("end_minute")
-    a = sustained(err, 5).select(F.lit("HighErrorRate").alias("alertname"),
-                                 F.lit("warning").alias("severity"), "end_minute")
-    b = sustained(lat, 5).select(F.lit("HighPredictionLatency").alias("alertname"),
-                                 F.lit("warning").alias("severity"), "end_minute")
-    return a.unionByName(b).withColumn("window_end", minute_ts(F.col("end_minute")))
+@dataclass(frozen=True)
+class Limits:
+    """Thresholds of the alert rules; the defaults are the serving rules' own."""
+    error_rate: float = ERROR_RATE_LIMIT
+    latency_p99: float = LATENCY_P99_LIMIT
+    sustained_min: int = 5
+    silence_lookback_min: int = SILENCE_LOOKBACK_MIN
+    silence_for_min: int = SILENCE_FOR_MIN
+    gap_lookback_min: int = GAP_LOOKBACK_MIN
+    gap_for_min: int = GAP_FOR_MIN
+
+
+# Severities of the rules.
+SEVERITY = {"HighErrorRate": "warning", "HighPredictionLatency": "warning",
+            "NoPredictionsReceived": "warning", "TrafficGap": "critical"}
+
+
+def firing_alerts(log: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """(alertname, severity, end_minute, window_end) for every firing minute of all four rules.
+
+    The log has no heartbeat, so "the API is down" is read as a traffic gap: no request at all.
+    """
+    err = rates(log).filter(F.col("error_rate") > limits.error_rate).select("end_minute")
+    lat = latency_histogram(log).filter(histogram_quantile(0.99) > limits.latency_p99).select("end_minute")
+    quiet = silences(log, limits.silence_lookback_min, limits.silence_for_min)
+    gap = silences(log, limits.gap_lookback_min, limits.gap_for_min, status_ok=False)
+    found = {"HighErrorRate": sustained(err, limits.sustained_min), "HighPredictionLatency": sustained(lat, limits.sustained_min),
+             "NoPredictionsReceived": firing_minutes(quiet), "TrafficGap": firing_minutes(gap)}
+    out = None
+    for name, rows in found.items():
+        rows = rows.select(F.lit(name).alias("alertname"), F.lit(SEVERITY[name]).alias("severity"), "end_minute")
+        out = rows if out is None else out.unionByName(rows)
+    return out.withColumn("window_end", minute_ts(F.col("end_minute")))
+
+
+def firing_minutes(gaps: DataFrame) -> DataFrame:
+    """(end_minute): the whole minutes from ``firing_from`` to before ``gap_end``."""
+    us = lambda c: F.unix_micros(F.to_timestamp(c))     # noqa: E731
+    first, last = F.ceil(us("firing_from") / F.lit(60_000_000)), F.ceil(us("gap_end") / F.lit(60_000_000)) - 1
+    return (gaps.where(first <= last).select(F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("end_minute"))
+            .distinct())
 
 
 def group_notices(firing: DataFrame, repeat_min: int = REPEAT_INTERVAL_MIN) -> DataFrame:
-    """One notice per (alertname, severity) per repeat interval: the first
-    firing minute of each interval bucket."""
-    bucket = F.floor(F.col("end_minute") / F.lit(repeat_min)).cast("long")
-    return (firing.groupBy("alertname", "severity", bucket.alias("bucket"))
-                  .agg(F.min("end_minute").alias("end_minute"), F.count(F.lit(1)).cast("long").alias("firing_minutes"))
-                  .withColumn("notice_at", minute_ts(F.col("end_minute"))).drop("bucket"))
+    """Notices per (alertname, severity): the first firing minute, and then the next
+    firing minute at least ``repeat_min`` after the last notice.  ``firing_minutes`` counts the
+    firing minutes that a notice stands for."""
+    keys = ["alertname", "severity"]
+    instants = firing.select(*keys, (F.col("end_minute") * 60_000_000).alias("_us")).distinct()
+    return (cover(instants, repeat_min * 60, keys).groupBy(*keys, "_by").agg(F.count(F.lit(1)).cast("long").alias("firing_minutes"))
+            .select(*keys, F.timestamp_micros("_by").cast("timestamp_ntz").alias("notice_at"), "firing_minutes"))
 
 
-def silences(log: DataFrame, lookback_min: int = SILENCE_LOOKBACK_MIN,
-             for_min: int = SILENCE_FOR_MIN, status_ok: bool = True) -> DataFrame:
+def silences(log: DataFrame, lookback_min: int = SILENCE_LOOKBACK_MIN, for_min: int = SILENCE_FOR_MIN,
+             status_ok: bool = True, as_of: Column | None = None) -> DataFrame:
     """Stretches without predictions long enough to fire the silence rule.
 
     The rule fires at t when no prediction arrived in (t - lookback, t], and
     that has held for ``for_min``: a gap (a, b) between consecutive
-    predictions fires from a + lookback + for until b.  Gaps are taken
-    between consecutive active minutes (exact timestamps kept), so windows
-    run over at most 1440 rows per day plus one row per day.
+    predictions fires from a + lookback + for until b.  The stretch from the log's first row to
+    the first prediction and the one from the last prediction to ``as_of`` (default: the log's
+    last row) are gaps too.  Gaps are taken between consecutive active minutes (exact
+    timestamps kept), so windows run over at most 1440 rows per day plus one row per day.
     """
     pred = log.filter(F.col("status") != 500) if status_ok else log
     m = pred.groupBy(minute_of(F.col("ts")).alias("minute")).agg(
@@ -172,8 +208,14 @@ def silences(log: DataFrame, lookback_min: int = SILENCE_LOOKBACK_MIN,
     days = m.groupBy("day").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
     cross = days.withColumn("prev_last", F.lag("last_ts").over(Window.orderBy("day"))).filter(
         F.col("prev_last").isNotNull())
+    whole = log.agg(F.min("ts").alias("log_first"), F.max("ts").alias("log_last"))
+    ends = pred.agg(F.min("ts").alias("pred_first"), F.max("ts").alias("pred_last")).crossJoin(whole)      # one row
+    now = F.col("log_last") if as_of is None else as_of.cast("timestamp_ntz")
+    span = lambda a, z: F.struct(a.alias("gap_start"), z.alias("gap_end"))      # noqa: E731
+    edges = ends.select(F.explode(F.array(span(F.col("log_first"), F.coalesce("pred_first", now)),
+                                          span(F.col("pred_last"), now))).alias("g")).select("g.*")
     gaps = inner.select(F.col("prev_last").alias("gap_start"), F.col("first_ts").alias("gap_end")).unionByName(
-        cross.select(F.col("prev_last").alias("gap_start"), F.col("first_ts").alias("gap_end")))
+        cross.select(F.col("prev_last").alias("gap_start"), F.col("first_ts").alias("gap_end"))).unionByName(edges)
     gap_s = F.unix_micros(F.to_timestamp("gap_end")) - F.unix_micros(F.to_timestamp("gap_start"))
     need = (lookback_min + for_min) * 60 * 1_000_000
     return gaps.filter(gap_s > need).select(

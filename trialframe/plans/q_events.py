@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trialframe.operators.cooldown import apply_cooldown
 from trialframe.operators.requests import (
-    ERROR_RATE_LIMIT, LATENCY_BOUNDS, LATENCY_P99_LIMIT, REPEAT_INTERVAL_MIN, counters, firing_alerts,
+    ERROR_RATE_LIMIT, LATENCY_BOUNDS, LATENCY_P99_LIMIT, REPEAT_INTERVAL_MIN, SEVERITY, Limits, counters, firing_alerts,
     group_notices, histogram_quantile, latency_histogram, rates, recent, request_log, silences)
 from trialframe.plans.catalog import r6, register
 from trialframe.sources.tables import read_table
@@ -85,61 +85,100 @@ def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.coalesce(histogram_quantile(0.99) > LATENCY_P99_LIMIT, F.lit(False)).alias("p99_high"))
 
 
-_FIRING = _CTES.rstrip() + f""",
-err AS (SELECT end_minute FROM win WHERE errors / 300e0 > {ERROR_RATE_LIMIT}),
-lat AS (SELECT end_minute FROM win WHERE COALESCE({_hq_sql(0.99)} > {LATENCY_P99_LIMIT}e0, false)),
-fire AS (
-  SELECT 'HighErrorRate' AS alertname, 'warning' AS severity, t AS end_minute
-  FROM (SELECT unnest(range(end_minute, end_minute + 6)) AS t FROM err) GROUP BY t HAVING count(*) = 6
+LOW = Limits(error_rate=0.001, latency_p99=0.35, sustained_min=1, silence_lookback_min=3, silence_for_min=3)
+
+
+def _gaps_sql(name: str, source: str, need: int) -> str:
+    """Gaps between predictions, before the first and after the last (the log's last row is now)."""
+    return f"""
+        SELECT '{name}' AS alertname, gap_start, gap_end, gap_start + INTERVAL {need} MINUTE AS firing_from,
+               ROUND((epoch_us(gap_end) - epoch_us(gap_start)) / 60000000e0, 6) + 0e0 AS gap_minutes
+        FROM (SELECT lag(ts) OVER (ORDER BY ts) AS gap_start, ts AS gap_end FROM {source}
+              UNION ALL SELECT (SELECT min(ts) FROM log), coalesce((SELECT min(ts) FROM {source}), (SELECT max(ts) FROM log))
+              UNION ALL SELECT (SELECT max(ts) FROM {source}), (SELECT max(ts) FROM log)) g
+        WHERE epoch_us(gap_end) - epoch_us(gap_start) > {need * 60_000_000}"""
+
+
+def _silence_sql(limits: Limits) -> str:
+    return " UNION ALL ".join([
+        _gaps_sql("NoPredictionsReceived", "(SELECT ts FROM log WHERE status <> 500)", limits.silence_lookback_min + limits.silence_for_min),
+        _gaps_sql("TrafficGap", "(SELECT ts FROM log)", limits.gap_lookback_min + limits.gap_for_min)])
+
+
+def _firing_sql(limits: Limits) -> str:
+    held = limits.sustained_min + 1
+    severity = "CASE alertname " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SEVERITY.items()) + " END"
+    return _CTES.rstrip().replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+err AS (SELECT end_minute FROM win WHERE errors / 300e0 > {limits.error_rate}),
+lat AS (SELECT end_minute FROM win WHERE COALESCE({_hq_sql(0.99)} > {limits.latency_p99}e0, false)),
+gaps AS ({_silence_sql(limits)}),
+named AS (
+  SELECT 'HighErrorRate' AS alertname, t AS end_minute
+  FROM (SELECT unnest(range(end_minute, end_minute + {held})) AS t FROM err) GROUP BY t HAVING count(*) = {held}
+  UNION ALL
+  SELECT 'HighPredictionLatency', t
+  FROM (SELECT unnest(range(end_minute, end_minute + {held})) AS t FROM lat) GROUP BY t HAVING count(*) = {held}
   UNION ALL
-  SELECT 'HighPredictionLatency', 'warning', t
-  FROM (SELECT unnest(range(end_minute, end_minute + 6)) AS t FROM lat) GROUP BY t HAVING count(*) = 6)
+  SELECT DISTINCT alertname, unnest(range(CAST(ceil(epoch_us(firing_from) / 60000000e0) AS BIGINT),
+    CAST(ceil(epoch_us(gap_end) / 60000000e0) AS BIGINT))) AS end_minute FROM gaps),
+fire AS (SELECT alertname, {severity} AS severity, end_minute FROM named)
 """
 
 
-@register("sustained_alerts", _FIRING + """
-SELECT alertname, severity, make_timestamp(end_minute * 60000000) AS window_end FROM fire""")
+_ALERTS_SQL = "SELECT alertname, severity, make_timestamp(end_minute * 60000000) AS window_end FROM fire"
+_NOTICES_SQL = f""",
+told AS (
+  SELECT alertname, severity, min(end_minute) AS at FROM fire GROUP BY 1, 2
+  UNION ALL
+  SELECT told.alertname, told.severity, n.at FROM told, LATERAL (
+    SELECT min(f.end_minute) AS at FROM fire f
+    WHERE f.alertname = told.alertname AND f.end_minute >= told.at + {REPEAT_INTERVAL_MIN}) n WHERE n.at IS NOT NULL)
+SELECT told.alertname, told.severity, make_timestamp(told.at * 60000000) AS notice_at, CAST(count(*) AS BIGINT) AS firing_minutes
+FROM told JOIN fire f ON f.alertname = told.alertname AND f.end_minute >= told.at AND f.end_minute < told.at + {REPEAT_INTERVAL_MIN}
+GROUP BY told.alertname, told.severity, told.at"""
+
+
+@register("sustained_alerts", _firing_sql(Limits()) + _ALERTS_SQL)
 def sustained_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T8 + W6: minutes where error-rate / p99 rules have held for 5 minutes."""
+    """T8 + W6 + T7: firing minutes of all four rules at the serving limits."""
     return firing_alerts(_log(spark, sf_dir)).select("alertname", "severity", "window_end")
 
 
-@register("alert_grouping", _FIRING + f"""
-SELECT alertname, severity, make_timestamp(min(end_minute) * 60000000) AS notice_at,
-       CAST(count(*) AS BIGINT) AS firing_minutes
-FROM fire GROUP BY alertname, severity, CAST(floor(end_minute / {REPEAT_INTERVAL_MIN}e0) AS BIGINT)""")
-def alert_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One notice per (alertname, severity) per hour."""
-    g = group_notices(firing_alerts(_log(spark, sf_dir)))
-    return g.select("alertname", "severity", "notice_at", "firing_minutes")
+@register("sustained_alerts_low", _firing_sql(LOW) + _ALERTS_SQL)
+def sustained_alerts_low(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same at limits that every rule of this log exceeds."""
+    return firing_alerts(_log(spark, sf_dir), LOW).select("alertname", "severity", "window_end")
 
 
-# The two silence rules (lookback, for, predictions only).
-_SILENCE_RULES = [("NoPredictionsReceived", 30, 30, True), ("ServingAPIDown", 1, 1, False)]
+@register("alert_grouping", _firing_sql(Limits()).rstrip() + _NOTICES_SQL)
+def alert_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices per (alertname, severity), repeated an hour after the last one."""
+    return group_notices(firing_alerts(_log(spark, sf_dir)))
 
 
-def _silence_sql() -> str:
-    parts = []
-    for name, lb, fr, ok_only in _SILENCE_RULES:
-        src = "log WHERE status <> 500" if ok_only else "log"
-        parts.append(f"""
-        SELECT '{name}' AS alertname, gap_start, gap_end,
-               gap_start + INTERVAL {lb + fr} MINUTE AS firing_from,
-               ROUND((epoch_us(gap_end) - epoch_us(gap_start)) / 60000000e0, 6) + 0e0 AS gap_minutes
-        FROM (SELECT lag(ts) OVER (ORDER BY ts) AS gap_start, ts AS gap_end FROM {src}) g
-        WHERE epoch_us(gap_end) - epoch_us(gap_start) > {(lb + fr) * 60_000_000}""")
-    return f"WITH {_LOG}\n" + " UNION ALL ".join(parts)
+@register("alert_grouping_low", _firing_sql(LOW).rstrip() + _NOTICES_SQL)
+def alert_grouping_low(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_notices(firing_alerts(_log(spark, sf_dir), LOW))
 
 
-@register("silence_windows", _silence_sql())
+@register("silence_windows", f"WITH {_LOG}\n" + _silence_sql(Limits()))
 def silence_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gaps long enough to fire 'no predictions for 30m' / 'API down for 1m'."""
-    log = _log(spark, sf_dir)
-    out = None
-    for name, lb, fr, ok_only in _SILENCE_RULES:
-        s = silences(log, lb, fr, status_ok=ok_only).select(
-            F.lit(name).alias("alertname"), "gap_start", "gap_end", "firing_from",
-            r6("gap_minutes").alias("gap_minutes"))
+    """Gaps long enough to fire 'no predictions for 30m' / 'no request for 1m', the open one included."""
+    return _silences(spark, sf_dir, Limits())
+
+
+@register("silence_windows_low", f"WITH {_LOG}\n" + _silence_sql(LOW))
+def silence_windows_low(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silences(spark, sf_dir, LOW)
+
+
+def _silences(spark: SparkSession, sf_dir: str, limits: Limits) -> DataFrame:
+    log, out = _log(spark, sf_dir), None
+    for name, lookback, held, ok_only in (
+            ("NoPredictionsReceived", limits.silence_lookback_min, limits.silence_for_min, True),
+            ("TrafficGap", limits.gap_lookback_min, limits.gap_for_min, False)):
+        s = silences(log, lookback, held, status_ok=ok_only).select(
+            F.lit(name).alias("alertname"), "gap_start", "gap_end", "firing_from", r6("gap_minutes").alias("gap_minutes"))
         out = s if out is None else out.unionByName(s)
     return out
 
