@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import time
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialframe.ml.train import LABEL, positive_probability
+from trialframe.functions.recipe import FEATURE_COLS
+from trialframe.ml.train import LABEL, load_scorer, positive_probability
 from trialframe.operators.evaluate import classification_metrics, score_spread
 from trialframe.sources.tables import table_exists
 
@@ -34,16 +34,22 @@ def qualify(spark: SparkSession, model_path: str, test: DataFrame, production: D
     rows = []
     exists = table_exists(spark, model_path)
     rows.append(("IQ", "model_path_exists", exists, model_path))
-    model = None
+    scorer = None
     try:
-        model = PipelineModel.load(model_path)
-        rows.append(("IQ", "model_loads", True, type(model.stages[-1]).__name__))
+        scorer = load_scorer(spark, model_path)
+        rows.append(("IQ", "model_loads", True, type(scorer.model.stages[-1]).__name__))
     except Exception as e:  # noqa: BLE001 - the failure is the check result
-        rows.append(("IQ", "model_loads", False, str(e)[:200]))
-    if model is not None:
-        last = model.stages[-1]
-        rows.append(("IQ", "has_predict", hasattr(last, "transform"), "transform"))
+        rows.append(("IQ", "model_loads", False, str(e)))
+    if scorer is not None:
+        model, last, meta = scorer.model, scorer.model.stages[-1], scorer.metadata
+        missing = [k for k in ("model", "trained_at", "feature_columns", "scale", "metrics") if not meta.get(k)]
+        rows.append(("IQ", "metadata_complete", not missing, f"missing {missing}"))
+        rows.append(("IQ", "feature_columns", scorer.feature_columns == FEATURE_COLS, f"{len(scorer.feature_columns)} columns"))
+        rows.append(("IQ", "has_predict", last.hasParam("predictionCol"), "predictionCol"))
         rows.append(("IQ", "has_probability", last.hasParam("probabilityCol"), "probabilityCol"))
+        n_inputs = len(model.stages[0].getInputCols())
+        rows.append(("OQ", "feature_count", n_inputs == len(FEATURE_COLS), f"{n_inputs} of {len(FEATURE_COLS)}"))
+        production = production.cache()
         st = positive_probability(model.transform(test.withColumn("label", F.col(LABEL).cast("double"))))
         st = st.withColumn("prediction", F.col("prediction").cast("int"))
         m = classification_metrics(st, LABEL, "prediction").crossJoin(
@@ -65,7 +71,8 @@ def qualify(spark: SparkSession, model_path: str, test: DataFrame, production: D
         t0 = time.perf_counter()
         model.transform(production.limit(100)).select("prediction", "probability").collect()
         ms = (time.perf_counter() - t0) * 1000
-        rows.append(("PQ", "latency_100_rows", ms < MAX_MS_PER_100, f"{ms:.0f} ms < {MAX_MS_PER_100:.0f} ms"))
+        rows.append(("PQ", "latency_100_rows", ms < MAX_MS_PER_100, f"limit {MAX_MS_PER_100:.0f} ms"))
+        production.unpersist()
     return spark.createDataFrame(rows, "stage string, check string, passed boolean, detail string")
 
 
@@ -77,6 +84,15 @@ def verdict(checks: DataFrame) -> DataFrame:
     return v.withColumn("overall_qualification_status", status)
 
 
+def report(checks: DataFrame) -> DataFrame:
+    """One nested row: per stage the verdict and its checks, and the overall status."""
+    stage = lambda s: F.array_sort(F.collect_list(F.when(F.col("stage") == s, F.struct("check", "passed", "detail"))))
+    parts = checks.agg(*[stage(s).alias(f"{s.lower()}_checks") for s in ("IQ", "OQ", "PQ")])        # a dozen checks
+    return parts.crossJoin(verdict(checks)).select(
+        *[F.struct(F.col(s).alias("passed"), F.col(f"{s}_checks").alias("checks")).alias(s) for s in ("iq", "oq", "pq")],
+        "overall_qualification_status")
+
+
 def gate(checks: DataFrame) -> dict:
     """G5/G6 gate: raise unless qualified."""
     v = verdict(checks).first().asDict()

@@ -8,22 +8,26 @@ table (L5).  "All passed" requires every expected stage to have run.
 from __future__ import annotations
 
 import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialframe.functions.recipe import engineer_features, fit_scale
+from trialframe.functions.recipe import FEATURE_COLS, engineer_features, fit_scale
 from trialframe.ml.qualify import gate as qualification_gate
 from trialframe.ml.qualify import qualify
-from trialframe.ml.train import compare_models, save_model
+from trialframe.ml.qualify import report as qualification_report
+from trialframe.ml.qualify import verdict
+from trialframe.ml.train import append_run, compare_models, run_log_row, save_model, scale_values
+from trialframe.operators.cooldown import RETRAIN_COOLDOWN_S, retrain_decisions
 from trialframe.operators.quality import gate as quality_gate
 from trialframe.operators.quality import run_suite
 from trialframe.operators.split import stratified_split
 from trialframe.plans.fixtures import shifted_production
 from trialframe.sources.audit import audit_append, run_summary, stage_table
-from trialframe.sources.store import register_model, save_feature_set
-from trialframe.sources.tables import RAW_COLUMNS, trials
+from trialframe.sources.store import register_model, registry_entry, save_feature_set
+from trialframe.sources.tables import RAW_COLUMNS, trials, write_report
 
 STAGES = ["validate", "features", "train", "qualify", "register"]
 
@@ -33,18 +37,20 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str,
     """Run the stages; returns (stage table, one-row summary)."""
     results, ctx = [], {}
     now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    run_id = uuid.uuid4().hex
 
     def validate():
         t = shifted_production(trials(spark, sf_dir))
         ctx["t"] = t
         checks = run_suite(t.filter(F.col("side") == "reference").select(*RAW_COLUMNS))
+        write_report(checks, f"{root}/reports/validation")
         # duplicate sample ids are expected in the driver data: the gate allows 3 failures
         quality_gate(checks)
 
     def features():
         t = ctx["t"]
         ref = t.filter(F.col("side") == "reference")
-        scale = fit_scale(ref)
+        scale = ctx["scale"] = scale_values(fit_scale(ref))
         ctx["ref"] = stratified_split(engineer_features(ref, scale=scale), "row_key", "efficacy_label")
         ctx["prod"] = engineer_features(t.filter(F.col("side") == "production"), scale=scale)
         save_feature_set(spark, f"{root}/features", "trial_features", "v1",
@@ -57,19 +63,26 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str,
                                      names=candidates)
         best = res.filter("is_best").first()
         ctx["best"], ctx["f1"] = best["model"], best["f1_score"]
-        ctx["path"] = f"{root}/models/{best['model']}"
-        save_model(models[best["model"]], ctx["path"])
+        ctx["path"] = f"{root}/models/{run_id}/{best['model']}"
+        scores = {k: best[k] for k in ("accuracy", "precision", "recall", "f1_score", "roc_auc")}
+        save_model(models[best["model"]], ctx["path"], ctx["scale"], name=best["model"], metrics=scores, trained_at=now, run_id=run_id)
+        for r in res.collect():                                     # one row a candidate
+            append_run(run_log_row(spark, run_id, r["model"], {"is_best": r["is_best"]},
+                                   {k: r[k] for k in scores}, now), root)
 
     def qualify_stage():
         checks = qualify(spark, ctx["path"], ctx["ref"].filter(F.col("is_test")), ctx["prod"])
+        write_report(qualification_report(checks), f"{root}/reports/qualification")
+        ctx["verdict"] = verdict(checks).first()
         qualification_gate(checks)
 
     def register():
-        entry = spark.createDataFrame(
-            [("drug_efficacy_classifier", now, ctx["best"], now, ctx["path"], True, float(ctx["f1"]))],
-            "model_name string, version string, model string, registered_at string, model_path string, "
-            "qualified_for_production boolean, best_f1 double")
-        register_model(spark, f"{root}/registry", entry)
+        v = ctx["verdict"]
+        register_model(spark, root, registry_entry(
+            spark, model_name="drug_efficacy_classifier", version=run_id, model=ctx["best"], registered_at=now,
+            model_path=ctx["path"], qualified_for_production=v["overall_qualification_status"] == "QUALIFIED",
+            best_f1=float(ctx["f1"]), iq_passed=v["iq"], oq_passed=v["oq"], pq_passed=v["pq"],
+            feature_columns=FEATURE_COLS, feature_version="v1", run_id=run_id))
 
     for name, fn in zip(STAGES, [validate, features, train, qualify_stage, register]):
         t0 = time.perf_counter()
@@ -78,8 +91,19 @@ def run_pipeline(spark: SparkSession, sf_dir: str, root: str,
             results.append((name, "SUCCESS", time.perf_counter() - t0, None))
             audit_append(spark, f"{root}/audit", f"stage_{name}", {"status": "SUCCESS"})
         except Exception as e:  # noqa: BLE001 - recorded as the stage result, then stop
-            results.append((name, "FAILED", time.perf_counter() - t0, f"{type(e).__name__}: {e}"[:500]))
+            results.append((name, "FAILED", time.perf_counter() - t0, f"{type(e).__name__}: {e}"))
             audit_append(spark, f"{root}/audit", f"stage_{name}", {"status": "FAILED"})
             break
     stages = stage_table(spark, results)
     return stages, run_summary(stages, len(STAGES))
+
+
+def retrain_if_drifted(spark: SparkSession, sf_dir: str, root: str, verdicts: DataFrame,
+                       cooldown_s: int = RETRAIN_COOLDOWN_S, candidates: list[str] | None = None) -> DataFrame:
+    """Drift verdicts (trigger_id, ts, retrain) through the cooldown; each verdict that passes
+    runs the stages once.  Returns (trigger_id, ts, retrain, started)."""
+    decided = retrain_decisions(verdicts, cooldown_s)
+    for r in decided.where("started").orderBy("ts").collect():      # at most one a cooldown
+        audit_append(spark, f"{root}/audit", "retrain_started", {"trigger": str(r["trigger_id"])})
+        run_pipeline(spark, sf_dir, root, candidates)
+    return decided

@@ -180,12 +180,12 @@ def scale_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  r6(F.avg(diff)).alias("mean_abs_diff"), r6(F.max(diff)).alias("max_abs_diff"))
 
 
-@register("require_columns_report", with_trials(
-    " UNION ALL ".join(
-        f"SELECT {i} AS ord, '{c}' AS \"column\", {str(c in RAW_COLUMNS).lower()} AS present"
-        for i, c in enumerate(FEATURE_COLS)) + " "))
+@register("require_columns_report", with_trials(" UNION ALL ".join(
+    f"SELECT {i} AS ord, '{c}' AS \"column\", true AS present, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS nulls FROM trials"
+    if c in RAW_COLUMNS else f"SELECT {i}, '{c}', false, CAST(count(*) AS BIGINT) FROM trials"
+    for i, c in enumerate(FEATURE_COLS)) + " "))
 def require_columns_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P1 + P2 + U2: which model inputs the raw table has (derived ones are missing)."""
+    """P1 + P2 + U2: which model inputs the raw table has, and how many rows lack them."""
     return column_report(trials(spark, sf_dir).select(*RAW_COLUMNS), FEATURE_COLS)
 
 
@@ -195,7 +195,8 @@ _CONTRACT_COLS = ["mol_weight", "logp", "tpsa", "hbd", "hba", "rotatable_bonds",
                   "treatment_days"]
 
 
-def _contract_sql() -> str:
+def _violations_sql() -> tuple[str, str]:
+    """The defaults as a REPLACE list, and the list of a row's violations."""
     from trialframe.operators.contract import SERVING_CONTRACT, _fmt
     filled = ", ".join(f"COALESCE({f.name}, {float(f.default)!r}e0) AS {f.name}".replace(".0e0", "e0")
                        for f in SERVING_CONTRACT if f.default is not None)
@@ -212,7 +213,20 @@ def _contract_sql() -> str:
             conds.append(f"isnan({f.name})")
             reasons.append(f"CASE WHEN {f.name} IS NOT NULL AND ({' OR '.join(conds)}) "
                            f"THEN '{f.name}: out of range [{_fmt(f.lo)}, {_fmt(f.hi)}]' END")
-    arr = "list_filter([" + ", ".join(reasons) + "], lambda x: x IS NOT NULL)"
+    return filled, "list_filter([" + ", ".join(reasons) + "], lambda x: x IS NOT NULL)"
+
+
+def scored_violations_sql() -> str:
+    """Production rows by their violations (over the relation ``shifted``)."""
+    filled, arr = _violations_sql()
+    return f"""
+    SELECT violations, violations <> '' AS refused, CAST(count(*) AS BIGINT) AS n
+    FROM (SELECT array_to_string({arr}, '; ') AS violations
+          FROM (SELECT * REPLACE ({filled}) FROM shifted WHERE side = 'production') a) b GROUP BY 1, 2"""
+
+
+def _contract_sql() -> str:
+    filled, arr = _violations_sql()
     return with_trials(f"""
     SELECT row_key,
       COALESCE(sample_id, 'INFER_' || md5(row_key)) AS sample_id,

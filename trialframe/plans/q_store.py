@@ -11,8 +11,9 @@ from trialframe.functions.recipe import engineer_features
 from trialframe.operators.evaluate import classification_metrics
 from trialframe.plans.catalog import r6, register
 from trialframe.plans.oracle import with_trials
-from trialframe.sources.store import current_model, fingerprint_diff, fingerprints, latest_version, upsert
-from trialframe.sources.tables import trials
+from trialframe.sources.store import (
+    artifact_status, current_model, fingerprint_diff, fingerprints, latest_version, table_fingerprint, upsert)
+from trialframe.sources.tables import DRIVER_TABLES, read_table, trials
 
 T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
@@ -104,7 +105,19 @@ def fingerprints_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("fingerprint_diff")
-def fingerprint_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which table files differ between this scale and the smoke scale."""
-    other = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+def fingerprint_diff_q(spark: SparkSession, sf_dir: str, other: str | None = None) -> DataFrame:
+    """Which table files differ between this directory and another (default: the smoke scale beside it)."""
+    other = other or os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     return fingerprint_diff(fingerprints(spark, other, "*.parquet"), fingerprints(spark, sf_dir, "*.parquet"))
+
+
+@register("artifact_status")
+def artifact_status_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected tables with existence and size (contents are not read)."""
+    return artifact_status(spark, sf_dir, [f"{t}.parquet" for t in DRIVER_TABLES]).select("name", "expected", "exists", "size")
+
+
+@register("table_fingerprint")
+def table_fingerprint_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 for large tables: row count and an order-free hash of the rows."""
+    return table_fingerprint(read_table(spark, sf_dir, "events"))

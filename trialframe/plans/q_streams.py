@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialframe.functions.recipe import FIXED_SCALE, engineer_features
 from trialframe.plans.catalog import r6, register
 from trialframe.plans.fixtures import shifted_production
-from trialframe.session import scratch_path
+from trialframe.sources.store import register_model, registry_entry
 from trialframe.sources.tables import read_table, trials
 from trialframe.streaming.streams import (
-    drift_batch_writer, fresh_dir, run_foreach_batch, run_to_table, scoring_batch_writer, table_stream,
-    windowed_counts)
+    changed_windows_writer, drift_batch_writer, fresh_dir, latest_windows, run_foreach_batch, scoring_batch_writer,
+    table_stream, windowed_counts)
 
 
 @register("stream_counts", """
@@ -22,48 +19,41 @@ SELECT * FROM (
   SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
          time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
          event_type, CAST(count(*) AS BIGINT) AS count, ROUND(sum(value), 6) + 0e0 AS value_sum
-  FROM events GROUP BY 1, 2, 3) w
-WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""")
+  FROM events GROUP BY 1, 2, 3) w""")
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T2 + T5 + T9: hourly counts per event type from a file stream with a
-    10-minute watermark in append mode: only windows closed by the watermark
-    are emitted."""
+    """T2 + T5 + T9: running totals per hour and event type from a file stream with a 10-minute
+    watermark, in update mode: each micro-batch writes the windows that it changed, open ones
+    included, and the latest write of a window is its total."""
     src = table_stream(spark, sf_dir, "events")
     out = fresh_dir(spark, "counts_out")
-    run_to_table(windowed_counts(src), out, fresh_dir(spark, "counts_ckpt"))
-    res = spark.read.parquet(out)
-    return res.withColumn("value_sum", r6("value_sum"))
-
-
-def _features_fixed(batch: DataFrame) -> DataFrame:
-    return engineer_features(batch, scale=FIXED_SCALE)
+    run_foreach_batch(windowed_counts(src), changed_windows_writer(out), fresh_dir(spark, "counts_ckpt"), mode="update")
+    return latest_windows(spark.read.parquet(out)).withColumn("value_sum", r6("value_sum"))
 
 
 @register("stream_scores")
 def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T1 + T13: lineitem files arrive as a stream, are joined to the static
-    dimensions, featurized and scored in foreachBatch by the model the
-    registry pointer names at that moment."""
-    from trialframe.plans.q_ml import trained
+    dimensions and scored in foreachBatch by the model that the registry names at that moment."""
+    from trialframe.plans.q_ml import PREDICTED_AT, trained
     _, _, best, path = trained(spark, sf_dir)
-    pointer = fresh_dir(spark, "pointer")
-    spark.createDataFrame([("1", best, path, "2024-02-01 00:00:00")],
-                          "version string, model string, model_path string, registered_at string") \
-        .write.mode("overwrite").json(pointer)
+    root = fresh_dir(spark, "registry")
+    register_model(spark, root, registry_entry(
+        spark, model_name="drug_efficacy_classifier", version="1", model=best, registered_at=PREDICTED_AT,
+        model_path=path, qualified_for_production=True))
     li = table_stream(spark, sf_dir, "lineitem")
     t = shifted_production(trials(spark, sf_dir, lineitem=li))
     out = fresh_dir(spark, "scores_out")
-    run_foreach_batch(t, scoring_batch_writer(pointer, out, "2024-02-01 00:00:00", _features_fixed),
-                      fresh_dir(spark, "scores_ckpt"))
+    run_foreach_batch(t, scoring_batch_writer(root, out, PREDICTED_AT), fresh_dir(spark, "scores_ckpt"))
     return spark.read.parquet(out)
 
 
 @register("drift_stream")
-def drift_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every micro-batch of events is KS-tested against the first week."""
+def drift_stream(spark: SparkSession, sf_dir: str, split: str = "2024-01-08") -> DataFrame:
+    """Every micro-batch of events is KS-tested against the events before ``split``."""
     ev = read_table(spark, sf_dir, "events")
-    ref = ev.filter(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz")).select("value")
+    ref = ev.filter(F.col("ts") < F.lit(split).cast("timestamp_ntz")).select("value")
     src = table_stream(spark, sf_dir, "events").select("value")
     out = fresh_dir(spark, "drift_out")
-    run_foreach_batch(src, drift_batch_writer(ref, ["value"], out), fresh_dir(spark, "drift_ckpt"))
+    run_foreach_batch(src, drift_batch_writer(ref, ["value"], out, fresh_dir(spark, "drift_counts")),
+                      fresh_dir(spark, "drift_ckpt"))
     return spark.read.parquet(out)

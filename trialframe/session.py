@@ -40,18 +40,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset.
+    """The shared folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` names shared storage; we read it and
-    never replace it.  Tests and local runs get a fresh scratch folder.
+    A local session without one gets a fresh scratch folder; on a cluster a missing setting is
+    an error, because executors do not share the driver's folders.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="trialframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 

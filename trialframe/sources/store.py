@@ -78,14 +78,34 @@ def latest_version(cat: DataFrame) -> DataFrame:
                                    F.max("created_at").alias("created_at"))
 
 
+# The registry entry: 13 fields.
+REGISTRY_SCHEMA = (
+    "model_name string, version string, model string, registered_at string, model_path string, "
+    "qualified_for_production boolean, best_f1 double, iq_passed boolean, oq_passed boolean, pq_passed boolean, "
+    "feature_columns array<string>, feature_version string, run_id string")
+
+
+def registry_entry(spark: SparkSession, **fields) -> DataFrame:
+    """One registry row; fields left out are null."""
+    names = [f.split()[0] for f in REGISTRY_SCHEMA.split(", ")]
+    unknown = set(fields) - set(names)
+    if unknown:
+        raise ValueError(f"no such registry fields: {sorted(unknown)}")
+    return spark.createDataFrame([tuple(fields.get(n) for n in names)], REGISTRY_SCHEMA)
+
+
 def register_model(spark: SparkSession, root: str, entry: DataFrame) -> None:
     """Append registry entries; unqualified entries are refused."""
-    bad = entry.filter(~F.col("qualified_for_production")).count()
+    bad = entry.filter(~F.coalesce("qualified_for_production", F.lit(False))).count()
     if bad:
         raise ValueError(f"{bad} unqualified registry entries refused")
     entry.write.mode("append").parquet(f"{root}/registry")
 
 
+def read_registry(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root}/registry")
+
+
 def current_model(history: DataFrame) -> DataFrame:
     """The production pointer = newest qualified entry per model name."""
     q = history.filter(F.col("qualified_for_production"))
@@ -93,12 +113,38 @@ def current_model(history: DataFrame) -> DataFrame:
         .withColumnRenamed("created_at", "registered_at")
 
 
-def fingerprints(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
-    """S10 + L6: (name, path, size, md5, modified) of the files of a directory."""
-    b = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
-    return b.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path",
-                    F.col("length").alias("size"), F.md5("content").alias("md5"),
-                    F.col("modificationTime").alias("modified"))
+MD5_MAX_BYTES = 64 << 20     # larger files are told apart by path, size and time only
+
+
+def files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
+    """(name, path, size, modified) of the files of a directory; contents are not read."""
+    f = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+    return f.select(F.element_at(F.split("path", "/"), -1).alias("name"), "path",
+                    F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def fingerprints(spark: SparkSession, directory: str, pattern: str = "*", max_bytes: int = MD5_MAX_BYTES) -> DataFrame:
+    """(name, path, size, md5, modified) of the files of a directory; ``md5`` is null above
+    ``max_bytes`` (use ``table_fingerprint`` for large tables)."""
+    small = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+             .filter(F.col("length") <= max_bytes).select(F.col("path").alias("_p"), F.md5("content").alias("md5")))
+    f = files(spark, directory, pattern)
+    return f.join(small, F.col("path") == F.col("_p"), "left").select("name", "path", "size", "md5", "modified")
+
+
+def table_fingerprint(df: DataFrame) -> DataFrame:
+    """One row (n, row_hash): a hash of a table's rows that does not depend on their order or files."""
+    h = F.xxhash64(F.to_json(F.struct(*sorted(df.columns))))
+    return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("row_hash"))
+
+
+def artifact_status(spark: SparkSession, directory: str, expected: list[str]) -> DataFrame:
+    """(name, exists, size, modified) for every expected file and every other one that is there."""
+    wanted = spark.createDataFrame([(n,) for n in expected], "name string").withColumn("expected", F.lit(True))
+    there = files(spark, directory).select("name", "size", "modified", F.lit(True).alias("found"))
+    return wanted.join(there, "name", "full_outer").select(
+        "name", F.coalesce("expected", F.lit(False)).alias("expected"), F.coalesce("found", F.lit(False)).alias("exists"),
+        "size", "modified")
 
 
 def fingerprint_diff(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
 """Structured Streaming forms.
 
-* ``windowed_counts``: event-time windows with a watermark, append mode,
-  written by the exactly-once file sink (T2, T5, T9).
+* ``windowed_counts``: event-time windows with a watermark (T2, T5, T9), either in append mode
+  (closed windows only, exactly-once file sink) or in update mode (running totals).
 * ``scoring_stream``: arriving lineitem files joined to the static
-  dimension tables (stream-static join), feature recipe with a fixed scale,
-  the registered model applied in ``foreachBatch``; the model pointer is read
+  dimension tables (stream-static join) and scored in ``foreachBatch`` on the path of the
+  batch job, with the scale saved in the model folder; the registry is read
   per micro-batch, so a newly registered model is picked up without a
   restart (T1, T13).
 * ``drift_stream``: each micro-batch is tested against a fixed reference
@@ -62,46 +62,68 @@ def run_to_table(df: DataFrame, out: str, checkpoint: str, mode: str = "append")
     return out
 
 
-def run_foreach_batch(df: DataFrame, fn, checkpoint: str) -> None:
+def changed_windows_writer(out: str):
+    """A foreachBatch function for update mode: the windows that a micro-batch changed (a replayed
+    batch overwrites its own partition)."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
+    return fn
+
+
+def latest_windows(written: DataFrame, key: str = "event_type") -> DataFrame:
+    """Each window's latest totals from what ``changed_windows_writer`` wrote."""
+    values = [c for c in written.columns if c not in ("window_start", "window_end", key, "batch_id")]
+    last = F.max_by(F.struct(*values), "batch_id").alias("last")
+    return written.groupBy("window_start", "window_end", key).agg(last).select("window_start", "window_end", key, "last.*")
+
+
+def run_foreach_batch(df: DataFrame, fn, checkpoint: str, mode: str = "append") -> None:
     """Run a streaming DataFrame to completion with a ``foreachBatch`` function."""
-    q = (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    q = (df.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint)
            .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def scoring_batch_writer(pointer_path: str, out: str, predicted_at: str, feature_builder):
-    """T1 + T13: a foreachBatch function that reads the current model pointer
-    each micro-batch, loads that model, scores the batch and appends the
-    predictions with the batch id (idempotent: a replayed batch overwrites
-    its own partition)."""
-    from pyspark.ml import PipelineModel
-
-    from trialframe.ml.train import score
+def scoring_batch_writer(root: str, out: str, predicted_at: str):
+    """T1 + T13: a foreachBatch function that reads the registry's current entry
+    each micro-batch, loads that model with its saved scale, scores the raw rows on the same path as a
+    batch (defaults, contract, features, model) and appends the predictions with the batch id
+    (idempotent: a replayed batch overwrites its own partition)."""
+    from trialframe.ml.train import load_scorer, score
+    from trialframe.sources.store import read_registry, current_model
 
     loaded: dict = {}
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        ptr = spark.read.json(pointer_path).orderBy(F.desc("registered_at"), F.desc("version")).first()
-        if loaded.get("version") != ptr["version"]:
-            loaded["model"] = PipelineModel.load(ptr["model_path"])
-            loaded["version"] = ptr["version"]
-        scored = score(loaded["model"], feature_builder(batch), predicted_at)
-        (scored.withColumn("model_version", F.lit(ptr["version"])).withColumn("batch_id", F.lit(batch_id))
+        entry = current_model(read_registry(spark, root)).orderBy(F.desc("registered_at"), F.desc("version")).first()
+        if loaded.get("version") != entry["version"]:
+            loaded["scorer"] = load_scorer(spark, entry["model_path"])
+            loaded["version"] = entry["version"]
+        scored = score(loaded["scorer"], batch, predicted_at)
+        (scored.withColumn("model_version", F.lit(entry["version"])).withColumn("batch_id", F.lit(batch_id))
                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy("batch_id").parquet(out))
 
     return fn
 
 
-def drift_batch_writer(reference: DataFrame, cols: list[str], out: str):
-    """KS of each micro-batch against the reference, appended per batch."""
-    from trialframe.operators.drift import ks_statistics
+def drift_batch_writer(reference: DataFrame, cols: list[str], out: str, counts_path: str):
+    """KS of each micro-batch against the reference, appended per batch.
+
+    The reference's value counts are written once to ``counts_path``; a batch reads them, not the reference."""
+    from trialframe.operators.drift import ks_from_counts, side_counts
+
+    side_counts(reference, cols, "n_ref").write.mode("overwrite").parquet(counts_path)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        k = ks_statistics(reference, batch, cols)
-        (k.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
+        ref = batch.sparkSession.read.parquet(counts_path)
+        both = (ref.withColumn("n_cur", F.lit(0).cast("long"))
+                .unionByName(side_counts(batch, cols, "n_cur").withColumn("n_ref", F.lit(0).cast("long")))
+                .groupBy("column", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")))
+        (ks_from_counts(both, cols).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
 
     return fn
 
