@@ -56,7 +56,7 @@ class WordHashes(dict):
     """word -> 64-bit hash, forgotten from time to time."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -169,19 +169,23 @@ def clean(docs: DataFrame, verdicts: DataFrame, host: str = "source") -> DataFra
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for part in slices(batch):
+                yield cleaned(part)
+
+        def cleaned(part: pa.RecordBatch) -> pa.RecordBatch:
             texts = []
-            for text, lines in zip(batch.column("text").to_pylist(), batch.column(gone).to_pylist(), strict=True):
+            for text, lines in zip(part.column("text").to_pylist(), part.column(gone).to_pylist(), strict=True):
                 if lines and text:
                     held = set(lines)
                     text = "\n".join(x for x in text.split("\n") if not x.strip(SPACES) or line_key(x.encode()) not in held)
                 texts.append(text)
-            out = {c: batch.column(c) for c in columns}
-            out["text"] = pa.array(texts, batch.schema.field("text").type)
+            out = {c: part.column(c) for c in columns}
+            out["text"] = pa.array(texts, part.schema.field("text").type)
             if "n_chars" in out:
-                length = pa.compute.utf8_length(out["text"]).cast(batch.schema.field("n_chars").type)
-                touched = pa.compute.greater(pa.compute.list_value_length(batch.column(gone)), 0)
+                length = pa.compute.utf8_length(out["text"]).cast(part.schema.field("n_chars").type)
+                touched = pa.compute.greater(pa.compute.list_value_length(part.column(gone)), 0)
                 out["n_chars"] = pa.compute.if_else(touched, length, out["n_chars"])
-            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+            return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
         return step
 
     return map_batches(rows, make, schema)
@@ -193,8 +197,9 @@ def text_hash(docs: DataFrame, name: str) -> DataFrame:
 
     def make():
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            h = [signed(xxhash.xxh3_64_intdigest((x or "").encode())) for x in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(h, pa.int64())], names=[*columns, name])
+            for part in slices(batch):
+                h = [signed(xxhash.xxh3_64_intdigest((x or "").encode())) for x in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(h, pa.int64())], names=[*columns, name])
         return step
 
     return map_batches(docs, make, StructType([*kinds.fields, StructField(name, LongType())]))
