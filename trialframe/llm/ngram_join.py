@@ -17,7 +17,9 @@ lost, and no group is expanded into its pairs.
    tokens are split into ``g`` token classes by hash; of ``1 + g`` shared frequent tokens two must
    fall into the same one, so 2-token combinations within a class are indexed.  ``g``
    grows with the set's size, which keeps the combinations linear in it.  Sets too
-   small for ``g >= 1`` index frequent tokens singly.
+   small for ``g >= 1`` index frequent tokens singly.  A signature carries the set's size and how many
+   of its tokens come before, all unshared at the first signature that a pair shares (length and
+   positional filters).
 5. Verification by whole sets.  Where a signature is held by several classes, each class is
    first checked against one centre of the signature; verified links merge components;
    signatures inside one component close.  When few pairs between components are left, all
@@ -50,7 +52,7 @@ from trialframe.llm.common import counted_table, id_text, map_batches, shared_ta
 from trialframe.llm.line_quality import window_hashes
 
 RARE = 16
-WORDS_KEPT = 300_000     # distinct words remembered by a task before it starts afresh
+WORDS_KEPT = 150_000     # distinct words remembered by a task before it starts afresh
 BROADCAST_ROWS = 1_000_000
 ALL_PAIRS = 4           # remaining pairs are all checked once they are this many times the active classes,
                         # or once a round of centres no longer halves them
@@ -155,18 +157,21 @@ def mix(*parts) -> np.ndarray:
     return out
 
 
-def class_signatures(n: int, df: np.ndarray, h: np.ndarray, bounds: Bounds) -> np.ndarray:
-    """Signatures of a class of ``n`` tokens; ``df`` and ``h`` are those held by several classes, rarest first."""
+def class_signatures(n: int, df: np.ndarray, h: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a class of ``n`` tokens, and how many of its tokens stand before each in the order;
+    ``df`` and ``h`` are the tokens held by several classes, rarest first."""
     alone = n - len(h)                      # the others come first in the order
     levels = sorted({n.bit_length() - 1, bounds.most(n).bit_length() - 1})
     length = {at: max(0, bounds.lacking(n) + 1 + bounds.classes(at) - alone) for at in levels}
     head = max(length.values())
-    out = [mix(h[:head][df[:head] <= RARE], np.uint64(1))]
+    rare = np.flatnonzero(df[:head] <= RARE)
+    out, before = [mix(h[rare], np.uint64(1))], [alone + rare]
     for level in levels:
         head, split = length[level], bounds.classes(level)
         often = h[:head][df[:head] > RARE]
         if not split:
             out.append(mix(often, np.uint64(2), np.uint64(level)))
+            before.append(alone + np.flatnonzero(df[:head] > RARE))
             continue
         owner = often % np.uint64(split)
         order = np.lexsort((often, owner))
@@ -176,11 +181,13 @@ def class_signatures(n: int, df: np.ndarray, h: np.ndarray, bounds: Bounds) -> n
             if not same.any():
                 break
             out.append(mix(often[:-step][same], often[step:][same], np.uint64(3), np.uint64(level)))
-    return np.unique(np.concatenate(out))
+            before.append(np.full(len(out[-1]), alone))         # a combination need not be the first that a pair shares
+    keys, at = np.unique(np.concatenate(out), return_index=True)
+    return keys, np.maximum(np.concatenate(before)[at], 0)
 
 
 def signatures(rows: DataFrame, bounds: Bounds) -> DataFrame:
-    """(key, rep) from rows (rep, n, tokens array<struct<df, h>>)."""
+    """(key, rep, n, before) from rows (rep, n, tokens array<struct<df, h>>)."""
     kind = rows.schema["rep"].dataType.simpleString()
 
     def make():
@@ -188,16 +195,26 @@ def signatures(rows: DataFrame, bounds: Bounds) -> DataFrame:
             tokens = batch.column("tokens")
             flat, ends = tokens.flatten(), tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
             all_df, all_h = flat.field("df").to_numpy(), flat.field("h").to_numpy().view(np.uint64)
-            keys = []
+            keys, before = [], []
             for n, low, high in zip(batch.column("n").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 df, h = all_df[low:high], all_h[low:high]
                 order = np.lexsort((h, df))
-                keys.append(class_signatures(n, df[order], h[order], bounds))
-            reps = batch.column("rep").take(pa.array(np.repeat(np.arange(batch.num_rows), [len(k) for k in keys])))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), reps], names=["key", "rep"])
+                k, at = class_signatures(n, df[order], h[order], bounds)
+                keys.append(k)
+                before.append(at)
+            owner = pa.array(np.repeat(np.arange(batch.num_rows), [len(k) for k in keys]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(keys).view(np.int64)), batch.column("rep").take(owner), batch.column("n").take(owner),
+                 pa.array(np.concatenate(before).astype(np.int64))], names=["key", "rep", "n", "before"])
         return step
 
-    return map_batches(rows.select("rep", "n", "tokens"), make, f"key long, rep {kind}")
+    return map_batches(rows.select("rep", "n", "tokens"), make, f"key long, rep {kind}, n long, before long")
+
+
+def can_link(percent: int, n: tuple, before: tuple):
+    """Positional filter at the first signature that a pair shares: what stands before it is not shared."""
+    most = F.least(F.col(n[0]) - F.col(before[0]), F.col(n[1]) - F.col(before[1]))
+    return 100 * most >= percent * (F.col(n[0]) + F.col(n[1]) - most)
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:
@@ -207,23 +224,12 @@ def small(df: DataFrame, rows: int) -> DataFrame:
 
 def verified(pairs: DataFrame, n_pairs: int, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, link) of pairs (a, b) of classes, by their whole sets (doc_id, tokens)."""
-    kind = pairs.schema["a"].dataType.simpleString()
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("a_tokens"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("b_tokens"))
-    both = left.join(small(pairs, n_pairs), "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens")
-
-    def make():
-        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            link = []
-            for x, y in zip(batch.column("a_tokens"), batch.column("b_tokens"), strict=True):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
-                both = np.sort(np.concatenate([x, y]))
-                common = int((both[1:] == both[:-1]).sum())
-                link.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(link, pa.bool_())], names=["a", "b", "link"])
-        return step
-
-    return map_batches(both, make, f"a {kind}, b {kind}, link boolean")
+    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    return (left.join(small(pairs, n_pairs), "a").join(right, "b")
+            .select("a", "b", common.alias("common"), (F.size("a_tokens") + F.size("b_tokens")).alias("both"))
+            .select("a", "b", (100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).alias("link")))
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -306,8 +312,10 @@ def link_rounds(index: DataFrame, active: DataFrame, sets: DataFrame, bounds: Bo
         last = left <= ALL_PAIRS * n_active or (before is not None and 2 * left > before)
         if last:
             one = marked.join(open_keys.select("key"), "key")
-            two = one.select("key", F.col("rep").alias("other"), F.col("label").alias("other_label"))
-            pairs = (one.join(two, "key").where((F.col("rep") < F.col("other")) & (F.col("label") != F.col("other_label")))
+            two = one.select("key", F.col("rep").alias("other"), F.col("label").alias("other_label"), F.col("n").alias("other_n"),
+                             F.col("before").alias("other_before"))
+            pairs = (one.join(two, "key").where((F.col("rep") < F.col("other")) & (F.col("label") != F.col("other_label"))
+                                                & can_link(bounds.percent, ("n", "other_n"), ("before", "other_before")))
                      .select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct())
             pairs = without(pairs, tested)
         else:       # each class meets the centre that it shares most signatures with
