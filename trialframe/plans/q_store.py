@@ -100,8 +100,8 @@ def registry_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("fingerprints")
 def fingerprints_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S10 + L6: name, size and md5 of every table file."""
-    return fingerprints(spark, sf_dir, "*.parquet").select("name", "size", "md5")
+    """S10 + L6: name, size and md5 (above 64 MB the line hash) of every table file."""
+    return fingerprints(spark, sf_dir, "*.parquet").select("name", "size", "md5", "line_hash")
 
 
 @register("fingerprint_diff")

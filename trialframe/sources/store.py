@@ -11,6 +11,9 @@ a path that the same plan reads).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -113,7 +116,8 @@ def current_model(history: DataFrame) -> DataFrame:
         .withColumnRenamed("created_at", "registered_at")
 
 
-MD5_MAX_BYTES = 64 << 20     # larger files are told apart by path, size and time only
+MD5_MAX_BYTES = 64 << 20     # larger files do not fit a row: they get a hash over their lines instead of an md5
+LINE_BASE, LINE_PRIME = 0x9E3779B97F4A7C15F39CC0605CEDC835, (1 << 127) - 1
 
 
 def files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
@@ -123,13 +127,47 @@ def files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
                     F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
+def line_hashes(spark: SparkSession, directory: str, pattern: str, over_bytes: int) -> DataFrame:
+    """(path, line_hash) of the files over ``over_bytes``: a hash of all their bytes, line by line and in order.
+
+    Each task folds the lines of its part of a file into a polynomial; the parts are then put together in
+    file order, so the hash does not depend on how a file was split.  ``line_hash`` is "lines:hash".
+    """
+    lines = (spark.read.format("text").option("lineSep", "\n").option("pathGlobFilter", pattern).load(directory)
+             .where(F.col("_metadata.file_size") > over_bytes)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                     F.unhex(F.md5(F.col("value").cast("binary"))).alias("line")))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], tuple[int, int]] = {}
+        for batch in batches:
+            for path, start, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                n, h = held.get((path, start), (0, 0))
+                held[path, start] = n + 1, (h * LINE_BASE + int.from_bytes(line)) % LINE_PRIME
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in held], pa.string()), pa.array([s for _, s in held], pa.int64()),
+             pa.array([n for n, _ in held.values()], pa.int64()), pa.array([f"{h:032x}" for _, h in held.values()], pa.string())],
+            names=["path", "start", "n", "h"])
+
+    def joined(table: pa.Table) -> pa.Table:        # a row for each part of one file
+        n, h = 0, 0
+        for row in table.sort_by("start").to_pylist():
+            n, h = n + row["n"], (h * pow(LINE_BASE, row["n"], LINE_PRIME) + int(row["h"], 16)) % LINE_PRIME
+        return pa.table({"path": table["path"][:1], "line_hash": pa.array([f"{n}:{h:032x}"], pa.string())})
+
+    return (lines.mapInArrow(fold, "path string, start long, n long, h string")
+            .groupBy("path").applyInArrow(joined, "path string, line_hash string"))
+
+
 def fingerprints(spark: SparkSession, directory: str, pattern: str = "*", max_bytes: int = MD5_MAX_BYTES) -> DataFrame:
-    """(name, path, size, md5, modified) of the files of a directory; ``md5`` is null above
-    ``max_bytes`` (use ``table_fingerprint`` for large tables)."""
+    """(name, path, size, md5, modified, line_hash) of the files of a directory; above ``max_bytes``
+    ``md5`` is null and ``line_hash`` is given instead."""
     small = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
              .filter(F.col("length") <= max_bytes).select(F.col("path").alias("_p"), F.md5("content").alias("md5")))
+    large = line_hashes(spark, directory, pattern, max_bytes).withColumnRenamed("path", "_l")
     f = files(spark, directory, pattern)
-    return f.join(small, F.col("path") == F.col("_p"), "left").select("name", "path", "size", "md5", "modified")
+    return (f.join(small, F.col("path") == F.col("_p"), "left").join(large, F.col("path") == F.col("_l"), "left")
+            .select("name", "path", "size", "md5", "modified", "line_hash"))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
@@ -148,12 +186,19 @@ def artifact_status(spark: SparkSession, directory: str, expected: list[str]) ->
 
 
 def fingerprint_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Per file name, new / gone / changed / same between two fingerprint sets."""
-    o = old.select("name", F.col("md5").alias("old_md5"), F.col("size").alias("old_size"))
-    n = new.select("name", F.col("md5").alias("new_md5"), F.col("size").alias("new_size"))
+    """Per file name, new / gone / changed / same between two fingerprint sets taken with one ``max_bytes``.
+
+    A side has a file when it has its size; the contents differ when the sizes, the md5 or the line hashes do.
+    """
+    o, n = (f.select("name", F.col("md5").alias(f"{side}_md5"), F.col("size").alias(f"{side}_size"),
+                     F.col("line_hash").alias(f"{side}_line_hash")) for side, f in (("old", old), ("new", new)))
     j = o.join(n, "name", "full_outer")
-    status = (F.when(F.col("old_md5").isNull(), F.lit("new"))
-               .when(F.col("new_md5").isNull(), F.lit("gone"))
-               .when(F.col("old_md5") != F.col("new_md5"), F.lit("changed"))
-               .otherwise(F.lit("same")))
+    status = (F.when(F.col("old_size").isNull(), F.lit("new"))
+               .when(F.col("new_size").isNull(), F.lit("gone"))
+               .when(F.col("old_size") != F.col("new_size"), F.lit("changed"))
+               .when(F.col("old_md5") == F.col("new_md5"), F.lit("same"))
+               .when(F.col("old_line_hash") == F.col("new_line_hash"), F.lit("same"))
+               .when(F.col("old_md5").isNotNull() & F.col("new_md5").isNotNull(), F.lit("changed"))
+               .when(F.col("old_line_hash").isNotNull() & F.col("new_line_hash").isNotNull(), F.lit("changed"))
+               .otherwise(F.raise_error(F.format_string("%s: no hash of one kind on both sides", "name"))))
     return j.withColumn("status", status)
