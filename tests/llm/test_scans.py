@@ -156,3 +156,50 @@ def test_op3_finds_every_whole_item(spark, sf_small):
     items = spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()
     got = {(r.doc_id, r.item_id) for r in queries.op3_decontaminate(spark, sf_small).collect()}
     assert {(d.doc_id, i.item_id) for d in docs for i in items if i.text in (d.text or "")} <= got
+
+
+def near_copies(words):
+    """Copies with a word replaced, dropped or inserted at each place, and with the first or last word cut."""
+    for k in range(len(words)):
+        yield [*words[:k], "changed", *words[k + 1:]]
+        yield [*words[:k], *words[k + 1:]]
+        yield [*words[:k], "changed", *words[k:]]
+
+
+@pytest.mark.parametrize("sizes", [(4,), (7,), (9,), (12,), (6, 1), (9, 2), (8, 5), (10, 10), (30, 11), (70, 6)])
+def test_near_copies_of_items_are_leaks(sizes):
+    n = sum(sizes)
+    words = [f"w{i}" for i in range(n)]
+    cuts = [sum(sizes[:k]) for k in range(len(sizes) + 1)]
+    text = " ".join(" ".join(words[a:b]) + "." for a, b in zip(cuts, cuts[1:], strict=False))
+    others = [" ".join(f"x{i}" for i in range(k, k + 30)) for k in range(5)]
+    items = list(enumerate([text, *others]))
+    units = [u for _, t in items for u in decontam.units_of(t)]
+    df = {w: sum(w in u for u in units) for u in units for w in u}
+    index = decontam.Index(items, df, len(units), sum(map(len, units)) / len(units))
+    around = [f"y{i}" for i in range(150)]
+
+    def leaked(copy):
+        held = [*around[:90], *copy, *around[90:]]
+        found = index.retrieve(held, decontam.THRESHOLD)
+        return 0 in found and index.verify(0, held, decontam.grams(held, decontam.GRAM), set(held))[-1]
+
+    assert leaked(words)
+    assert all(leaked(copy) for copy in near_copies(words))
+    if len(sizes) > 1 and sizes[0] >= decontam.SHORT:
+        assert leaked(words[:sizes[0]])                     # the question without its last sentence
+        assert all(leaked(copy) for copy in near_copies(words[:sizes[0]]))
+    assert not leaked(words[: n // 3]) and not leaked([])
+    assert not leaked([x for w in words for x in (w, "between", "them", "all")][: 4 * 30])
+
+
+def test_edits_against_tables():
+    r = random.Random(4)
+    for _ in range(300):
+        item, words = (r.choices("abcd", k=r.randint(lo, 9)) for lo in (1, 0))
+        row = [0] * (len(words) + 1)                        # an item may begin anywhere
+        for k, a in enumerate(item):
+            last, row = row, [k + 1]
+            for j, b in enumerate(words):
+                row.append(min(last[j] + (a != b), last[j + 1] + 1, row[j] + 1))
+        assert decontam.edits(item, words) == min(row)

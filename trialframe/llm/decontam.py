@@ -10,10 +10,15 @@ reaches the threshold: bounds on terms pick the pivot, bounds on blocks of units
 only then are postings scored.  The sums of the block bounds are first taken for all passages of a
 text at once, and a passage of which no block can reach the threshold opens no postings.
 
-Each (document, item) retrieved is verified on the whole text: the share of the question's
-and of the answer's runs of ``GRAM`` words that stand in it must reach ``QUESTION`` and
-``ANSWER``.  The answer is the last sentence or line of an item, or its last third where
-there is one only; an item under ``SHORT`` words must stand in the text as a whole.
+Each (document, item) retrieved is verified on the whole text.  It is a leak if one of these
+shares reaches its bound: those of the question's and of the answer's runs of ``GRAM`` words
+(``QUESTION`` and ``ANSWER``, both); that of the whole item (``ITEM``); or that of a question of
+``SHORT`` words or more without its answer (``ITEM``).  The last two are the larger of the share of
+runs and of 1 - edits / words, where edits are the fewest words to replace, drop or insert
+for the item to stand somewhere in the text; so an item of four words or more may have a word
+changed wherever it is, a shorter one stands as it is.  The answer is the last sentence or line of an
+item, or its last third where there is one only (such items have no question to find alone).
+A question has units of its own, so that it is retrieved without the answer.
 
 Document frequencies are counted over all items.  The index is used in chunks of about
 ``CHUNK_CHARS`` characters of items, each small enough to send to every task; more items
@@ -42,7 +47,7 @@ UNIT, PASSAGE = 64, 128
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 BLOCK, INDEX_UNITS = 4, 1_024       # units per block; units of one index, so that its block bounds are a small array
-GRAM, QUESTION, ANSWER, SHORT = 3, 0.7, 0.7, 8
+GRAM, QUESTION, ANSWER, ITEM, SHORT = 3, 0.7, 0.7, 0.7, 8
 CHUNK_CHARS = 2_000_000
 WORDS = re.compile(r"[^\W_]+").findall
 
@@ -52,12 +57,24 @@ def words_of(text: str) -> list[str]:
 
 
 def units_of(text: str) -> list[list[str]]:
-    words = words_of(text)
-    return [words[i: i + UNIT] for i in range(0, len(words), UNIT)]
+    """The item's units, and those of its question that differ."""
+    words, question = words_of(text), lone_question(text)
+    units = [words[i: i + UNIT] for i in range(0, len(words), UNIT)]
+    return units + [u for u in (question[i: i + UNIT] for i in range(0, len(question), UNIT)) if u not in units]
+
+
+def sentences(text: str) -> list[list[str]]:
+    return [w for w in map(words_of, re.split(r"(?<=[.?!])\s+|\n+", text)) if w]
+
+
+def lone_question(text: str) -> list[str]:
+    """The words before the last sentence or line, if enough to be found without it."""
+    question = [x for p in sentences(text)[:-1] for x in p]
+    return question if len(question) >= SHORT else []
 
 
 def question_and_answer(text: str) -> tuple[list[str], list[str]]:
-    parts = [w for w in map(words_of, re.split(r"(?<=[.?!])\s+|\n+", text)) if w]
+    parts = sentences(text)
     if len(parts) > 1:
         return [x for p in parts[:-1] for x in p], parts[-1]
     words = parts[0] if parts else []
@@ -70,6 +87,36 @@ def grams(words: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[i: i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def edits(item: list[str], words: list[str]) -> int:
+    """The fewest word edits that turn ``item`` into some run of ``words`` (Myers' bit vectors)."""
+    places: dict[str, int] = {}
+    for k, w in enumerate(item):
+        places[w] = places.get(w, 0) | 1 << k
+    full, top = (1 << len(item)) - 1, 1 << len(item) >> 1
+    up, down, now = full, 0, len(item)
+    best = now
+    for w in words:
+        same = places.get(w, 0)
+        x = same | down
+        h = (((same & up) + up) ^ up) | same
+        more, less = down | (full & ~(h | up)), up & h
+        if more & top:
+            now += 1
+        elif less & top:
+            now -= 1
+            best = min(best, now)
+        more, less = more << 1 & full, less << 1 & full
+        up, down = less | (full & ~(x | more)), more & x
+    return best
+
+
+def near(item: list[str], words: list[str], held: set[str]) -> float:
+    """1 - edits / words of the item; 0 where too few of its words stand in the text to reach ``ITEM``."""
+    if sum(w in held for w in item) < ITEM * len(item) - 1e-9:
+        return 0.0
+    return 1 - edits(item, words) / len(item)
+
+
 class Index:
     """Postings, term bounds and block bounds of one chunk of units."""
 
@@ -186,25 +233,30 @@ class Index:
                     best[item] = (score, k * half)
         return best
 
-    def verify(self, item: int, words: list[str], runs: set) -> tuple[float, float]:
-        """Shares of the question's and the answer's runs that stand in the text."""
-        question, answer = question_and_answer(self.texts[item])
-        if len(question) + len(answer) < SHORT:
-            whole = question + answer
-            n = len(whole)
-            stands = float(any(words[i: i + n] == whole for i in range(len(words) - n + 1)))
-            return stands, stands
-        shares = []
-        for part in (question, answer):
+    def verify(self, item: int, words: list[str], runs: set, held: set) -> tuple[float, float, float, bool]:
+        """Shares of the question, of the answer and of the whole item that stand in the text; is it a leak?"""
+        text = self.texts[item]
+        whole = words_of(text)
+
+        def share(part: list[str]) -> float:
             if len(part) >= GRAM:
                 wanted = grams(part, GRAM)
-                shares.append(len(wanted & runs) / len(wanted))
-            elif part:
-                n = len(part)
-                shares.append(float(any(words[i: i + n] == part for i in range(len(words) - n + 1))))
-            else:
-                shares.append(1.0)
-        return shares[0], shares[1]
+                return len(wanted & runs) / len(wanted)
+            n = len(part)
+            return float(any(words[i: i + n] == part for i in range(len(words) - n + 1)))
+
+        def stands(part: list[str]) -> float:
+            if len(part) < SHORT:
+                return near(part, words, held)
+            by_runs = share(part)
+            return by_runs if by_runs >= ITEM else max(by_runs, near(part, words, held))
+
+        asked, told = map(share, question_and_answer(text))
+        item_share = stands(whole)
+        question = lone_question(text)
+        leak = (item_share >= ITEM or (len(whole) >= SHORT and asked >= QUESTION and told >= ANSWER)
+                or bool(question) and stands(question) >= ITEM)
+        return asked, told, item_share, leak
 
 
 def indexes(items: list[tuple], df: dict[str, int], n_units: int, mean_words: float) -> list[Index]:
@@ -232,14 +284,14 @@ def item_terms(items: DataFrame) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, item_id, bm25, question_overlap, answer_overlap, first_word) of every verified match."""
+    """(doc_id, item_id, bm25, question_overlap, answer_overlap, item_overlap, first_word) of every verified match."""
     spark = docs.sparkSession
     kinds = [docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()]
     texts = items.select("item_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     units = item_terms(texts)
     facts = units.agg(F.count("*").alias("n"), F.avg("words").alias("mean")).first()
     chars = texts.agg(F.sum(F.length("text")).alias("n")).first().n or 0
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, bm25 double, question_overlap double, answer_overlap double, first_word long"
+    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, bm25 double, question_overlap double, answer_overlap double, item_overlap double, first_word long"
     if not facts.n:
         return spark.createDataFrame([], schema)
     parts = max(1, math.ceil(chars / CHUNK_CHARS))
@@ -265,21 +317,21 @@ def _searcher(shared, threshold: float, kinds: list[str]):
             for part in slices(batch):
                 out: list[tuple] = []
                 for at, text in enumerate(part.column("text").to_pylist()):
-                    words, runs = words_of(text), None
+                    words, runs, seen = words_of(text), None, set()
                     for index in held:
                         best = index.retrieve(words, threshold)
                         if best and runs is None:
-                            runs = grams(words, GRAM)
+                            runs, seen = grams(words, GRAM), set(words)
                         for item, (score, first) in sorted(best.items()):
-                            asked, told = index.verify(item, words, runs)
-                            if asked >= QUESTION and told >= ANSWER:
-                                out.append((at, index.ids[item], score, asked, told, first))
+                            *shares, leak = index.verify(item, words, runs, seen)
+                            if leak:
+                                out.append((at, index.ids[item], score, *shares, first))
                 if out:
                     at, item, *rest = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("doc_id").take(pa.array(at)), pa.array(item, _arrow(kinds[1])),
-                         *(pa.array(x, pa.float64()) for x in rest[:3]), pa.array(rest[3], pa.int64())],
-                        names=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "first_word"])
+                         *(pa.array(x, pa.float64()) for x in rest[:4]), pa.array(rest[4], pa.int64())],
+                        names=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "item_overlap", "first_word"])
         return step
     return make
 
