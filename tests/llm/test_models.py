@@ -150,6 +150,28 @@ def test_machine_learns_pairs():
     assert (np.abs(model["w"][:, 1:]).sum(axis=1) > 0).any()
 
 
+def test_machine_learns_exclusive_or():
+    r = np.random.default_rng(9)
+    filler = [f"{i}f{i}" for i in range(60)]
+    texts, y = [], []
+    for _ in range(2_500):                                  # each word alone is equally common in both classes
+        a, b = r.random(2) < 0.5
+        texts.append(" ".join([*r.choice(filler, 8), *["insult"] * int(a), *["group"] * int(b)]))
+        y.append(int(a != b))
+    terms = list(toxic_fm.Terms().of(texts))
+    model = toxic_fm.train(terms[:2_000], np.array(y[:2_000], dtype=np.float32))
+    assert auc(y[2_000:], [toxic_fm.logit(model, t) for t in terms[2_000:]]) > 0.95
+
+
+def test_rare_terms_are_learned():
+    r = np.random.default_rng(3)
+    filler = [f"{i}f{i}" for i in range(60)]
+    texts = [" ".join([*r.choice(filler, 8), *["zzyq"] * int(i < 6)]) for i in range(800)]       # 6 of 400 toxic documents
+    model = toxic_fm.train(list(toxic_fm.Terms().of(texts)), np.array([1] * 400 + [0] * 400, dtype=np.float32))
+    told, plain = (toxic_fm.logit(model, t) for t in toxic_fm.Terms().of(["zzyq", ""]))
+    assert told > plain
+
+
 @pytest.mark.parametrize("module", [byte_cnn, toxic_fm])
 def test_classifiers_on_edges(spark, edge_docs, no_docs, module):
     few = spark.createDataFrame([(3, 1, "x"), (4, 0, "x"), (4, 0, "x"), (5, None, "x"), (None, 1, "x"), (99, 1, "x"), (8, 1, "x")],

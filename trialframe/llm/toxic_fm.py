@@ -9,7 +9,10 @@ where neither term does alone:
 
 ``fit`` learns it by AdaGrad with soft thresholds in numpy on at most ``SAMPLE_PER_CLASS`` labelled documents of each
 class of at most ``SAMPLE_BYTES`` bytes (bounds are parameters), chosen by a hash of the id.
-Terms seen in fewer than ``MIN_DOCS`` of them stay at 0.  The class shares of all labelled
+Terms seen in fewer than ``MIN_DOCS`` of them stay at 0; all others are learned, and only the soft
+thresholds make terms without effect 0.  The weights are learned alone for a round, then the
+vectors with them: so pairs explain what single terms leave, and do not learn by heart what these can tell.
+The class shares of all labelled
 documents, counted in full, correct the sample's balance.  The model has ``BUCKETS`` rows
 whatever the corpus, and scoring needs no shuffle.
 
@@ -37,7 +40,10 @@ BITS, FACTORS = 18, 6
 BUCKETS = 1 << BITS
 PREFIXES = (4, 5)
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 4_000, 20_000
-MIN_DOCS, SURE = 3, 4.0
+MIN_DOCS = 3
+START = 0.05            # spread of the vectors at their start, over the root of the mean number of terms
+ALONE = 1               # rounds of the weights without the vectors
+RATE_ALL = 1.0          # of w0, faster than terms of all documents would take its place
 EPOCHS, RATE, SPARSE, SPARSE_PAIRS, DOCS_A_STEP = 8, 0.1, 1e-3, 1e-3, 64
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 
@@ -97,37 +103,27 @@ def terms_table(rows: DataFrame, *more: str) -> DataFrame:
     return map_batches(rows.select("text", *more), make, f"{kinds}, terms array<int>")
 
 
-def telling(docs: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Terms of enough documents whose share differs between the classes by ``SURE`` standard errors."""
-    n1 = y.sum()
-    n0 = len(y) - n1
-    with_1 = np.bincount(np.concatenate([d for d, label in zip(docs, y, strict=True) if label]), minlength=BUCKETS)
-    with_0 = np.bincount(np.concatenate([d for d, label in zip(docs, y, strict=True) if not label]), minlength=BUCKETS)
-    share = (with_1 + with_0) / len(y)
-    error = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
-    return (with_1 + with_0 >= MIN_DOCS) & (np.abs(with_1 / n1 - with_0 / n0) >= SURE * error)
-
-
 def train(docs: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> dict[str, np.ndarray]:
-    """w0, w (BUCKETS) and v (BUCKETS, FACTORS)."""
-    used = np.flatnonzero(telling(docs, y))
+    """w0, w (BUCKETS) and v (BUCKETS, FACTORS): ``ALONE`` rounds of the weights, then of both, 2 * ``epochs`` in all."""
+    used = np.flatnonzero(np.bincount(np.concatenate(docs), minlength=BUCKETS) >= MIN_DOCS)
     row = np.full(BUCKETS, -1, dtype=np.int32)
     row[used] = np.arange(len(used))
     sets = [r[r >= 0] for r in (row[d] for d in docs)]
     r = np.random.default_rng(seed)
     w = np.zeros((len(used), 1 + FACTORS), dtype=np.float32)      # weight and vector
-    w[:, 1:] = r.normal(size=(len(used), FACTORS)) * 0.01
+    start = r.normal(size=(len(used), FACTORS)) * START / np.sqrt(max(1.0, np.mean([len(x) for x in sets])))
     w0 = np.float32(0)
     squared = np.zeros_like(w)
-    for _ in range(epochs):
+    for epoch in range(2 * epochs):
+        if epoch == ALONE:
+            w[:, 1:] = start            # vectors of 0 do not move
         turn = r.permutation(len(sets))
         for at in range(0, len(turn), DOCS_A_STEP):
             part = [sets[d] for d in turn[at: at + DOCS_A_STEP]]
             sizes = np.array([len(x) for x in part])
             owner, ids = np.repeat(np.arange(len(part)), sizes), np.concatenate(part)
             x = w[ids]
-            total = np.zeros((len(part), 1 + FACTORS), dtype=np.float32)
-            np.add.at(total, owner, x)
+            total = np.stack([np.bincount(owner, weights=x[:, k], minlength=len(part)) for k in range(1 + FACTORS)], axis=1).astype(np.float32)
             squares = np.bincount(owner, weights=(x[:, 1:] ** 2).sum(axis=1), minlength=len(part))
             z = w0 + total[:, 0] + 0.5 * ((total[:, 1:] ** 2).sum(axis=1) - squares)
             error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[turn[at: at + DOCS_A_STEP]]).astype(np.float32) / len(part)
@@ -144,7 +140,7 @@ def train(docs: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int
             norm = np.sqrt((moved[:, 1:] ** 2).sum(axis=1, keepdims=True))
             moved[:, 1:] *= np.maximum(1 - step[:, 1:].mean(axis=1, keepdims=True) * SPARSE_PAIRS / np.maximum(norm, 1e-9), 0)
             w[rows] = moved
-            w0 -= RATE * error.sum()
+            w0 -= RATE_ALL * error.sum()
     full = np.zeros((BUCKETS, 1 + FACTORS), dtype=np.float32)
     full[used] = w
     return {"w0": float(w0), "w": full}
