@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialframe.llm import (bpe, brown_lm, byte_cnn, chat_format, decontam, license_join, line_quality, ngram_join,
+from trialframe.llm import (bpe, brown_lm, byte_cnn, chat_format, decontam, license_join, line_quality, line_runs, ngram_join,
                             token_store, toxic_fm)
 from trialframe.llm.common import fold_is, read_table
 from trialframe.session import scratch_path
@@ -177,3 +177,22 @@ def op10_factor_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxic_fm.fit(docs, read_table(spark, sf_dir, "labels"), "toxic", ~fold)
     return toxic_fm.score(docs.select("doc_id", "text", fold.alias("held_out")), model, "held_out").withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@register
+def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedup_lines(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_BARE = r"regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
+ORACLE["op12_line_runs"] = rf"""
+WITH split_ AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
+lines AS (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS place FROM split_),
+keyed AS (SELECT doc_id, place, line, translate({_BARE}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+owners AS (SELECT k, min(doc_id) AS owner FROM keyed WHERE length(k) >= {line_runs.MIN_CHARS} GROUP BY k),
+judged AS (SELECT keyed.*, coalesce(owner <> doc_id, false) AS goes FROM keyed LEFT JOIN owners USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT goes), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
