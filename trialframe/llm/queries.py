@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialframe.llm import (bpe, brown_lm, byte_cnn, chat_format, decontam, license_join, line_quality, line_runs, ngram_join,
+from trialframe.llm import (bpe, brown_lm, byte_cnn, chat_format, decontam, fim, license_join, line_quality, line_runs, ngram_join,
                             token_store, toxic_fm)
 from trialframe.llm.common import fold_is, read_table
 from trialframe.session import scratch_path
@@ -179,6 +179,13 @@ def op10_factor_toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
         "predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@register
+def op11_fim_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.restore(fim.transform(read_table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 @register
 def op12_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(read_table(spark, sf_dir, "documents")).select(
