@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialframe.llm import (bpe, brown_lm, byte_cnn, chat_format, decontam, fim, license_join, line_quality, line_runs, ngram_join,
-                            token_store, toxic_fm)
+                            token_align, token_store, toxic_fm)
 from trialframe.llm.common import fold_is, read_table
 from trialframe.session import scratch_path
 
@@ -203,3 +203,9 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE goes) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT goes), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+
+@register
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                       public_tokenizers.path("piece_bpe_32k.model"))
