@@ -4,9 +4,9 @@ KS statistic (D1): stack both sides to (column, value, side), aggregate to
 distinct values with per-side counts, bucketed running counts per column,
 ``max |F_ref - F_cur|``.  One job for all monitored columns.
 
-KS p-value (D2): Kolmogorov's limiting distribution as a column expression
-(two series, each exact to double precision in its own range).  Method name
-``ks_asymptotic``.
+KS p-value (D2): up to ``EXACT_MAX`` values a side the exact law by counting lattice paths (``ks_exact``, one
+small computation a tested column); beyond it Kolmogorov's limiting distribution as a column expression (two series,
+each exact to double precision in its own range; ``ks_asymptotic``).
 
 Second test (D4): goodness-of-fit chi-square against the reference shares
 for columns declared categorical, normed Wasserstein-1 for the others.
@@ -20,8 +20,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from trialframe.operators.prefix import BUCKETS, running_totals
 from trialframe.operators.quantiles import stack_long
@@ -38,6 +41,8 @@ WASSERSTEIN_THRESHOLD = 0.1
 # Fixed value: monitored columns that are lists of fixed values, tested by chi-square.
 CATEGORICAL = ["dose_mg"]
 SERIES_TERMS = 10
+# Fixed value: the larger side's size up to which the exact law is used.
+EXACT_MAX = 10_000
 
 
 def ks_pvalue(d: Column, n1: Column, n2: Column) -> Column:
@@ -58,6 +63,47 @@ def ks_pvalue(d: Column, n1: Column, n2: Column) -> Column:
     return F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))
 
 
+def exact_ks_tail(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) for samples of ``n1`` and ``n2`` values without ties.
+
+    An order of the n1 + n2 values is a lattice path from (0, 0) to (n1, n2); D < d if the path stays where
+    |i / n1 - j / n2| < d.  Such paths are counted row by row: within a row's allowed columns the counts are running
+    sums of the row before.  Rows are rescaled by powers of two, so counts stay within doubles.
+    """
+    n1, n2 = max(n1, n2), min(n1, n2)
+    step = math.gcd(n1, n2)
+    a, b = n1 // step, n2 // step
+    reach = round(d * a * n2)               # d is a whole multiple of 1 / lcm(n1, n2)
+    if reach <= 0:
+        return 1.0
+    low, scale = 0, 0
+    row = np.ones(min(n2, (reach - 1) // a) + 1)             # i = 0: j * a < reach
+    for i in range(1, n1 + 1):
+        lo, hi = max(0, -((reach - 1 - i * b) // a)), min(n2, (reach - 1 + i * b) // a)      # |i b - j a| < reach
+        if lo > hi:
+            return 1.0
+        above = np.zeros(hi - lo + 1)
+        first, last = max(lo, low), min(hi, low + len(row) - 1)
+        if first <= last:
+            above[first - lo:last - lo + 1] = row[first - low:last - low + 1]
+        row, low = np.cumsum(above), lo
+        top = math.frexp(row[-1])[1] if row[-1] else 0
+        if top > 500:
+            row, scale = np.ldexp(row, -top), scale + top
+    if not row[-1]:
+        return 1.0
+    log_all = math.lgamma(n1 + n2 + 1) - math.lgamma(n1 + 1) - math.lgamma(n2 + 1)
+    inside = math.exp(math.log(row[-1]) + scale * math.log(2.0) - log_all)
+    return min(max(1.0 - inside, 0.0), 1.0)
+
+
+@F.pandas_udf(DoubleType())
+def exact_ks_pvalue(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    """D2 for small samples: one number a tested column."""
+    return pd.Series([None if pd.isna(x) else exact_ks_tail(float(x), int(a), int(b)) for x, a, b in zip(d, n1, n2, strict=True)],
+                     dtype="float64")
+
+
 def ks_pvalue_sql(d: str, n1: str, n2: str) -> str:
     """The same p-value as SQL text (for the DuckDB oracle)."""
     lam = f"({d} * sqrt(CAST({n1} AS DOUBLE) * {n2} / ({n1} + {n2})))"
@@ -101,7 +147,7 @@ def _round(c: Column, places: int | None) -> Column:
 def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR_FEATURES,
                   buckets: int = BUCKETS, places: int | None = 4,
                   side: Column | None = None) -> DataFrame:
-    """D1 + D2: (ord, column, ks_statistic, p_value, drifted, n_ref, n_cur).
+    """D1 + D2: (ord, column, ks_statistic, p_value, drifted, n_ref, n_cur, method).
 
     Columns absent on either side are skipped; a side with < 2 values gives
     null statistic and ``drifted = false``.  Statistic and p-value are
@@ -111,11 +157,6 @@ def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONIT
     return ks_from_counts(value_counts_by_side(ref, cur, cols, side), cols, buckets, places)
 
 
-def side_counts(df: DataFrame, cols: list[str], name: str) -> DataFrame:
-    """(column, value, ``name``): distinct values of one side with their counts."""
-    return stack_long(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias(name))
-
-
 def ks_from_counts(counts: DataFrame, cols: list[str], buckets: int = BUCKETS, places: int | None = 4) -> DataFrame:
     """D1 + D2 from (column, value, n_ref, n_cur); see :func:`ks_statistics`."""
     g = running_totals(counts, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
@@ -125,20 +166,23 @@ def ks_from_counts(counts: DataFrame, cols: list[str], buckets: int = BUCKETS, p
     d = g.groupBy("column", "tot_ref", "tot_cur").agg(F.max(diff).alias("d"))
     order = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
     ok = (F.col("tot_ref") > 1) & (F.col("tot_cur") > 1)
-    p = ks_pvalue(F.col("d"), F.col("tot_ref"), F.col("tot_cur"))
+    small = ok & (F.greatest("tot_ref", "tot_cur") <= EXACT_MAX)
+    d = d.withColumn("exact_p", exact_ks_pvalue(F.when(small, F.col("d")), "tot_ref", "tot_cur"))
+    p = F.when(small, F.col("exact_p")).otherwise(ks_pvalue(F.col("d"), F.col("tot_ref"), F.col("tot_cur")))
     out = d.select(
         order[F.col("column")].alias("ord"), "column",
         F.when(ok, _round(F.col("d"), places)).alias("ks_statistic"),
         F.when(ok, _round(p, places)).alias("p_value"),
         F.coalesce(ok & (p < P_THRESHOLD), F.lit(False)).alias("drifted"),
-        F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"))
+        F.col("tot_ref").alias("n_ref"), F.col("tot_cur").alias("n_cur"),
+        F.when(small, F.lit("ks_exact")).when(ok, F.lit("ks_asymptotic")).alias("method"))
     # a column with no values at all on a side still gets a row
     allc = counts.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "ord int, column string")
     return allc.join(out.drop("ord"), "column", "left").select(
         "ord", "column", "ks_statistic", "p_value",
         F.coalesce("drifted", F.lit(False)).alias("drifted"),
         F.coalesce("n_ref", F.lit(0)).cast("long").alias("n_ref"),
-        F.coalesce("n_cur", F.lit(0)).cast("long").alias("n_cur"))
+        F.coalesce("n_cur", F.lit(0)).cast("long").alias("n_cur"), "method")
 
 
 def drift_summary(per_column: DataFrame, n_reference: Column | int, n_current: Column | int,
@@ -155,13 +199,13 @@ def drift_summary(per_column: DataFrame, n_reference: Column | int, n_current: C
         F.count_if("drifted").cast("long").alias("n_drifted_features"),
         F.count(F.lit(1)).cast("long").alias("n_total_features"),
         F.coalesce(share, F.lit(0.0)).alias("_share"),
-        F.transform(drifted, lambda x: x["column"]).alias("drifted_columns"))
+        F.transform(drifted, lambda x: x["column"]).alias("drifted_columns"),
+        F.array_join(F.array_sort(F.collect_set("method")), ",").alias("method"))
     s = s.withColumns({
         "dataset_drift_detected": F.col("n_drifted_features") > 0,
         "share_drifted_features": F.bround("_share", 4),
         "n_reference_samples": F.lit(n_reference) if not isinstance(n_reference, Column) else n_reference,
         "n_current_samples": F.lit(n_current) if not isinstance(n_current, Column) else n_current,
-        "method": F.lit("ks_asymptotic"),
     })
     s = s.withColumns({
         "alert": F.col("dataset_drift_detected") | (F.col("_share") > max_share),
@@ -258,18 +302,31 @@ def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
     distinct values of reference and windows together.
     Returns (window, ks_statistic, p_value, drifted, n_ref, n_cur).
     """
-    r = ref.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    c = cur.select(F.col(window).alias("w"), F.col(value).cast("double").alias("v")).filter(
-        F.col("v").isNotNull())
-    ref_counts = r.groupBy("v").agg(F.count(F.lit(1)).cast("long").alias("n_ref"))
-    points = c.select("v").distinct().withColumn("n_ref", F.lit(0).cast("long"))
+    return windowed_ks_from_counts(value_counts(ref, value, "n_ref"), window_counts(cur, value, window), window, buckets, places)
+
+
+def value_counts(df: DataFrame, value: str, name: str) -> DataFrame:
+    """(v, ``name``): distinct values of one column with their counts."""
+    return (df.select(F.col(value).cast("double").alias("v")).where("v is not null")
+            .groupBy("v").agg(F.count(F.lit(1)).cast("long").alias(name)))
+
+
+def window_counts(df: DataFrame, value: str, window: str) -> DataFrame:
+    """(w, v, n_cur): distinct values of each time slice with their counts."""
+    return (df.select(F.col(window).alias("w"), F.col(value).cast("double").alias("v")).where("v is not null")
+            .groupBy("w", "v").agg(F.count(F.lit(1)).cast("long").alias("n_cur")))
+
+
+def windowed_ks_from_counts(ref_counts: DataFrame, wc: DataFrame, window: str, buckets: int = BUCKETS,
+                            places: int | None = 4) -> DataFrame:
+    """D9 from the reference's (v, n_ref) and the slices' (w, v, n_cur); see :func:`windowed_ks`."""
+    points = wc.select("v").distinct().withColumn("n_ref", F.lit(0).cast("long"))
     allv = ref_counts.unionByName(points).groupBy("v").agg(F.sum("n_ref").alias("n_ref"))
     allv = running_totals(allv, "v", ["n_ref"], buckets=buckets)
-    n_ref = r.agg(F.count(F.lit(1)).alias("tot_ref"))
+    n_ref = ref_counts.agg(F.sum("n_ref").alias("tot_ref"))
     cdf = allv.crossJoin(F.broadcast(n_ref)).select(   # one-row broadcast
         "v", (F.col("cum_n_ref") / F.col("tot_ref")).alias("f_ref"),
         ((F.col("cum_n_ref") - F.col("n_ref")) / F.col("tot_ref")).alias("f_ref_below"), "tot_ref")
-    wc = c.groupBy("w", "v").agg(F.count(F.lit(1)).cast("long").alias("n_cur"))
     wc = running_totals(wc, "v", ["n_cur"], keys=["w"], buckets=buckets, next_value=True)
     wn = wc.groupBy("w").agg(F.sum("n_cur").alias("tot_cur"), F.min("v").alias("v_first"))
     wc = wc.join(wn, "w").join(cdf, "v")

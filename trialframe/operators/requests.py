@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trialframe.operators.cooldown import cover
+from trialframe.operators.prefix import running_totals
 
 # Latency histogram upper bounds (seconds) and alert rules.
 LATENCY_BOUNDS = [0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.0]
@@ -35,6 +36,8 @@ GAP_LOOKBACK_MIN = 1             # no request at all in 1 minute ...
 GAP_FOR_MIN = 1                  # ... for 1 minute
 REPEAT_INTERVAL_MIN = 60         # an alert group is told again after an hour
 
+QUANTILE_RANGES = 16             # ranges of a window's values in which running counts are taken
+
 
 def request_log(events: DataFrame) -> DataFrame:
     """Re-aim the driver's ``events`` as a serving log: an ``error`` event is
@@ -122,6 +125,37 @@ def histogram_quantile(q: float) -> Column:
     return expr.otherwise(F.lit(LATENCY_BOUNDS[-1]))
 
 
+def exact_quantiles(log: DataFrame, qs: list[float], width: int = 5) -> DataFrame:
+    """(end_minute, window_end, n, q_0, q_1, ...), the exact latency quantiles of each sliding window.
+
+    Rows are first counted per minute and distinct latency, and only the counts are merged over the ``width`` windows that hold the
+    minute.  Running counts over ranges of a window's values give the ranks (linear interpolation between
+    neighbours); no window's values are collected.  Null and NaN latencies are ignored.
+    """
+    v = F.nanvl(F.col("latency_s"), F.lit(None).cast("double"))
+    per = (log.select(minute_of(F.col("ts")).alias("minute"), v.alias("v")).where("v is not null")
+           .groupBy("minute", "v").agg(F.count(F.lit(1)).cast("long").alias("c")))
+    merged = (per.select(F.explode(F.sequence(F.col("minute"), F.col("minute") + F.lit(width - 1))).alias("end_minute"), "v", "c")
+              .groupBy("end_minute", "v").agg(F.sum("c").alias("c")))
+    ranked = running_totals(merged, "v", ["c"], keys=["end_minute"], buckets=QUANTILE_RANGES)
+    sizes = per.groupBy("minute").agg(F.sum("c").alias("n")).select(
+        F.explode(F.sequence(F.col("minute"), F.col("minute") + F.lit(width - 1))).alias("end_minute"), "n").groupBy("end_minute").agg(
+        F.sum("n").alias("n"))
+    rows, n, upto = ranked.join(sizes, "end_minute"), F.col("n"), F.col("cum_c")
+
+    def at(rank):       # the smallest value with more than ``rank`` values up to it
+        return F.min(F.when(upto > rank, F.col("v")))
+
+    cols = []
+    for i, q in enumerate(qs):
+        pos = F.lit(q) * (n - 1)
+        cols += [at(F.floor(pos)).alias(f"_a{i}"), at(F.ceil(pos)).alias(f"_b{i}")]
+    out = rows.groupBy("end_minute", "n").agg(*cols)
+    share = lambda q: F.lit(q) * (n - 1) - F.floor(F.lit(q) * (n - 1))      # noqa: E731
+    return out.select("end_minute", minute_ts(F.col("end_minute")).alias("window_end"), n, *[
+        (F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * share(q)).alias(f"q_{i}") for i, q in enumerate(qs)])
+
+
 def sustained(cond: DataFrame, for_minutes: int, key: list[str] | None = None) -> DataFrame:
     """Evaluation minutes t where the condition held at every minute of [t - D, t].
 

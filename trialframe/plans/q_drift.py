@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from trialframe.functions.recipe import engineer_features
 from trialframe.operators.drift import (
-    CATEGORICAL, MAX_DRIFT_SHARE, MONITOR_FEATURES, P_THRESHOLD, WASSERSTEIN_THRESHOLD, chi_square_critical,
+    CATEGORICAL, EXACT_MAX, MAX_DRIFT_SHARE, MONITOR_FEATURES, P_THRESHOLD, WASSERSTEIN_THRESHOLD, chi_square_critical,
     drift_summary, ks_pvalue_sql, ks_statistics, ranked, second_test, windowed_ks)
 from trialframe.plans.catalog import r6, register, rnd
 from trialframe.plans.fixtures import shifted_production, shifted_production_sql
@@ -57,7 +57,9 @@ ks AS (SELECT ord, "column",
 
 @register("ks_drift", with_trials(f"""
 SELECT ord, "column", ROUND(d, 4) + 0e0 AS ks_statistic, ROUND(p, 4) + 0e0 AS p_value,
-       COALESCE(p < {P_THRESHOLD}, false) AS drifted, n_ref, n_cur FROM ks""", extra_ctes=_DRIFT_CTES))
+       COALESCE(p < {P_THRESHOLD}, false) AS drifted, n_ref, n_cur,
+       CASE WHEN p IS NULL THEN NULL WHEN greatest(n_ref, n_cur) <= {EXACT_MAX} THEN 'ks_exact' ELSE 'ks_asymptotic' END AS method
+FROM ks""", extra_ctes=_DRIFT_CTES))
 def ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 + D2: two-sample KS per monitored column, reference vs shifted production."""
     k = ks_statistics(drift_table(spark, sf_dir), None, places=None, side=is_ref())
@@ -136,9 +138,11 @@ def second_drift_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WEEK_SPLIT = "2024-01-08"
 
 
-@register("drift_by_window", f"""
+def _drift_windows_sql(window: str, name: str) -> str:
+    """KS of the events before the split against each later time slice ``window``."""
+    return f"""
 WITH ref AS (SELECT value AS v FROM events WHERE ts < TIMESTAMP '{_WEEK_SPLIT}' AND value IS NOT NULL),
-cur AS (SELECT CAST(date_trunc('week', ts) AS DATE) AS w, value AS v FROM events
+cur AS (SELECT {window} AS w, value AS v FROM events
         WHERE ts >= TIMESTAMP '{_WEEK_SPLIT}' AND value IS NOT NULL),
 wins AS (SELECT DISTINCT w FROM cur),
 long AS (SELECT w, v, 1 AS r, 0 AS c FROM wins, ref UNION ALL SELECT w, v, 0, 1 FROM cur),
@@ -147,11 +151,14 @@ cc AS (SELECT *, sum(n_ref) OVER (PARTITION BY w ORDER BY v) AS cr,
                  sum(n_cur) OVER (PARTITION BY w ORDER BY v) AS ccur FROM g),
 t AS (SELECT w, sum(n_ref) AS tot_ref, sum(n_cur) AS tot_cur FROM g GROUP BY w),
 d AS (SELECT w, tot_ref, tot_cur, max(abs(cr / tot_ref - ccur / tot_cur)) AS d FROM cc JOIN t USING (w) GROUP BY ALL)
-SELECT w AS week_start, ROUND(d, 4) + 0e0 AS ks_statistic,
+SELECT w AS {name}, ROUND(d, 4) + 0e0 AS ks_statistic,
        ROUND({ks_pvalue_sql('d', 'tot_ref', 'tot_cur')}, 4) + 0e0 AS p_value,
        {ks_pvalue_sql('d', 'tot_ref', 'tot_cur')} < {P_THRESHOLD} AS drifted,
        CAST(tot_ref AS BIGINT) AS n_ref, CAST(tot_cur AS BIGINT) AS n_cur
-FROM d""")
+FROM d"""
+
+
+@register("drift_by_window", _drift_windows_sql("CAST(date_trunc('week', ts) AS DATE)", "week_start"))
 def drift_by_window(spark: SparkSession, sf_dir: str, split: str = _WEEK_SPLIT) -> DataFrame:
     """Events before ``split`` are the reference; each later week is tested against them."""
     ev = read_table(spark, sf_dir, "events")

@@ -7,8 +7,9 @@
   batch job, with the scale saved in the model folder; the registry is read
   per micro-batch, so a newly registered model is picked up without a
   restart (T1, T13).
-* ``drift_stream``: each micro-batch is tested against a fixed reference
-  with the KS plan and the result rows are appended (T10).
+* ``slice_counts`` and ``drift_slice_writer``: value counts of event-time slices are kept in state and each
+  closed slice is tested against a fixed reference with the windowed KS plan (T10).
+* ``late_account``: rows that the watermark dropped, from the query's progress (T9).
 
 Every query runs with ``trigger(availableNow=True)`` here (process what is
 there, then stop); on a cluster the same code runs with a processing-time
@@ -54,14 +55,42 @@ def windowed_counts(events: DataFrame, window: str = "1 hour", watermark: str =
                      F.col("window.end").cast("timestamp_ntz").alias("window_end"), key, "count", "value_sum"))
 
 
-def run_to_table(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> str:
-    """Run a streaming DataFrame to completion into a Parquet table (file sink, exactly once)."""
+def run_to_table(df: DataFrame, out: str, checkpoint: str, mode: str = "append", account: str | None = None) -> str:
+    """Run a streaming DataFrame to completion into a Parquet table (file sink, exactly once).
+
+    ``account`` names a table to which the run appends its late-row account."""
     q = (df.writeStream.format("parquet").outputMode(mode).option("path", out)
            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    if account is not None:
+        late_account(df.sparkSession, q.recentProgress).write.mode("append").parquet(account)
     return out
 
 
+def late_account(spark: SparkSession, progress: list) -> DataFrame:
+    """(run_id, batch_id, operator, rows_in_state, late_rows) of each stateful operator in each micro-batch of a query's
+    progress; ``late_rows`` came after the watermark and were dropped (aggregates count them after partial sums)."""
+    rows = [(p["runId"] if isinstance(p["runId"], str) else str(p["runId"]), p["batchId"], i, s["numRowsTotal"], s["numRowsDroppedByWatermark"])
+            for p in progress for i, s in enumerate(p["stateOperators"])]
+    return spark.createDataFrame(rows, "run_id string, batch_id long, operator int, rows_in_state long, late_rows long")
+
+
+def time_feed(df: DataFrame, ts: str, parts: int, directory: str) -> str:
+    """Write ``df`` as ``parts`` arrivals of equal time spans, oldest first, for a file stream over ``directory``."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()
+    if lo is None:
+        df.write.parquet(directory)
+        return directory
+    for i in range(parts):
+        span = F.lit(True)
+        if i:
+            span = span & (F.col(ts) >= F.lit(lo + (hi - lo) * i / parts))
+        if i < parts - 1:
+            span = span & (F.col(ts) < F.lit(lo + (hi - lo) * (i + 1) / parts))
+        df.where(span).coalesce(1).write.mode("append").parquet(directory)
+    return directory
+
+
 def changed_windows_writer(out: str):
     """A foreachBatch function for update mode: the windows that a micro-batch changed (a replayed
     batch overwrites its own partition)."""
@@ -109,21 +138,31 @@ def scoring_batch_writer(root: str, out: str, predicted_at: str):
     return fn
 
 
-def drift_batch_writer(reference: DataFrame, cols: list[str], out: str, counts_path: str):
-    """KS of each micro-batch against the reference, appended per batch.
+def slice_counts(rows: DataFrame, value: str, window: str, watermark: str = "10 minutes") -> DataFrame:
+    """(w, v, n_cur), the value counts of each event-time slice, once the watermark has passed its end."""
+    e = rows.select(F.col("ts").cast("timestamp").alias("ets"), F.col(value).cast("double").alias("v")).where("v is not null")
+    return (e.withWatermark("ets", watermark).groupBy(F.window("ets", window).alias("slice"), "v")
+            .agg(F.count(F.lit(1)).cast("long").alias("n_cur"))
+            .select(F.col("slice.start").cast("timestamp_ntz").alias("w"), "v", "n_cur"))
+
 
-    The reference's value counts are written once to ``counts_path``; a batch reads them, not the reference."""
-    from trialframe.operators.drift import ks_from_counts, side_counts
+def drift_slice_writer(reference: DataFrame, value: str, out: str, counts_path: str):
+    """A foreachBatch function that tests the slices that a micro-batch closed against a fixed reference.
 
-    side_counts(reference, cols, "n_ref").write.mode("overwrite").parquet(counts_path)
+    The counts of a slice are kept in the query's state until it closes, so its verdict does not depend on how the rows
+    were cut into micro-batches.  The reference's value counts are written once to ``counts_path``."""
+    from trialframe.operators.drift import value_counts, windowed_ks_from_counts
+
+    value_counts(reference, value, "n_ref").write.mode("overwrite").parquet(counts_path)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        ref = batch.sparkSession.read.parquet(counts_path)
-        both = (ref.withColumn("n_cur", F.lit(0).cast("long"))
-                .unionByName(side_counts(batch, cols, "n_cur").withColumn("n_ref", F.lit(0).cast("long")))
-                .groupBy("column", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")))
-        (ks_from_counts(both, cols).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
+        spark, path = batch.sparkSession, f"{counts_path}-closed/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(path)             # a replayed batch overwrites its own
+        closed = spark.read.schema(batch.schema).parquet(path)
+        if not closed.isEmpty():
+            ref = spark.read.parquet(counts_path)
+            (windowed_ks_from_counts(ref, closed, "slice_start", places=None).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out))
 
     return fn
 
