@@ -214,15 +214,6 @@ def drift_summary(per_column: DataFrame, n_reference: Column | int, n_current: C
     return s.drop("_share")
 
 
-def drift_report(ref: DataFrame, cur: DataFrame, cols: list[str] = MONITOR_FEATURES) -> DataFrame:
-    """D1-D3 in one row; sample counts come from the same plan (no driver round trip)."""
-    per = ks_statistics(ref, cur, cols)
-    s = drift_summary(per, 0, 0).drop("n_reference_samples", "n_current_samples")
-    n = ref.agg(F.count(F.lit(1)).alias("n_reference_samples")).crossJoin(
-        cur.agg(F.count(F.lit(1)).alias("n_current_samples")))
-    return s.crossJoin(n)
-
-
 def chi_square_tail(x: float, df: int) -> float:
     """P(X > x) of the chi-square law with ``df`` degrees of freedom (finite series)."""
     h = x / 2
