@@ -20,10 +20,15 @@ lost, and no group is expanded into its pairs.
    small for ``g >= 1`` index frequent tokens singly.  A signature carries the set's size and how many
    of its tokens come before, all unshared at the first signature that a pair shares (length and
    positional filters).
-5. Verification by whole sets.  Where a signature is held by several classes, each class is
-   first checked against one centre of the signature; verified links merge components;
-   signatures inside one component close.  When few pairs between components are left, all
-   of them are checked.  A group of near copies thus costs about one check a member.
+5. Families.  Near copies share many signatures.  Each signature names the holder of smallest hash as its pivot, and the
+   holders of a pivot's signatures form one family with the least place of each member: every pair of a
+   signature meets in its pivot's family, but once and not once a signature.
+6. Verification by whole sets.  In rounds, the members of each family first meet ``CENTRES`` of them; verified links merge
+   components, and families inside one component close.  When few pairs between components are left, or a round no longer
+   halves them, all of them are compared.  A pair is verified only if sizes, places and sketches allow it: a sketch
+   holds for each of ``64 * SKETCH`` residues whether an odd number of tokens has it, so sketches differ in no more bits than
+   the sets do in tokens.  A group of near copies thus costs a few checks a member, and pairs just below the
+   threshold cost a comparison of sketches.
 
 Set identity and tokens are 64- and 128-bit hashes (xxh3).  Broadcasts (ids of classes that
 have candidates, pairs of one round) are used up to ``BROADCAST_ROWS`` rows and become
@@ -54,8 +59,10 @@ from trialframe.llm.line_quality import window_hashes
 RARE = 16
 WORDS_KEPT = 150_000     # distinct words remembered by a task before it starts afresh
 BROADCAST_ROWS = 1_000_000
-ALL_PAIRS = 4           # remaining pairs are all checked once they are this many times the active classes,
+ALL_PAIRS = 4           # remaining pairs are all compared once they are this many times the active classes,
                         # or once a round of centres no longer halves them
+CENTRES = 4             # members of a family that the others meet in a round
+SKETCH = 16             # 64-bit words of a sketch
 
 
 class Bounds:
@@ -217,6 +224,30 @@ def can_link(percent: int, n: tuple, before: tuple):
     return 100 * most >= percent * (F.col(n[0]) + F.col(n[1]) - most)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """For each of ``64 * SKETCH`` residues whether an odd number of the set's tokens has it."""
+    odd = np.bincount((s % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def sketches_allow(percent: int, n: tuple, names: tuple):
+    """Two sets that meet the threshold differ in at most (1 - t) / (1 + t) of their sizes' sum."""
+    apart = F.bit_count(F.get(names[0], F.lit(0)).bitwiseXOR(F.get(names[1], F.lit(0))))
+    for i in range(1, SKETCH):
+        apart = apart + F.bit_count(F.get(names[0], F.lit(i)).bitwiseXOR(F.get(names[1], F.lit(i))))
+    return (100 + percent) * apart <= (100 - percent) * (F.col(n[0]) + F.col(n[1]))
+
+
+def families(index: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, rep, n, before, w, sketch) from the signatures (key, rep, n, before): one key for each pivot, ``w``
+    signatures that the member has in it."""
+    pivots = index.groupBy("key").agg(F.min_by("rep", F.xxhash64("rep")).alias("pivot"))
+    joined = (index.join(pivots, "key").groupBy(F.col("pivot").alias("key"), "rep", "n")
+              .agg(F.min("before").alias("before"), F.count("*").alias("w")))
+    drawn = sets.select(F.col("doc_id").alias("rep"), "n", "sketch")
+    return shared_table(joined.join(drawn, ["rep", "n"]).distinct(), "families")
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` of ``rows`` rows, to be broadcast if they are few enough."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
@@ -266,8 +297,8 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     # 3. whole sets of these classes, and the frequencies of their tokens
     sets, facts = counted_table(
-        shingles(id_text(docs).join(small(active, facts["n"]), "doc_id"), words, "n long, tokens array<long>",
-                 lambda s: (len(s), s.view(np.int64))), "sets")
+        shingles(id_text(docs).join(small(active, facts["n"]), "doc_id"), words, "n long, tokens array<long>, sketch array<long>",
+                 lambda s: (len(s), s.view(np.int64), sketch(s))), "sets")
     tokens = sets.select(F.col("doc_id").alias("rep"), "n", F.explode("tokens").alias("h"))
     often = tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     lists = tokens.join(often, "h").groupBy("rep", "n").agg(F.collect_list(F.struct("df", "h")).alias("tokens"))
@@ -282,7 +313,7 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     comp = None
     if facts["n"]:
         own = sets.join(small(paired, facts["n"]), "doc_id")
-        comp = link_rounds(index, paired, own, bounds, facts["n"])
+        comp = link_rounds(families(index, own), paired, own, bounds, facts["n"])
     out = member.join(reps, "key", "left")
     if comp is None:
         label = F.col("rep")
@@ -294,42 +325,35 @@ def join_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 
 def link_rounds(index: DataFrame, active: DataFrame, sets: DataFrame, bounds: Bounds, n_active: int) -> DataFrame:
-    """(doc_id, label) for all active classes."""
-    sizes = sets.groupBy("doc_id").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+    """(doc_id, label) for all active classes, from the families of ``index``."""
     comp = active.select("doc_id", F.col("doc_id").alias("label"))
+    other = ["rep", "n", "before", "sketch", "label"]
     tested, before, turn = None, None, 0
     while True:
         marked = index.join(comp.withColumnRenamed("doc_id", "rep"), "rep")
-        draw = F.xxhash64("rep", F.lit(turn))
-        open_keys = (marked.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("rep", draw).alias("rep"))
-                     .groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("labels"),
-                                         F.min_by(F.struct("rep", "label"), draw).alias("centre"))
+        open_keys = (marked.groupBy("key", "label").agg(F.count("*").alias("n"))
+                     .groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("labels"))
                      .where("labels > 1"))
         open_keys, facts = counted_table(open_keys, "open", pairs=F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2))
         left = facts["pairs"] or 0
         if not left:
             return comp
         last = left <= ALL_PAIRS * n_active or (before is not None and 2 * left > before)
-        if last:
-            one = marked.join(open_keys.select("key"), "key")
-            two = one.select("key", F.col("rep").alias("other"), F.col("label").alias("other_label"), F.col("n").alias("other_n"),
-                             F.col("before").alias("other_before"))
-            pairs = (one.join(two, "key").where((F.col("rep") < F.col("other")) & (F.col("label") != F.col("other_label"))
-                                                & can_link(bounds.percent, ("n", "other_n"), ("before", "other_before")))
-                     .select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct())
-            pairs = without(pairs, tested)
-        else:       # each class meets the centre that it shares most signatures with
-            pairs = (marked.join(open_keys.select("key", "centre"), "key").where(F.col("label") != F.col("centre.label"))
-                     .groupBy("rep", F.col("centre.rep").alias("to")).agg(F.count("*").alias("n"))
-                     .select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b"), "rep", "to", "n"))
-            pairs = (without(pairs, tested).groupBy("rep").agg(F.max_by(F.struct("a", "b"), F.struct("n", "to")).alias("p"))
-                     .select("p.a", "p.b").distinct())
-        # sizes that cannot meet the threshold need no sets
-        for side in ("a", "b"):
-            pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("n_lo").alias(f"{side}_lo"), F.col("n_hi").alias(f"{side}_hi")), side)
-        may = ((100 * F.col("a_hi") >= bounds.percent * F.col("b_lo")) & (100 * F.col("b_hi") >= bounds.percent * F.col("a_lo")))
-        pairs, facts = counted_table(pairs.select("a", "b", may.alias("may")), "pairs")
-        result = verified(pairs.where("may").select("a", "b"), facts["n"], sets, bounds.percent)
+        members = marked.join(open_keys.select("key"), "key")
+        partners = members
+        if not last:        # some members of each family, drawn anew in each round
+            draw = F.xxhash64("rep", F.lit(turn))
+            partners = (members.groupBy("key", F.pmod(draw, F.lit(CENTRES)).alias("seat")).agg(F.min_by(F.struct(*other), draw).alias("c"))
+                        .select("key", "c.*"))
+        partners = partners.select("key", *[F.col(c).alias(f"o_{c}") for c in other])
+        one = F.col("rep") < F.col("o_rep") if last else F.col("rep") != F.col("o_rep")
+        pairs = (members.join(partners, "key").where(
+            one & (F.col("label") != F.col("o_label")) & can_link(bounds.percent, ("n", "o_n"), ("before", "o_before"))
+            & (100 * F.least("n", "o_n") >= bounds.percent * F.greatest("n", "o_n"))
+            & sketches_allow(bounds.percent, ("n", "o_n"), ("sketch", "o_sketch")))
+            .select(F.least("rep", "o_rep").alias("a"), F.greatest("rep", "o_rep").alias("b")).distinct())
+        pairs, facts = counted_table(without(pairs, tested), "pairs")
+        result = verified(pairs, facts["n"], sets, bounds.percent)
         links, facts = counted_table(result.where("link").select("a", "b").distinct(), "links")
         if facts["n"]:
             ends = links
@@ -340,8 +364,7 @@ def link_rounds(index: DataFrame, active: DataFrame, sets: DataFrame, bounds: Bo
                                 .select("doc_id", F.coalesce("to", "label").alias("label")), "components")
         if last:
             return comp
-        done = pairs.select("a", "b")
-        tested = done if tested is None else tested.unionByName(done)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         before, turn = left, turn + 1
 
 
