@@ -213,7 +213,7 @@ def test_exact_law_equals_enumeration():
 
 def test_small_samples_take_the_exact_law(spark):
     ref, cur = pd.DataFrame({"x": np.arange(20.0)}), pd.DataFrame({"x": np.arange(8.0) + 9.5})
-    r = ks_statistics(spark.createDataFrame(ref), spark.createDataFrame(cur), ["x"], places=None).first()
+    r = ks_statistics(spark.createDataFrame(ref), spark.createDataFrame(cur), ["x"], places=None, exact=True).first()
     assert r.method == "ks_exact" and r.p_value == pytest.approx(exact_ks_tail(r.ks_statistic, 20, 8))
     many = spark.range(10_001).select(F.col("id").cast("double").alias("x"))
-    assert ks_statistics(many, spark.createDataFrame(cur), ["x"]).first().method == "ks_asymptotic"
+    assert ks_statistics(many, spark.createDataFrame(cur), ["x"], exact=True).first().method == "ks_asymptotic"

@@ -146,18 +146,20 @@ def _round(c: Column, places: int | None) -> Column:
 
 def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR_FEATURES,
                   buckets: int = BUCKETS, places: int | None = 4,
-                  side: Column | None = None) -> DataFrame:
-    """D1 + D2: (ord, column, ks_statistic, p_value, drifted, n_ref, n_cur, method).
+                  side: Column | None = None, exact: bool = False) -> DataFrame:
+    """D1 + D2: (ord, column, ks_statistic, p_value, drifted, n_ref, n_cur, method); ``exact`` takes the exact law
+    for columns of up to ``EXACT_MAX`` values a side, else the limiting law is used at every size.
 
     Columns absent on either side are skipped; a side with < 2 values gives
     null statistic and ``drifted = false``.  Statistic and p-value are
     rounded to 4; ``drifted`` uses the unrounded p.
     """
     cols = [c for c in cols if c in ref.columns and (cur is None or c in cur.columns)]
-    return ks_from_counts(value_counts_by_side(ref, cur, cols, side), cols, buckets, places)
+    return ks_from_counts(value_counts_by_side(ref, cur, cols, side), cols, buckets, places, exact)
 
 
-def ks_from_counts(counts: DataFrame, cols: list[str], buckets: int = BUCKETS, places: int | None = 4) -> DataFrame:
+def ks_from_counts(counts: DataFrame, cols: list[str], buckets: int = BUCKETS, places: int | None = 4,
+                   exact: bool = False) -> DataFrame:
     """D1 + D2 from (column, value, n_ref, n_cur); see :func:`ks_statistics`."""
     g = running_totals(counts, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
     tot = g.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
@@ -166,9 +168,11 @@ def ks_from_counts(counts: DataFrame, cols: list[str], buckets: int = BUCKETS, p
     d = g.groupBy("column", "tot_ref", "tot_cur").agg(F.max(diff).alias("d"))
     order = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
     ok = (F.col("tot_ref") > 1) & (F.col("tot_cur") > 1)
-    small = ok & (F.greatest("tot_ref", "tot_cur") <= EXACT_MAX)
-    d = d.withColumn("exact_p", exact_ks_pvalue(F.when(small, F.col("d")), "tot_ref", "tot_cur"))
-    p = F.when(small, F.col("exact_p")).otherwise(ks_pvalue(F.col("d"), F.col("tot_ref"), F.col("tot_cur")))
+    small, p = F.lit(False), ks_pvalue(F.col("d"), F.col("tot_ref"), F.col("tot_cur"))
+    if exact:
+        small = ok & (F.greatest("tot_ref", "tot_cur") <= EXACT_MAX)
+        d = d.withColumn("exact_p", exact_ks_pvalue(F.when(small, F.col("d")), "tot_ref", "tot_cur"))
+        p = F.when(small, F.col("exact_p")).otherwise(p)
     out = d.select(
         order[F.col("column")].alias("ord"), "column",
         F.when(ok, _round(F.col("d"), places)).alias("ks_statistic"),

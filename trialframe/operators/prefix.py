@@ -9,7 +9,8 @@ a row is a pure function of its value and the key's cuts.  Sums run inside each
 The table of range totals has at most ``buckets`` rows per key.
 
 Callers first aggregate to distinct order values, so a value that holds a
-third of all rows is one row here.  A null key is a key like any other; a null
+third of all rows is one row here.  These rows are read three times (cuts, range totals, windows), so they are
+written once to the shared folder instead of being computed three times.  A null key is a key like any other; a null
 order value has no place in the order and its row is dropped.
 """
 
@@ -18,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trialframe.session import materialised
+
 BUCKETS = 256            # ranges per key
 
 
@@ -43,7 +46,7 @@ def running_totals(df: DataFrame, order: str, sums: list[str], keys: list[str] |
     Ties in ``order`` must already be aggregated (one row per key/value).
     """
     keys = list(keys or [])
-    r = _with_range(df, order, keys, buckets)
+    r = _with_range(materialised(df, "running-totals"), order, keys, buckets)
     inside = Window.partitionBy("_key", "_b").orderBy(order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = r.groupBy("_key", "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], F.min(order).alias("_first"))

@@ -62,7 +62,7 @@ SELECT ord, "column", ROUND(d, 4) + 0e0 AS ks_statistic, ROUND(p, 4) + 0e0 AS p_
 FROM ks""", extra_ctes=_DRIFT_CTES))
 def ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 + D2: two-sample KS per monitored column, reference vs shifted production."""
-    k = ks_statistics(drift_table(spark, sf_dir), None, places=None, side=is_ref())
+    k = ks_statistics(drift_table(spark, sf_dir), None, places=None, side=is_ref(), exact=True)
     return k.withColumns({"ks_statistic": rnd("ks_statistic", 4), "p_value": rnd("p_value", 4)})
 
 
@@ -92,7 +92,7 @@ FROM (SELECT CAST(count(*) FILTER (WHERE COALESCE(p < {P_THRESHOLD}, false)) AS
 def drift_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 + D6 + D7: dataset verdict, alert (or) and retrain (and) decisions."""
     t = drift_table(spark, sf_dir)
-    per = ks_statistics(t, None, side=is_ref())
+    per = ks_statistics(t, None, side=is_ref(), exact=True)
     n = t.agg(F.count_if(is_ref()).cast("long").alias("n_reference_samples"),
               F.count_if(~is_ref()).cast("long").alias("n_current_samples"))
     s = drift_summary(per, 0, 0).drop("n_reference_samples", "n_current_samples").crossJoin(n)
