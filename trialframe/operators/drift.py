@@ -204,7 +204,7 @@ def drift_summary(per_column: DataFrame, n_reference: Column | int, n_current: C
         F.count(F.lit(1)).cast("long").alias("n_total_features"),
         F.coalesce(share, F.lit(0.0)).alias("_share"),
         F.transform(drifted, lambda x: x["column"]).alias("drifted_columns"),
-        F.array_join(F.array_sort(F.collect_set("method")), ",").alias("method"))
+        (F.array_join(F.array_sort(F.collect_set("method")), ",") if "method" in pc.columns else F.lit("ks_asymptotic")).alias("method"))
     s = s.withColumns({
         "dataset_drift_detected": F.col("n_drifted_features") > 0,
         "share_drifted_features": F.bround("_share", 4),
