@@ -150,6 +150,42 @@ def test_machine_learns_pairs():
     assert (np.abs(model["w"][:, 1:]).sum(axis=1) > 0).any()
 
 
+def test_machine_learns_exclusive_or_in_longer_texts():
+    r = np.random.default_rng(12)
+    filler = [f"{i}f{i}" for i in range(400)]
+    texts, y = [], []
+    for _ in range(4_000):
+        a, b = r.random(2) < 0.5
+        texts.append(" ".join([*r.choice(filler, 40), *["insult"] * int(a), *["group"] * int(b)]))
+        y.append(int(a != b))
+    terms = list(toxic_fm.Terms().of(texts))
+    model = toxic_fm.train(terms[:3_000], np.array(y[:3_000], dtype=np.float32))
+    assert auc(y[3_000:], [toxic_fm.logit(model, t) for t in terms[3_000:]]) > 0.9
+
+
+def test_vectors_count_on_given_labels():
+    """On the learning fold of sf0.1: vectors are not 0, and without them documents get other scores."""
+    import zlib
+    import pyarrow.parquet as pq
+    base = "/root/testdata/sf0.1"
+    toxic = {r["doc_id"]: r["toxic"] for r in pq.read_table(f"{base}/labels.parquet").to_pylist() if r["toxic"] is not None}
+    rows = [(r["doc_id"], r["text"]) for r in pq.read_table(f"{base}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+            if r["doc_id"] in toxic and r["text"] and len(r["text"].encode()) <= toxic_fm.SAMPLE_BYTES]
+    held = [zlib.crc32(str(i).encode()) % 5 == 0 for i, _ in rows]
+    terms = list(toxic_fm.Terms().of([t for _, t in rows]))
+    y = np.array([toxic[i] for i, _ in rows], dtype=np.float32)
+    learn = [k for k, h in enumerate(held) if not h]
+    model = toxic_fm.train([terms[k] for k in learn], y[learn])
+    assert (np.abs(model["w"][:, 1:]).sum(axis=1) > 0).sum() > 1_000
+    flat = model["w"].copy()
+    flat[:, 1:] = 0
+    out = [k for k, h in enumerate(held) if h]
+    with_vectors = np.array([toxic_fm.logit(model, terms[k]) for k in out])
+    without = np.array([toxic_fm.logit({"w0": model["w0"], "w": flat}, terms[k]) for k in out])
+    assert np.abs(with_vectors - without).mean() > 0.05
+    assert auc([int(y[k]) for k in out], with_vectors.tolist()) > 0.97
+
+
 def test_machine_learns_exclusive_or():
     r = np.random.default_rng(9)
     filler = [f"{i}f{i}" for i in range(60)]

@@ -123,3 +123,12 @@ def test_op8_digests(spark, sf_small):
     assert rows[-1].turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
     assert (rows[-1].loss_chars, rows[-1].n_turns) == (len(said), 2)
     assert rows[-1].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_lines_of_many_documents_go_whatever_their_share(spark):
+    from trialframe.llm import line_quality
+    table = spark.range(3_000).selectExpr("CASE WHEN id < 2990 THEN 'hot' ELSE 'small' END AS host", "id AS h",
+                                          "array(IF(id < 290, 7, -id - 1), IF(id % 600 = 0, 8, -id - 5000)) AS lines")
+    got = {(r.host, r.line, r.n_docs) for r in line_quality.frequent_lines(table, many=200).collect()}
+    assert got == {("hot", 7, 290)}                     # under a tenth of its host
+    assert line_quality.frequent_lines(table, many=400).count() == 0

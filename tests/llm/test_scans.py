@@ -193,6 +193,23 @@ def test_near_copies_of_items_are_leaks(sizes):
     assert not leaked([x for w in words for x in (w, "between", "them", "all")][: 4 * 30])
 
 
+def test_rare_words_may_be_edited():
+    """Items that share common words and differ in a rare one: the heaviest words of a copy may be the changed ones."""
+    r = random.Random(2)
+    common = [f"c{i}" for i in range(12)]
+    items = [" ".join([*r.sample(common, 7), *(f"rare{k}x{j}" for j in range(3))]) for k in range(200)]
+    items += ["the big house zebra", *(f"the big house {w}" for w in ("lamp", "tree", "road"))]
+    units = [u for t in items for u in decontam.units_of(t)]
+    df = {w: sum(w in u for u in units) for u in map(set, units) for w in u}
+    index = decontam.Index(list(enumerate(items)), df, len(units), sum(map(len, units)) / len(units))
+    missed = 0
+    for k in range(200):
+        words = [w if not w.startswith("rare") else "changed" for w in items[k].split()]
+        assert index.verify(k, words, decontam.grams(words, decontam.GRAM), set(words))[-1]
+        missed += k not in index.retrieve(words, decontam.THRESHOLD)
+    assert not missed and 200 in index.retrieve("the big house lion".split(), decontam.THRESHOLD)
+
+
 def test_edits_against_tables():
     r = random.Random(4)
     for _ in range(300):

@@ -4,8 +4,9 @@ The test items are the indexed documents, the training passages are the queries.
 An item's words are cut into units of at most ``UNIT`` words; a training text is cut into
 passages of ``PASSAGE`` words that overlap by half, so every run of ``UNIT`` words stands
 whole in some passage.  Impacts are BM25 weights divided by the unit's own total, so a score
-is the weighted share of a unit that a passage covers, and ``THRESHOLD`` means the same
-for every item.  For each passage, block-max WAND retrieves every unit whose score
+is the weighted share of a unit that a passage covers.  A unit is retrieved at ``THRESHOLD`` or, if that is less, at what
+remains of its weight when the edits that verification allows take its heaviest words: so retrieval
+loses no copy that the edits of one item make.  Impacts are scaled to make this the one threshold of the search.  For each passage, block-max WAND retrieves every unit whose score
 reaches the threshold: bounds on terms pick the pivot, bounds on blocks of units skip ahead, and
 only then are postings scored.  The sums of the block bounds are first taken for all passages of a
 text at once, and a passage of which no block can reach the threshold opens no postings.
@@ -40,6 +41,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from trialframe.llm.common import id_text, map_batches, slices
 
@@ -120,7 +122,7 @@ def near(item: list[str], words: list[str], held: set[str]) -> float:
 class Index:
     """Postings, term bounds and block bounds of one chunk of units."""
 
-    def __init__(self, items: list[tuple], df: dict[str, int], n_units: int, mean_words: float):
+    def __init__(self, items: list[tuple], df: dict[str, int], n_units: int, mean_words: float, threshold: float = THRESHOLD):
         self.ids = [i for i, _ in items]
         self.texts = [t for _, t in items]
         postings: dict[str, list[tuple[int, float]]] = {}
@@ -133,8 +135,10 @@ class Index:
                 norm = K1 * (1 - B + B * len(unit) / mean_words)
                 raw = {w: math.log(1 + (n_units - df[w] + 0.5) / (df[w] + 0.5)) * n * (K1 + 1) / (n + norm) for w, n in tf.items()}
                 total = sum(raw.values())
+                lost = sorted(raw.values(), reverse=True)[:int((1 - ITEM) * len(unit) + 1e-9)]       # the most that edits can take
+                need = min(threshold, 1 - sum(lost) / total)
                 for w, x in raw.items():
-                    postings.setdefault(w, []).append((len(self.owner), x / total))
+                    postings.setdefault(w, []).append((len(self.owner), x / total * (threshold / need)))
                 self.owner.append(at)
         self.term = {w: k for k, w in enumerate(sorted(postings))}
         self.units = [[u for u, _ in postings[w]] for w in self.term]
@@ -150,7 +154,7 @@ class Index:
         self.bounds = np.zeros((len(self.term), -(-len(self.owner) // self.block)), dtype=np.float32)
         for t, by in enumerate(self.block_bound):
             for b, x in by.items():
-                self.bounds[t, b] = np.nextafter(np.float32(x), np.float32(2))
+                self.bounds[t, b] = np.nextafter(np.float32(x), np.float32(np.inf))
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """Block-max WAND: every unit whose impacts over ``terms`` (distinct) sum to the threshold."""
@@ -259,17 +263,17 @@ class Index:
         return asked, told, item_share, leak
 
 
-def indexes(items: list[tuple], df: dict[str, int], n_units: int, mean_words: float) -> list[Index]:
+def indexes(items: list[tuple], df: dict[str, int], n_units: int, mean_words: float, threshold: float = THRESHOLD) -> list[Index]:
     """Indexes of at most ``INDEX_UNITS`` units, or of one item."""
     out, group, held = [], [], 0
     for item in items:
         n = len(units_of(item[1]))
         if group and held + n > INDEX_UNITS:
-            out.append(Index(group, df, n_units, mean_words))
+            out.append(Index(group, df, n_units, mean_words, threshold))
             group, held = [], 0
         group.append(item)
         held += n
-    return [*out, Index(group, df, n_units, mean_words)] if held else out
+    return [*out, Index(group, df, n_units, mean_words, threshold)] if held else out
 
 
 def item_terms(items: DataFrame) -> DataFrame:
@@ -284,7 +288,8 @@ def item_terms(items: DataFrame) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, item_id, bm25, question_overlap, answer_overlap, item_overlap, first_word) of every verified match."""
+    """(doc_id, item_id, bm25, question_overlap, answer_overlap, item_overlap, first_word) of every verified match; ``bm25`` is scaled
+    so that ``threshold`` is where the unit is retrieved."""
     spark = docs.sparkSession
     kinds = [docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()]
     texts = items.select("item_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -304,14 +309,15 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD)
         held = sorted(((r.item_id, r.text) for r in own.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         terms = item_terms(own).select(F.explode("terms").alias("term")).distinct()
         df = {r.term: r.df for r in counts.join(terms, "term").collect()}
-        leaks = map_batches(rows, _searcher(spark.sparkContext.broadcast((held, df, facts.n, facts.mean)), threshold, kinds), schema)
+        leaks = map_batches(rows, _searcher(spark.sparkContext.broadcast((held, df, facts.n, facts.mean)), threshold,
+                                                to_arrow_type(items.schema["item_id"].dataType)), schema)
         found = leaks if found is None else found.unionByName(leaks)
     return found
 
 
-def _searcher(shared, threshold: float, kinds: list[str]):
+def _searcher(shared, threshold: float, item_kind: pa.DataType):
     def make():
-        held = indexes(*shared.value)
+        held = indexes(*shared.value, threshold)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch):
@@ -329,17 +335,13 @@ def _searcher(shared, threshold: float, kinds: list[str]):
                 if out:
                     at, item, *rest = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(pa.array(at)), pa.array(item, _arrow(kinds[1])),
+                        [part.column("doc_id").take(pa.array(at)), pa.array(item, item_kind),
                          *(pa.array(x, pa.float64()) for x in rest[:4]), pa.array(rest[4], pa.int64())],
                         names=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "item_overlap", "first_word"])
         return step
     return make
 
 
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
-
-
 def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that hold an item (by ``doc_id``)."""
     leaks = find_leaks(docs, items, threshold).select("doc_id").distinct().withColumnRenamed("doc_id", "leak_id")

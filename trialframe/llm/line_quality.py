@@ -5,8 +5,8 @@
 * lines are normalised (A-Z lower-cased, white space collapsed) and hashed;
 * for each host the distinct documents that hold a line are counted.  Exact copies
   count once, so a text that was merely copied does not make its own lines frequent;
-* a line held by more than ``MIN_DOCS`` documents and more than ``SHARE`` of its host's
-  documents is above the limit and is removed;
+* a line held by more than ``MIN_DOCS`` documents is above the limit and is removed if these are more than ``SHARE`` of
+  its host's documents, or more than ``MANY`` whatever the host's size;
 * a document is depleted, and rejected, when it loses words and keeps fewer than
   ``MIN_WORDS`` of them or less than ``MIN_KEPT`` of what it had.
 
@@ -17,8 +17,8 @@ frequent lines leave the texts and rejected documents go.
 Counts are aggregated before every shuffle, so a hot host or line is a row a task.
 Only hashes travel; texts move once, in ``clean``.
 
-Defined cases: null text = empty text = no words (rejected); a null host is a
-host of its own; a null ``doc_id`` is kept; rows that share id and text get the
+Defined cases: null text = empty text = no words (rejected); a null host is the
+host ''; a null ``doc_id`` is kept; rows that share id and text get the
 same verdict; empty tables give empty results; extra columns are ignored by ``judge`` and
 kept by ``clean``.
 """
@@ -38,6 +38,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from trialframe.llm.common import map_batches, shared_table, slices, unused
 
 MIN_DOCS, SHARE = 10, 0.1
+MANY = 500              # documents of one host that make a line frequent whatever their share of the host
 MIN_WORDS, MIN_KEPT = 20, 0.5
 WINDOW, MAX_REPEAT = 8, 0.3
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\r\x0b\x0c"
@@ -127,12 +128,13 @@ def line_table(docs: DataFrame, host: str) -> DataFrame:
     return map_batches(rows, make, f"doc_id {kind}, host string, h long, {STATS}, lines array<long>, line_words array<int>")
 
 
-def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, many: int = MANY) -> DataFrame:
     """(host, line, n_docs) above the limits, from a ``line_table``."""
     held = lines.select("host", "h", F.explode(F.array_distinct("lines")).alias("line"))
     often = held.groupBy("host", "line").agg(F.count_distinct("h").alias("n_docs")).where(F.col("n_docs") > min_docs)
     hosts = lines.groupBy("host").agg(F.count_distinct("h").alias("host_docs"))
-    return often.join(hosts, "host").where(F.col("n_docs") > share * F.col("host_docs")).select("host", "line", "n_docs")
+    return often.join(hosts, "host").where(
+        (F.col("n_docs") > share * F.col("host_docs")) | (F.col("n_docs") > many)).select("host", "line", "n_docs")
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:

@@ -107,7 +107,7 @@ full_lines AS (SELECT doc_id, host, text, line, len(regexp_extract_all(line, '{_
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id),
 host_docs AS (SELECT host, count(DISTINCT text) AS n FROM docs GROUP BY host),
 often AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS n FROM full_lines GROUP BY host, norm) f
-  JOIN host_docs h USING (host) WHERE f.n > {line_quality.MIN_DOCS} AND f.n > {line_quality.SHARE} * h.n),
+  JOIN host_docs h USING (host) WHERE f.n > {line_quality.MIN_DOCS} AND (f.n > {line_quality.SHARE} * h.n OR f.n > {line_quality.MANY})),
 lost AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN often USING (host, norm) GROUP BY doc_id),
 facts AS (SELECT doc_id, len(w) AS n_words, len(regexp_replace(text, '{_SPACE}', '', 'g')) AS word_chars,
   len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,

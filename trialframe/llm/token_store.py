@@ -146,10 +146,12 @@ def has_border(text: str) -> bool:
 
 def train_dictionary(docs: DataFrame, tokenizer_json: str, end_id: int) -> bytes:
     """Dictionary content trained on the serialized ids of a bounded sample."""
-    rows = (id_text(docs).where(F.octet_length("text") <= SAMPLE_BYTES)
-            .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(SAMPLE_DOCS).select("text").collect())
+    texts = (id_text(docs).where(F.octet_length("text") <= SAMPLE_BYTES)
+             .select(F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text"))
+    chosen = texts.select("h", "t").distinct().orderBy("h", "t").limit(SAMPLE_DOCS)       # tasks send hashes, not texts
+    rows = texts.join(F.broadcast(chosen), ["h", "t"]).groupBy("h", "t").agg(F.first("text").alias("text")).collect()
     encoder = RunEncoder(tokenizer_json)
-    samples = [serialize(x, end_id, encoder.width) for x in encoder.encode([r.text for r in rows])]
+    samples = [serialize(x, end_id, encoder.width) for x in encoder.encode([r.text for r in sorted(rows)])]
     if not samples:
         return b""
     try:

@@ -10,8 +10,9 @@ where neither term does alone:
 ``fit`` learns it by AdaGrad with soft thresholds in numpy on at most ``SAMPLE_PER_CLASS`` labelled documents of each
 class of at most ``SAMPLE_BYTES`` bytes (bounds are parameters), chosen by a hash of the id.
 Terms seen in fewer than ``MIN_DOCS`` of them stay at 0; all others are learned, and only the soft
-thresholds make terms without effect 0.  The weights are learned alone for a round, then the
-vectors with them: so pairs explain what single terms leave, and do not learn by heart what these can tell.
+thresholds make terms without effect 0.  The weights are learned alone for ``ALONE`` rounds, then the
+vectors with them: so pairs explain what single terms leave, and do not learn by heart what these can tell.  A vector's
+steps shrink with its slopes (``FLOOR``).  The schedule was chosen on a quarter of the learning fold, not on held-out rows.
 The class shares of all labelled
 documents, counted in full, correct the sample's balance.  The model has ``BUCKETS`` rows
 whatever the corpus, and scoring needs no shuffle.
@@ -41,10 +42,11 @@ BUCKETS = 1 << BITS
 PREFIXES = (4, 5)
 SAMPLE_PER_CLASS, SAMPLE_BYTES = 4_000, 20_000
 MIN_DOCS = 3
-START = 0.05            # spread of the vectors at their start, over the root of the mean number of terms
-ALONE = 1               # rounds of the weights without the vectors
+START = 0.3             # spread of the vectors at their start, over the root of the mean number of terms
+ALONE = 4               # rounds of the weights without the vectors
+FLOOR = 1.0             # added to the root of a vector's squared slopes: slopes that are nearly 0 must not become full steps
 RATE_ALL = 1.0          # of w0, faster than terms of all documents would take its place
-EPOCHS, RATE, SPARSE, SPARSE_PAIRS, DOCS_A_STEP = 8, 0.1, 1e-3, 1e-3, 64
+EPOCHS, RATE, SPARSE, SPARSE_PAIRS, DOCS_A_STEP = 8, 0.1, 1e-3, 1e-4, 64
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+").findall
 
 
@@ -114,6 +116,7 @@ def train(docs: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int
     start = r.normal(size=(len(used), FACTORS)) * START / np.sqrt(max(1.0, np.mean([len(x) for x in sets])))
     w0 = np.float32(0)
     squared = np.zeros_like(w)
+    floor = np.array([1e-3, *[FLOOR] * FACTORS], dtype=np.float32)
     for epoch in range(2 * epochs):
         if epoch == ALONE:
             w[:, 1:] = start            # vectors of 0 do not move
@@ -133,7 +136,7 @@ def train(docs: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int
             rows, back = np.unique(ids, return_inverse=True)
             grad = np.stack([np.bincount(back, weights=g[:, k], minlength=len(rows)) for k in range(1 + FACTORS)], axis=1).astype(np.float32)
             squared[rows] += grad ** 2
-            step = RATE / (np.sqrt(squared[rows]) + 1e-3)
+            step = RATE / (np.sqrt(squared[rows]) + floor)
             moved = w[rows] - step * grad
             # soft thresholds (weights one by one, vectors by their length) keep terms without effect at 0
             moved[:, 0] = np.sign(moved[:, 0]) * np.maximum(np.abs(moved[:, 0]) - step[:, 0] * SPARSE, 0)
