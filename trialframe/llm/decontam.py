@@ -34,7 +34,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -156,26 +158,37 @@ class Index:
             for b, x in by.items():
                 self.bounds[t, b] = np.nextafter(np.float32(x), np.float32(np.inf))
 
-    def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Block-max WAND: every unit whose impacts over ``terms`` (distinct) sum to the threshold."""
-        end = len(self.owner)
-        units, impacts, bound, blocks = self.units, self.impacts, self.bound, self.block_bound
+    def search(self, terms: list[int], threshold: float, live: list[int]) -> list[tuple[int, float]]:
+        """Block-max WAND: every unit whose impacts over ``terms`` (distinct) sum to the threshold.  ``live`` are the
+        blocks, ascending, whose bounds reach it; all others are skipped without opening a posting."""
+        end, size = len(self.owner), self.block
+        units, impacts, bound = self.units, self.impacts, self.bound
+        first = [b * size for b in live]
         cursors = [[units[t][0], t, 0] for t in terms]              # unit, term, place in its postings
         found, slack = [], threshold - 1e-9
 
         def seek(cursor: list, unit: int) -> None:
-            held, at = units[cursor[1]], cursor[2]
-            while at < len(held) and held[at] < unit:
-                at += 1
+            """To the first posting at or after ``unit`` that lies in a live block."""
+            held = units[cursor[1]]
+            at = bisect_left(held, unit, cursor[2])
+            while at < len(held):
+                k = bisect_right(first, held[at]) - 1
+                if k >= 0 and held[at] < first[k] + size:
+                    break
+                if k + 1 == len(first):
+                    at = len(held)
+                    break
+                at = bisect_left(held, first[k + 1], at)
             cursor[2] = at
             cursor[0] = held[at] if at < len(held) else end
 
+        for c in cursors:
+            seek(c, 0)
+        cursors = [c for c in cursors if c[0] < end]
         while cursors:
             cursors.sort()
             total, pivot = 0.0, -1
             for k, c in enumerate(cursors):
-                if c[0] >= end:
-                    break
                 total += bound[c[1]]
                 if total >= slack:
                     pivot = k
@@ -183,35 +196,27 @@ class Index:
             if pivot < 0:
                 break
             unit = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == unit:
-                pivot += 1
-            block = unit // self.block
-            if sum(blocks[c[1]].get(block, 0.0) for c in cursors[: pivot + 1]) < slack:
-                beyond = (block + 1) * self.block                        # no unit up to here, or before the next cursor
-                if pivot + 1 < len(cursors):
-                    beyond = min(beyond, cursors[pivot + 1][0])
-                for c in cursors[: pivot + 1]:
-                    seek(c, max(beyond, unit + 1))
-            elif cursors[0][0] == unit:
-                score = 0.0
+            if cursors[0][0] == unit:
+                score, last = 0.0, 0
                 for c in cursors:
                     if c[0] != unit:
                         break
                     score += impacts[c[1]][c[2]]
+                    last += 1
                 if score >= slack:
                     found.append((unit, score))
-                for c in cursors[: pivot + 1]:
+                for c in cursors[:last]:
                     seek(c, unit + 1)
             else:
                 for c in cursors[:pivot]:
-                    seek(c, unit)
+                    if c[0] < unit:
+                        seek(c, unit)
             cursors = [c for c in cursors if c[0] < end]
         return found
 
     def retrieve(self, words: list[str], threshold: float) -> dict[int, tuple[float, int]]:
         """item -> (best score, first word of that passage) over all passages of a text."""
-        get, none = self.term.get, -1
-        ids = np.fromiter((get(w, none) for w in words), dtype=np.int32, count=len(words))
+        ids = np.fromiter(map(self.term.get, words, repeat(-1)), dtype=np.int32, count=len(words))
         at = np.flatnonzero(ids >= 0)
         best: dict[int, tuple[float, int]] = {}
         if not len(at):
@@ -231,7 +236,8 @@ class Index:
                 reach[where] += np.add.reduceat(self.bounds[held[once]], first, axis=0)
         for k in np.flatnonzero(reach.max(axis=1) >= threshold - 1e-4).tolist():
             low, high = np.searchsorted(at, (k * half, k * half + PASSAGE))
-            for unit, score in self.search(np.unique(held[low:high]).tolist(), threshold):
+            live = np.flatnonzero(reach[k] >= threshold - 1e-4).tolist()
+            for unit, score in self.search(np.unique(held[low:high]).tolist(), threshold, live):
                 item = self.owner[unit]
                 if item not in best or score > best[item][0]:
                     best[item] = (score, k * half)
