@@ -27,27 +27,37 @@ from trialframe.llm.common import fold_is, read_table
 from trialframe.session import scratch_path
 
 MIN_QUALITY = 0.3
+BATCH_BYTES = 4 << 20     # of texts handed to a Python worker at once, by size and not only by rows
 ORACLE_SQL = None       # a trained network and merge replay are not SQL; tests/llm holds the brute-force check
 
 
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return line_quality.clean(docs, line_quality.judge(docs, "source"), "source")
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = byte_cnn.fit(docs, read_table(spark, sf_dir, "labels"), "quality", ~fold_is("doc_id", 0))
     return byte_cnn.keep_scored(docs, model, MIN_QUALITY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return ngram_join.keep_one(docs, words=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontam.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     texts = docs.select("doc_id", "text", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("text_sha256"))
     encoded = bpe.encode_documents(texts, ranks, public_tokenizers.PATTERN, "text_sha256")
