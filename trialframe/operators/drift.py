@@ -286,6 +286,13 @@ def second_test(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR
     return chi.unionByName(w)
 
 
+def second_test_summary(per_column: DataFrame, max_share: float = MAX_DRIFT_SHARE) -> DataFrame:
+    """D4 for the dataset, from :func:`second_test`: columns tested and drifted, their share, and whether it exceeds the gate (one row)."""
+    n, share = F.count(F.lit(1)), F.try_divide(F.count_if("drifted").cast("double"), F.count(F.lit(1)))
+    return per_column.agg(n.cast("long").alias("n_columns"), F.count_if("drifted").cast("long").alias("n_drifted"),
+                          share.alias("share_drifted"), F.coalesce(share > max_share, F.lit(False)).alias("dataset_drift"))
+
+
 def windowed_ks(ref: DataFrame, cur: DataFrame, value: str, window: str,
                 buckets: int = BUCKETS, places: int | None = 4) -> DataFrame:
     """KS of one reference against every time slice ``window`` of ``cur``.

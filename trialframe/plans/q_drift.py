@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trialframe.functions.recipe import engineer_features
 from trialframe.operators.drift import (
     CATEGORICAL, EXACT_MAX, MAX_DRIFT_SHARE, MONITOR_FEATURES, P_THRESHOLD, WASSERSTEIN_THRESHOLD, chi_square_critical,
-    drift_summary, ks_pvalue_sql, ks_statistics, ranked, second_test, windowed_ks)
+    drift_summary, ks_pvalue_sql, ks_statistics, ranked, second_test, second_test_summary, windowed_ks)
 from trialframe.plans.catalog import r6, register, rnd
 from trialframe.plans.fixtures import shifted_production, shifted_production_sql
 from trialframe.plans.oracle import with_trials
@@ -105,7 +105,7 @@ _CRIT = "[" + ", ".join(f"{chi_square_critical(k)!r}e0" for k in range(1, 20)) +
 _LISTED = "(" + ", ".join(f"'{c}'" for c in CATEGORICAL) + ")"
 
 
-@register("second_drift_test", with_trials(f"""
+_SECOND_SQL = f"""
 SELECT "column", test, ROUND(statistic, 6) + 0e0 AS statistic, ROUND(threshold, 6) + 0e0 AS threshold, drifted
 FROM (
   SELECT g."column", 'chi_square' AS test,
@@ -124,10 +124,14 @@ FROM (
         FROM (SELECT *, lead(value) OVER (PARTITION BY "column" ORDER BY value) AS next_value FROM c) c2
         JOIN t USING ("column") JOIN k USING ("column")
         WHERE "column" NOT IN {_LISTED} GROUP BY "column", std_ref) w
-) x""", extra_ctes=_DRIFT_CTES + """,
+) x"""
+_SECOND_CTES = _DRIFT_CTES + """,
 k AS (SELECT "column", count(*) FILTER (WHERE n_ref > 0) AS k_ref,
         sqrt(greatest(sum(value * value * n_ref) / sum(n_ref) - (sum(value * n_ref) / sum(n_ref)) ^ 2, 0e0)) AS std_ref
-      FROM g GROUP BY 1)"""))
+      FROM g GROUP BY 1)"""
+
+
+@register("second_drift_test", with_trials(_SECOND_SQL, extra_ctes=_SECOND_CTES))
 def second_drift_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chi-square (declared categorical) or normed Wasserstein (others) per column."""
     s = second_test(drift_table(spark, sf_dir), None, side=is_ref())
@@ -135,6 +139,17 @@ def second_drift_test(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "drifted")
 
 
+@register("second_drift_summary", with_trials(f"""
+SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS n_drifted,
+       ROUND(count(*) FILTER (WHERE drifted) / count(*), 6) + 0e0 AS share_drifted,
+       count(*) FILTER (WHERE drifted) / count(*) > {MAX_DRIFT_SHARE} AS dataset_drift
+FROM ({_SECOND_SQL}) per""", extra_ctes=_SECOND_CTES))
+def second_drift_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 for the dataset: how many columns the second test calls drifted, and their share."""
+    return second_test_summary(second_test(drift_table(spark, sf_dir), None, side=is_ref())).withColumn(
+        "share_drifted", r6("share_drifted"))
+
+
 _WEEK_SPLIT = "2024-01-08"
 
 
