@@ -23,13 +23,13 @@ def brute_licenses(text, threshold=license_join.THRESHOLD):
         starts += at
         base |= {label} if at else set()
     labels, best = set(base), 0.0
-    for line in (text or "").split("\n"):
-        held = set(words_of(line))
-        for label, wording in license_join.TEMPLATES:
-            t = set(license_join.template_words(wording))
-            if len(t & held) >= math.ceil(threshold * len(t) - 1e-9):
+    for label, wording in license_join.TEMPLATES:
+        t, span = set(license_join.template_words(wording)), license_join.span_of(wording)
+        for i in range(len(words)):
+            held = t & set(words[i:i + span])
+            if len(held) >= math.ceil(threshold * len(t) - 1e-9):
                 labels.add(label)
-                best = max(best, len(t & held) / len(t))
+                best = max(best, len(held) / len(t))
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
             ",".join(sorted(labels)), 1.0 if starts else best)
 
@@ -59,6 +59,22 @@ def test_licenses_against_brute_force(spark):
     assert scanned(docs) == sorted(((i, *brute_licenses(t)) for i, t in enumerate(texts)), key=str)
 
 
+def test_wrapped_notices_and_scattered_words(spark):
+    import textwrap
+
+    texts, want = [], []
+    for label, wording in license_join.TEMPLATES:
+        for width in (24, 50, 72):
+            texts.append("# " + "\n# ".join(textwrap.wrap("Some code stands here. " + wording + ". Then more follows.", width)))
+            want.append(label)
+    texts += ["all " + "other words " * 3 + "rights " + "other words " * 3 + "reserved", "reserved rights all"]
+    want += ["", "reserved"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in license_join.scan_documents(docs).collect()}
+    assert all(w in got[i] for i, w in enumerate(want))
+    assert license_join.scan_blocks(docs).where("containment < 0.9").count() == 0
+
+
 def test_licenses_on_edges(spark, edge_docs, no_docs):
     assert scanned(edge_docs) == sorted(((r.doc_id, *brute_licenses(r.text)) for r in edge_docs.collect()), key=str)
     assert scanned(no_docs) == []

@@ -37,7 +37,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """Every line against every template, by lists."""
+    """Every window that starts at a template word, by lists."""
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
     phrases = []
@@ -46,17 +46,18 @@ def _license_sql() -> str:
         test = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
         phrases.append(f"SELECT doc_id, '{label}' AS label, i FROM (SELECT doc_id, w, unnest(range(len(w) - {len(words) - 1})) AS i "
                        f"FROM words WHERE len(w) >= {len(words)}) WHERE {test}")
-    templates = ", ".join(f"('{label}', [{', '.join(repr(w) for w in license_join.template_words(wording))}])"
+    templates = ", ".join(f"('{label}', {license_join.span_of(wording)}, [{', '.join(map(repr, license_join.template_words(wording)))}])"
                           for label, wording in license_join.TEMPLATES)
     return f"""
 WITH words AS (SELECT doc_id, regexp_extract_all({low}, {word}) AS w FROM documents),
 places AS ({' UNION ALL '.join(phrases)}),
 base AS (SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
   string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split({low}, chr(10))), {word})) AS b FROM documents),
-templates(label, t) AS (VALUES {templates}),
-hits AS (SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS containment FROM lines, templates
-  WHERE len(list_intersect(b, t)) >= ceil({license_join.THRESHOLD} * len(t) - 1e-9)),
+templates(label, span, t) AS (VALUES {templates}),
+starts AS (SELECT label, span, t, doc_id, w, unnest(list_filter(range(len(w)), lambda i: list_contains(t, w[i + 1]))) AS i
+  FROM words, templates),
+hits AS (SELECT doc_id, label, len(list_intersect(w[i + 1:i + span], t)) / len(t) AS containment FROM starts
+  WHERE len(list_intersect(w[i + 1:i + span], t)) >= ceil({license_join.THRESHOLD} * len(t) - 1e-9)),
 best AS (SELECT doc_id, max(containment) AS best FROM hits GROUP BY doc_id),
 found AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM (SELECT doc_id, label FROM hits UNION ALL SELECT doc_id, label FROM places) GROUP BY doc_id)
