@@ -2,10 +2,12 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from trialframe.llm import brown_lm, byte_cnn, queries, toxic_fm
@@ -49,6 +51,68 @@ def test_blocks_and_buckets_change_nothing(spark, sf_small, monkeypatch):
         assert r.score == pytest.approx(one[r.doc_id].score, rel=1e-9) and r.n_known == one[r.doc_id].n_known
 
 
+def brute_scores(docs, held, core_size):
+    """The class model by dictionaries; words with equal evidence for several classes go to the first."""
+    learn = [tokens_of(t) for i, t in docs if not held(i)]
+    counts = collections.Counter(w for t in learn for w in t)
+    signed = lambda w: int(np.uint64(xxhash.xxh3_64_intdigest(w)).view(np.int64))       # noqa: E731
+    core = sorted((w for w in counts if w is not None), key=lambda w: (-counts[w], signed(w)))[:core_size]
+    number = {**{w: k for k, w in enumerate(core)}, None: len(core)}
+    follow = np.zeros((len(core) + 1,) * 2)
+    for t in learn:
+        met = [None, *[w for w in t if w in number]]
+        for a, b in zip(met[:-1], met[1:], strict=True):
+            follow[number[a], number[b]] += 1
+    cls = brown_lm.exchange(follow)
+    pair = np.eye(brown_lm.ALL)[cls].T @ follow @ np.eye(brown_lm.ALL)[cls] + brown_lm.ADD
+    lift = np.log(pair / pair.sum(axis=1, keepdims=True)) - np.log(pair.sum(axis=0) / pair.sum())
+    seen = collections.defaultdict(lambda: np.zeros(brown_lm.ALL))
+    for t in learn:
+        ctx = brown_lm.END_CLASS
+        for w in t:
+            seen[w][ctx] += 1
+            ctx = cls[number[w]] if w in number else ctx
+    of = {w: int(cls[number[w]]) if w in number else int(np.argmax((seen[w] @ lift)[:brown_lm.CLASSES])) for w in counts}
+    of[None] = brown_lm.END_CLASS
+    moves, size, kinds = collections.Counter(), collections.Counter(), collections.Counter(of[w] for w in counts)
+    for t in learn:
+        for a, b in zip([None, *t[:-1]], t, strict=True):
+            moves[of[a], of[b]] += 1
+            size[of[b]] += 1
+    total, out = sum(counts.values()), {}
+    row = [sum(moves[a, b] for b in range(brown_lm.ALL)) for a in range(brown_lm.ALL)]
+    move = lambda a, b: (moves[a, b] + 0.5) / (row[a] + 0.5 * brown_lm.ALL)      # noqa: E731
+    mass = [size[k] + 0.5 * (kinds[k] + 1) for k in range(brown_lm.ALL)]
+    for i, t in docs:
+        ctx, score = brown_lm.END_CLASS, 0.0
+        for w in tokens_of(t):
+            base = (counts[w] + 0.5) / (total + 0.5 * (len(counts) + 1))
+            if counts[w]:
+                own = move(ctx, of[w]) * (counts[w] + 0.5) / mass[of[w]]
+            else:
+                own = sum(move(ctx, k) * 0.5 / mass[k] for k in range(brown_lm.ALL))
+            score += math.log10(0.9 * own + 0.1 * base)
+            ctx = of[w] if counts[w] else ctx
+        out[i] = score
+    return out
+
+
+def test_scores_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(brown_lm, "CORE", 20)
+    monkeypatch.setattr(brown_lm, "BLOCK_BYTES", 2_000)
+    r = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(80)]
+    docs = [(i, " ".join(r.choices(vocabulary, [1 / (k + 1) for k in range(80)], k=r.randint(0, 60)))) for i in range(120)]
+    docs += [(200, None), (201, ""), (202, "never seen w1 w2 unseen W1"), (203, "w3 " * 3000)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1 or i == 202            # noqa: E731
+    want = brute_scores(docs, held, 20)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = brown_lm.score_documents(frame, fold_is("doc_id", 1) | (F.col("doc_id") == 202)).collect()
+    assert len(rows) == len(docs)
+    for row in rows:
+        assert row.score == pytest.approx(want[row.doc_id], rel=1e-9), row.doc_id
+
+
 def test_lm_on_edges(spark, edge_docs, no_docs):
     docs = [(r.doc_id, r.text) for r in edge_docs.collect()]
     rows = brown_lm.score_documents(edge_docs, F.lit(False)).collect()
