@@ -167,7 +167,7 @@ def test_chunks_cover_everything():
         assert bytes(flat[:n].astype(np.uint8)) == data and (flat[n:] == byte_cnn.PAD).all()
 
 
-def test_network_gradient():
+def test_network_learns():
     texts = [b"good words stand here", b"BAD!! BAD!! $$$ junk"] * 3
     y = np.array([1, 0] * 3, dtype=np.float32)
     w = byte_cnn.train(texts, y, steps=60)
@@ -175,6 +175,34 @@ def test_network_gradient():
     assert z[0] > 1 > -1 > z[1]
 
 
+def test_network_gradient():
+    r = np.random.default_rng(4)
+    texts = [bytes(r.integers(32, 127, size=n).astype(np.uint8)) for n in (0, 40, byte_cnn.CHUNK + 30, 3 * byte_cnn.CHUNK)]
+    y = np.array([1, 0, 1, 0], dtype=np.float64)
+    w = {k: v.astype(np.float64) + 0.05 * r.normal(size=v.shape) for k, v in byte_cnn.new_weights(3).items()}
+    cut = [byte_cnn.chunks_of(t) for t in texts]
+    g = byte_cnn.slopes(w, np.concatenate(cut), np.array([len(c) for c in cut]), y)
+
+    def loss():
+        p = 1 / (1 + np.exp(-np.array([byte_cnn.logit(w, t) for t in texts])))
+        decay = 0.5 * byte_cnn.DECAY * ((w["out"] ** 2).sum() + (w["filters"] ** 2).sum())
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)) + decay
+
+    told = 0
+    for k in w:
+        steep = np.argsort(-np.abs(g[k].ravel()))[:5]           # the steepest, and some others
+        for i in {*steep.tolist(), *r.integers(0, w[k].size, size=5).tolist()}:
+            flat, kept = w[k].reshape(-1), w[k].flat[i]
+            flat[i] = kept + 1e-6
+            high = loss()
+            flat[i] = kept - 1e-6
+            low = loss()
+            flat[i] = kept
+            assert g[k].flat[i] == pytest.approx((high - low) / 2e-6, rel=2e-3, abs=2e-7), (k, i)
+            told += abs(g[k].flat[i]) > 1e-6
+    assert told > 15
+
+
 def test_network_sees_the_end_of_long_texts():
     good = b"plain words in a row and more of them " * 30
     texts = [good[: 200 + 50 * i] for i in range(10)] + [good[: 200 + 50 * i] + b" $$$ ### $$$ ### $$$" for i in range(10)]

@@ -80,6 +80,32 @@ def pooled(w: dict, chunks: np.ndarray) -> np.ndarray:
     return np.maximum(out.max(axis=1) + w["bias"], 0)
 
 
+def slopes(w: dict, chunks: np.ndarray, sizes: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Slope of the mean log loss (and of the decay) in each weight; ``sizes`` chunks belong to each document in turn."""
+    first = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    act, where, win = activations(w, chunks)
+    top = np.maximum.reduceat(act, first)
+    mean = np.add.reduceat(act, first) / sizes[:, None]
+    features = np.hstack([top, mean])
+    p = 1 / (1 + np.exp(-np.clip(features @ w["out"] + w["base"], -30, 30)))
+    error = ((p - labels) / len(sizes)).astype(np.float32)
+    g = {"out": features.T @ error + DECAY * w["out"], "base": error.sum(keepdims=True)}
+    to_features = error[:, None] * w["out"]
+    share = act == top[owner]
+    ties = np.add.reduceat(share.astype(np.float32), first)
+    d_act = (share * (to_features[:, :FILTERS] / ties)[owner] + (to_features[:, FILTERS:] / sizes[:, None])[owner]) * (act > 0)
+    g["bias"] = d_act.sum(axis=0)
+    picked = np.take_along_axis(win, where[:, :, None], axis=1)                 # (chunks, FILTERS, WIDTH * DIMENSIONS)
+    g["filters"] = np.einsum("cf,cfk->kf", d_act, picked) + DECAY * w["filters"]
+    to_win = d_act[:, :, None] * w["filters"].T                                 # the same shape
+    places = where[:, :, None] * STRIDE + np.arange(WIDTH)
+    ids = np.take_along_axis(chunks[:, None, :].repeat(FILTERS, axis=1), places, axis=2)
+    g["bytes"] = np.zeros_like(w["bytes"])
+    np.add.at(g["bytes"], ids.ravel(), to_win.reshape(-1, DIMENSIONS))
+    return g
+
+
 def train(texts: list[bytes], labels: np.ndarray, steps: int = STEPS, seed: int = 7) -> dict[str, np.ndarray]:
     """Adam on the log loss of whole documents; each step takes as many documents of either class."""
     w = new_weights(seed)
@@ -90,28 +116,7 @@ def train(texts: list[bytes], labels: np.ndarray, steps: int = STEPS, seed: int
     for step in range(1, steps + 1):
         docs = np.concatenate([draw.choice(c, DOCS_A_STEP // 2, replace=len(c) < DOCS_A_STEP // 2) for c in classes])
         sizes = np.array([len(cut[d]) for d in docs])
-        first = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        chunks = np.concatenate([cut[d] for d in docs])
-        act, where, win = activations(w, chunks)
-        top = np.maximum.reduceat(act, first)
-        mean = np.add.reduceat(act, first) / sizes[:, None]
-        features = np.hstack([top, mean])
-        p = 1 / (1 + np.exp(-np.clip(features @ w["out"] + w["base"], -30, 30)))
-        error = ((p - labels[docs]) / len(docs)).astype(np.float32)
-        g = {"out": features.T @ error + DECAY * w["out"], "base": error.sum(keepdims=True)}
-        to_features = error[:, None] * w["out"]
-        share = act == top[owner]
-        ties = np.add.reduceat(share.astype(np.float32), first)
-        d_act = (share * (to_features[:, :FILTERS] / ties)[owner] + (to_features[:, FILTERS:] / sizes[:, None])[owner]) * (act > 0)
-        g["bias"] = d_act.sum(axis=0)
-        picked = np.take_along_axis(win, where[:, :, None], axis=1)                 # (chunks, FILTERS, WIDTH * DIMENSIONS)
-        g["filters"] = np.einsum("cf,cfk->kf", d_act, picked) + DECAY * w["filters"]
-        to_win = d_act[:, :, None] * w["filters"].T                                 # the same shape
-        places = where[:, :, None] * STRIDE + np.arange(WIDTH)
-        ids = np.take_along_axis(chunks[:, None, :].repeat(FILTERS, axis=1), places, axis=2)
-        g["bytes"] = np.zeros_like(w["bytes"])
-        np.add.at(g["bytes"], ids.ravel(), to_win.reshape(-1, DIMENSIONS))
+        g = slopes(w, np.concatenate([cut[d] for d in docs]), sizes, labels[docs])
         rate = RATE * (1 - step / (steps + 1))
         for k in w:
             m[k] += 0.1 * (g[k] - m[k])
