@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trialframe.operators.contract import column_report
+from trialframe.operators import cooldown
 from trialframe.operators.cooldown import apply_cooldown, retrain_decisions
 from trialframe.operators.drift import (append_history, chi_square_critical, chi_square_tail, drift_history_entry, drift_summary,
                                         history_status, ks_statistics, ranked, second_test)
@@ -168,6 +169,27 @@ def test_cooldown_of_random_triggers(spark):
         assert got == greedy(times, 300)
 
 
+@pytest.mark.parametrize("fan", [2, 32])
+def test_cooldown_tree_of_many_levels(spark, monkeypatch, fan):
+    """Keys with triggers a millisecond apart, with gaps of many chunks, before the epoch, and one trigger only."""
+    monkeypatch.setattr(cooldown, "FAN", fan)
+    r = np.random.default_rng(fan)
+    second = 1_000_000
+    dense = np.concatenate([start * second + 1_000 * np.arange(4_000) for start in (0, 3, 11, 900, 903)])
+    keyed = {"dense": np.unique(dense), "sparse": np.cumsum(r.integers(1, 4_000, size=300)) * second - 200_000 * second,
+             "steady": np.arange(-500, 2_500) * second, "one": np.array([7])}
+    rows = [(k, int(t)) for k, times in keyed.items() for t in times]
+    out = cooldown.cover(spark.createDataFrame(rows, "k string, _us long"), 10, ["k"]).toPandas()
+    assert len(out) == len(rows)
+    for k, times in keyed.items():
+        accepted = greedy(times.tolist(), 10 * second)
+        got = out[out.k == k].sort_values("_us")
+        assert got[got._us == got._by]._us.tolist() == accepted
+        assert got._by.tolist() == [accepted[i] for i in np.searchsorted(accepted, got._us, side="right") - 1]
+    none = spark.createDataFrame([], "k string, _us long")
+    assert cooldown.cover(none, 10, ["k"]).collect() == []
+
+
 def test_drift_verdicts_pass_the_cooldown(spark):
     at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)      # noqa: E731
     v = spark.createDataFrame([(1, at(0), False), (2, at(1), True), (3, at(3), True), (4, at(6), True)],

@@ -28,6 +28,7 @@ from pyspark.sql.types import DoubleType
 
 from trialframe.operators.prefix import BUCKETS, running_totals
 from trialframe.operators.quantiles import stack_long
+from trialframe.session import materialised
 
 # Monitored columns, p-value threshold and drift share gate.
 MONITOR_FEATURES = [
@@ -161,9 +162,8 @@ def ks_statistics(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONIT
 def ks_from_counts(counts: DataFrame, cols: list[str], buckets: int = BUCKETS, places: int | None = 4,
                    exact: bool = False) -> DataFrame:
     """D1 + D2 from (column, value, n_ref, n_cur); see :func:`ks_statistics`."""
-    g = running_totals(counts, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets)
-    tot = g.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    g = g.join(F.broadcast(tot), "column")   # one row per monitored column
+    g = running_totals(counts, "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets, overall=True)
+    g = g.withColumnsRenamed({"all_n_ref": "tot_ref", "all_n_cur": "tot_cur"})
     diff = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
     d = g.groupBy("column", "tot_ref", "tot_cur").agg(F.max(diff).alias("d"))
     order = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
@@ -251,7 +251,7 @@ def second_test(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR
     """
     cols = [c for c in cols if c in ref.columns and (cur is None or c in cur.columns)]
     listed = F.col("column").isin([c for c in cols if c in categorical])
-    g = value_counts_by_side(ref, cur, cols, side)
+    g = materialised(value_counts_by_side(ref, cur, cols, side), "second-test")      # read by the sums and by both tests
     per_col = g.groupBy(F.col("column").alias("_c")).agg(
         F.count_if(F.col("n_ref") > 0).alias("k_ref"),
         F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"),
@@ -274,7 +274,8 @@ def second_test(ref: DataFrame, cur: DataFrame | None, cols: list[str] = MONITOR
         "column", F.lit("chi_square").alias("test"), "statistic", "threshold",
         ((F.col("_new") > 0) | F.coalesce(F.col("statistic") > F.col("threshold"), F.lit(False))).alias("drifted"))
     # Wasserstein part
-    wg = running_totals(g.where(~listed), "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets, next_value=True)
+    wg = running_totals(g.where(~listed), "value", ["n_ref", "n_cur"], keys=["column"], buckets=buckets, next_value=True,
+                        stored=True)
     wg = wg.join(per_col, F.col("column") == F.col("_c"))
     step = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur")) * (
         F.col("next_value") - F.col("value"))

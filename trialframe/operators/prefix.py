@@ -39,21 +39,24 @@ def _with_range(df: DataFrame, order: str, keys: list[str], buckets: int) -> Dat
 
 
 def running_totals(df: DataFrame, order: str, sums: list[str], keys: list[str] | None = None,
-                   buckets: int = BUCKETS, next_value: bool = False) -> DataFrame:
+                   buckets: int = BUCKETS, next_value: bool = False, overall: bool = False, stored: bool = False) -> DataFrame:
     """Add ``cum_<c>``: sum of ``c`` over rows of the same keys with order <= this row.
 
-    ``next_value`` adds ``next_<order>``, the next larger order value of the same keys.
+    ``next_value`` adds ``next_<order>``, the next larger order value of the same keys; ``overall`` adds
+    ``all_<c>``, the sum over all rows of the same keys, from the range totals.  ``stored`` says that ``df`` is
+    read from files, so it is not written again.
     Ties in ``order`` must already be aggregated (one row per key/value).
     """
     keys = list(keys or [])
-    r = _with_range(materialised(df, "running-totals"), order, keys, buckets)
+    r = _with_range(df if stored else materialised(df, "running-totals"), order, keys, buckets)
     inside = Window.partitionBy("_key", "_b").orderBy(order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     totals = r.groupBy("_key", "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], F.min(order).alias("_first"))
     along = Window.partitionBy("_key").orderBy("_b")             # one row a range
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_key", "_b", F.lead("_first").over(along).alias("_next_first"), *[
-        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums])
+        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums], *[
+        F.sum(f"_t_{c}").over(Window.partitionBy("_key")).alias(f"all_{c}") for c in sums if overall])
     r = r.withColumns({f"_in_{c}": F.sum(c).over(upto) for c in sums})
     if next_value:
         r = r.withColumn("_lead", F.lead(order).over(inside))

@@ -93,7 +93,7 @@ def drift_summary_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3 + D6 + D7: dataset verdict, alert (or) and retrain (and) decisions."""
     t = drift_table(spark, sf_dir)
     per = ks_statistics(t, None, side=is_ref(), exact=True)
-    n = t.agg(F.count_if(is_ref()).cast("long").alias("n_reference_samples"),
+    n = trials(spark, sf_dir).agg(F.count_if(is_ref()).cast("long").alias("n_reference_samples"),
               F.count_if(~is_ref()).cast("long").alias("n_current_samples"))
     s = drift_summary(per, 0, 0).drop("n_reference_samples", "n_current_samples").crossJoin(n)
     return s.select("n_drifted_features", "n_total_features", rnd("share_drifted_features", 4).alias(
