@@ -6,11 +6,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trialframe.llm import bpe, queries, token_store
+from trialframe.llm.common import map_batches
 
 RANKS, JSON = P.path("byte_bpe_multi_50k.tiktoken"), P.path("byte_bpe_50k.json")
 SIGNS = "aaabbcdeé ñ  \n\n\t1234!!..'s'll 世界😀 　\x1c\x1f\x85"
@@ -87,6 +90,25 @@ def test_runs_equal_whole_texts(json_library):
     assert [x.tolist() for x in encoder.encode(texts[:50])] == [json_library.encode(t, add_special_tokens=False).ids for t in texts[:50]]
 
 
+def test_numbers_stay_dense_however_much_was_seen():
+    numbering = bpe.Numbering(["b"])
+    for _ in range(3):
+        assert numbering.numbers_of(["a", "b", "a", "c"]).tolist() == [1, 0, 1, 2]
+    assert numbering.since(0) == ["b", "a", "c"] and numbering.numbers_of(["d"]).tolist() == [3]
+
+
+def test_workers_get_bounded_batches(spark):
+    docs = spark.range(0, 3_000, 1, 1).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def make():
+        def step(batch):
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+        return step
+
+    sizes = [r.n for r in map_batches(docs, make, "n long").collect()]
+    assert sum(sizes) > 30_000_000 and max(sizes) < 5 << 20
+
+
 def test_op7_against_library(spark, sf_small, json_library):
     docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect())
     got = {r.doc_id: r for r in queries.op7_token_store(spark, sf_small).collect()}

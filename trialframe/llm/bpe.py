@@ -20,6 +20,7 @@ empty table gives an empty result; length is bounded by memory for one text.
 from __future__ import annotations
 
 import base64
+import collections
 import heapq
 import itertools
 from collections.abc import Iterator
@@ -184,21 +185,14 @@ class Numbering:
     """Numbers words in order of first sight."""
 
     def __init__(self, words: list[str] = ()):
-        self.first: dict[str, int] = {w: i for i, w in enumerate(words)}     # word -> its first place in all that was seen
-        self.places, self.seen = itertools.count(len(self.first)), len(self.first)
+        # a word not yet seen gets the next number; memory goes with the distinct words, not with all that was seen
+        self.first: dict[str, int] = collections.defaultdict(itertools.count(len(words)).__next__, zip(words, itertools.count()))
 
     def __len__(self) -> int:
         return len(self.first)
 
-    def places_of(self, words: list[str]) -> np.ndarray:
-        self.seen += len(words)
-        return np.fromiter(map(self.first.setdefault, words, self.places), dtype=np.int64, count=len(words))
-
-    def numbers(self) -> np.ndarray:
-        """By first place: the word's number."""
-        out = np.zeros(self.seen, dtype=np.int32)
-        out[np.fromiter(self.first.values(), dtype=np.int64, count=len(self.first))] = np.arange(len(self.first))
-        return out
+    def numbers_of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.first.__getitem__, words), dtype=np.int32, count=len(words))
 
     def since(self, n: int) -> list[str]:
         return list(itertools.islice(self.first, n, None))
@@ -237,11 +231,10 @@ class CorpusEncoder:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.words) > VOCABULARY_KEPT:
             self.reset()
-        seen = [self.words.places_of(self.split(text)) for text in texts]
+        seen = [self.words.numbers_of(self.split(text)) for text in texts]
         self.learn()
-        numbers = self.words.numbers()
-        for places in seen:
-            yield gather(self.flat, self.starts, self.counts, numbers[places])
+        for numbers in seen:
+            yield gather(self.flat, self.starts, self.counts, numbers)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *more: str) -> DataFrame:

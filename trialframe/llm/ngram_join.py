@@ -113,14 +113,13 @@ class Shingler:
         """Sorted distinct 64-bit shingle hashes of each text."""
         if len(self.seen) > WORDS_KEPT:
             self.reset()
-        places = [self.seen.places_of(text.encode().lower().split()) for text in texts]
+        numbers = [self.seen.numbers_of(text.encode().lower().split()) for text in texts]
         fresh = self.seen.since(len(self.hashes))
         self.hashes = np.concatenate([self.hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in fresh], dtype=np.uint64)])
-        numbers = self.seen.numbers()
-        h = self.hashes[numbers[np.concatenate(places)]] if places else self.hashes[:0]
+        h = self.hashes[np.concatenate(numbers)] if numbers else self.hashes[:0]
         runs = window_hashes(h, self.words) if len(h) >= self.words else h[:0]
         start = 0
-        for p in places:
+        for p in numbers:
             n = len(p)
             if n >= self.words:
                 yield np.unique(runs[start: start + n - self.words + 1])

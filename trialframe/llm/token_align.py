@@ -141,11 +141,10 @@ class WordAligner:
         """Facts (n_a, n_b, n_groups, n_links, digest) of each text, and pair and document of every link."""
         if len(self.words) > WORDS_KEPT:
             self.keep(np.flatnonzero(self.times >= OFTEN)[-WORDS_KEPT // 2:].tolist())
-        seen = [self.words.places_of(self.split(" " + text)) for text in texts]
+        seen = [self.words.numbers_of(self.split(" " + text)) for text in texts]
         self.learn()
-        table, facts, flat, owner = self.words.numbers(), [], [], []
-        for i, places in enumerate(seen):
-            words = table[places]
+        facts, flat, owner = [], [], []
+        for i, words in enumerate(seen):
             np.add.at(self.times, words, 1)
             if not texts[i] or not self.good[words].all():
                 facts.append((0, 0, 0, 0, ""))

@@ -122,10 +122,8 @@ class RunEncoder:
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.runs) > RUNS_KEPT:
             self.thin()
-        seen = [self.runs.places_of(self.split(text)) for text in texts]
+        numbers = [self.runs.numbers_of(self.split(text)) for text in texts]
         self.learn()
-        table = self.runs.numbers()
-        numbers = [table[places] for places in seen]
         self.times = np.append(self.times, np.zeros(len(self.runs) - len(self.times), dtype=np.int64))
         if numbers:
             self.times += np.bincount(np.concatenate(numbers), minlength=len(self.times))
