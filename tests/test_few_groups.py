@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from trialframe.functions.recipe import engineer_features
 from trialframe.operators.prefix import running_totals
+from trialframe.operators.split import stratified_split
 from trialframe.sources.tables import trials
 
 
@@ -23,6 +24,22 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_side_maxima_are_not_joined_by_side(spark, no_broadcast):
+    t = trials(spark, SF_SMALL).select("side", "row_key", "mol_weight", "logp", "tpsa", "hbd", "hba", "rotatable_bonds", "patient_age",
+                                       "patient_weight_kg", "creatinine_clearance", "baseline_crp", "baseline_il6", "baseline_tnfa",
+                                       "dose_mg", "treatment_days").localCheckpoint()
+    out = engineer_features(t, scale="batch", by="side")
+    assert "SortMergeJoin" not in plan_of(out) and out.count() == t.count()
+
+
+def test_split_cutoffs_are_not_joined_by_label(spark, no_broadcast):
+    rows = spark.range(1_000).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 2).alias("label")).localCheckpoint()
+    out = stratified_split(rows, "id", "label", 0.2, 42)
+    assert "SortMergeJoin" not in plan_of(out)
+    assert {(r.label, r.n, r.t) for r in out.groupBy("label").agg(F.count("*").alias("n"), F.count_if("is_test").alias("t")).collect()} == {
+        (None, 100, 20), (0, 400, 80), (1, 500, 100)}
+
+
 def test_range_cuts_are_not_joined_by_key(spark, no_broadcast):
     rows = spark.range(4_000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("v"), F.lit(1).cast("long").alias("c"))
     out = running_totals(rows, "v", ["c"], keys=["k"])

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialframe.functions.columns import bucket_case, clip, rule_flag
+from trialframe.session import small_table
 
 # Inflammation divisors of the serving form and the weights.
 FIXED_SCALE = {"baseline_crp": 80.0, "baseline_il6": 200.0, "baseline_tnfa": 300.0}
@@ -94,8 +95,8 @@ def engineer_features(df: DataFrame, scale: str | dict[str, float] | DataFrame =
     ``"fixed"`` (serving constants), a dict of divisors, or a one-row
     DataFrame from :func:`fit_scale` (a saved fitted scale).  With ``by``,
     batch maxima are taken per group (e.g. per side, as each side is its
-    own batch); the group table is joined on the key and Spark broadcasts it
-    only when its measured size is under the broadcast threshold.
+    own batch); the group table is written, counted and broadcast if small, as
+    a few groups joined by key would go to as few tasks.
     """
     c = F.col
     scale_df = None
@@ -110,7 +111,7 @@ def engineer_features(df: DataFrame, scale: str | dict[str, float] | DataFrame =
         scale = {k: rows[0][f"scale_{k}"] for k in FIXED_SCALE}
     if scale_df is not None:
         if by is not None and by in scale_df.columns:
-            df = df.join(scale_df, by)
+            df = df.join(small_table(scale_df, "scale"), by)
         else:
             # one-row aggregate: a broadcast of a provably single row
             df = df.crossJoin(F.broadcast(scale_df))
