@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from trialframe.functions.recipe import engineer_features
 from trialframe.operators.prefix import running_totals
+from trialframe.operators.quality import Check, run_suite
 from trialframe.operators.split import stratified_split
-from trialframe.sources.tables import trials
+from trialframe.sources.tables import read_table, trials
 
 
 @pytest.fixture()
@@ -45,3 +46,16 @@ def test_range_cuts_are_not_joined_by_key(spark, no_broadcast):
     out = running_totals(rows, "v", ["c"], keys=["k"])
     assert "BroadcastHashJoin" in plan_of(out)
     assert out.where(F.col("cum_c") != F.floor(F.col("v") / 2) + 1).count() == 0 and out.count() == 4_000
+
+
+def test_suite_reads_the_table_twice(spark):
+    plan = plan_of(run_suite(read_table(spark, SF_SMALL, "lineitem").select(F.col("l_orderkey").alias("sample_id"), F.col("l_tax").alias("dose_mg")),
+                             [Check("ids", "unique", "sample_id"), Check("doses", "isin", "dose_mg", {"values": [0.0]}), Check("rows", "min_rows", None, {"n": 1})]))
+    assert plan.count("FileScan parquet") == 2
+
+
+def test_lines_are_shuffled_twice_for_the_trial_view(spark, no_broadcast):
+    lines = plan_of(trials(spark, SF_SMALL)).splitlines()
+    depth = {c: next(line.index("SortMergeJoin") for line in lines if f"SortMergeJoin [{c}#" in line) for c in ("o_custkey", "l_orderkey")}
+    assert depth["o_custkey"] > depth["l_orderkey"]
+    assert "l_linenumber" not in next("".join(lines[i:]) for i, line in enumerate(lines) if "SortMergeJoin [o_custkey#" in line)

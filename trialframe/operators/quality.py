@@ -143,28 +143,28 @@ def _observed_and_details(df: DataFrame, chk: Check):
     raise ValueError(f"unknown check kind {chk.kind}")
 
 
-def _grouped_side_checks(df: DataFrame, checks: list[Check]) -> dict[int, DataFrame]:
+def _grouped_side_checks(df: DataFrame, checks: list[Check]) -> DataFrame | None:
     """Duplicate counts and value lists of all checks from ONE grouping-sets pass.
 
     ``groupingSets`` expands each row once per grouped column and shuffles the
-    partial counts once; every consumer reads the same exchange.  Returns a
-    one-row DataFrame per check index.
+    partial counts once; one aggregate over them gives every check its part, as a filter for each
+    check would be pushed below the exchange and read the table once more.  Returns one row with
+    ``dup_<i>`` or ``det_<i>`` for check ``i``.
     """
     cols = sorted({c.column for c in checks if c.kind in ("unique", "isin")})
     if not cols:
-        return {}
+        return None
     g = df.groupingSets([[c] for c in cols], *cols).agg(
         F.count(F.lit(1)).cast("long").alias("_n"), F.grouping_id().alias("_gid"))
     gid = {c: (1 << len(cols)) - 1 - (1 << (len(cols) - 1 - i)) for i, c in enumerate(cols)}
-    out = {}
+    out = []
     for i, chk in enumerate(checks):
         if chk.kind == "unique":
-            part = g.filter(F.col("_gid") == gid[chk.column])
-            out[i] = part.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias(f"dup_{i}"))
+            more = F.sum(F.when(F.col("_gid") == gid[chk.column], F.col("_n") - 1))
+            out.append(F.coalesce(more, F.lit(0)).cast("long").alias(f"dup_{i}"))
         elif chk.kind == "isin":
-            part = g.filter(F.col("_gid") == gid[chk.column])
-            out[i] = part.agg(F.format_string("distinct_values=%d", F.count(F.lit(1))).alias(f"det_{i}"))
-    return out
+            out.append(F.format_string("distinct_values=%d", F.count_if(F.col("_gid") == gid[chk.column])).alias(f"det_{i}"))
+    return g.agg(*out)
 
 
 def run_suite(df: DataFrame, checks: list[Check] = TRIAL_CHECKS) -> DataFrame:
@@ -187,8 +187,8 @@ def run_suite(df: DataFrame, checks: list[Check] = TRIAL_CHECKS) -> DataFrame:
             exprs.append(det.alias(f"det_{i}"))
         rows.append((i, chk.name, F.col(f"obs_{i}"), F.col(f"ok_{i}"), F.col(f"det_{i}")))
     one = df.agg(*exprs)
-    for e in side.values():   # each is a provably one-row aggregate
-        one = one.crossJoin(F.broadcast(e))
+    if side is not None:      # a provably one-row aggregate
+        one = one.crossJoin(F.broadcast(side))
     table = F.array(*[
         F.struct(F.lit(i).alias("ord"), F.lit(name).alias("check"),
                  F.when(F.coalesce(ok, F.lit(False)), F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
