@@ -8,6 +8,7 @@ from trialframe.functions.recipe import engineer_features
 from trialframe.operators.prefix import running_totals
 from trialframe.operators.quality import Check, run_suite
 from trialframe.operators.split import stratified_split
+from trialframe.plans.q_ml import training_sets
 from trialframe.sources.tables import read_table, trials
 
 
@@ -59,3 +60,13 @@ def test_lines_are_shuffled_twice_for_the_trial_view(spark, no_broadcast):
     depth = {c: next(line.index("SortMergeJoin") for line in lines if f"SortMergeJoin [{c}#" in line) for c in ("o_custkey", "l_orderkey")}
     assert depth["o_custkey"] > depth["l_orderkey"]
     assert "l_linenumber" not in next("".join(lines[i:]) for i, line in enumerate(lines) if "SortMergeJoin [o_custkey#" in line)
+
+
+def test_training_sets_are_read_from_files_and_split_by_a_broadcast(spark, no_broadcast):
+    sets = training_sets(spark, SF_SMALL)
+    assert training_sets(spark, SF_SMALL) is sets
+    for part in sets[:4]:
+        plan = plan_of(part)
+        assert "lineitem" not in plan and "SortMergeJoin" not in plan
+    t = trials(spark, SF_SMALL)
+    assert sets[0].count() + sets[1].count() == t.where("side = 'reference'").count() and sets[3].count() == t.where("side = 'production'").count()
