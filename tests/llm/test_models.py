@@ -1,6 +1,8 @@
 """Language model, quality network and factorization machine."""
 
 import collections
+import contextlib
+import io
 import math
 import random
 import zlib
@@ -51,6 +53,25 @@ def test_blocks_and_buckets_change_nothing(spark, sf_small, monkeypatch):
         assert r.score == pytest.approx(one[r.doc_id].score, rel=1e-9) and r.n_known == one[r.doc_id].n_known
 
 
+def test_lm_shuffles_no_texts(spark, sf_small, monkeypatch):
+    plans, write = {}, brown_lm.shared_table
+
+    def seen(df, name, **options):
+        with contextlib.redirect_stdout(io.StringIO()) as out:
+            df.explain()
+        plans[name] = out.getvalue()
+        return write(df, name, **options)
+    monkeypatch.setattr(brown_lm, "shared_table", seen)
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").limit(20)
+    brown_lm.score_documents(docs.localCheckpoint(), fold_is("doc_id", 1))
+    assert plans and all("Exchange" not in plan or "text#" not in plan for plan in plans.values())
+
+
+def test_packed_numbers():
+    for numbers in (np.zeros(0, dtype=np.int64), np.array([0, 255, 256, 70_000, 2**32 - 1])):
+        assert brown_lm.unpacked(brown_lm.packed(numbers)).tolist() == numbers.tolist()
+
+
 def brute_scores(docs, held, core_size):
     """The class model by dictionaries; words with equal evidence for several classes go to the first."""
     learn = [tokens_of(t) for i, t in docs if not held(i)]
