@@ -148,3 +148,19 @@ def test_a_wrong_dictionary_is_noticed(spark, edge_docs, tmpdir_path):
     other.write.mode("overwrite").parquet(f"{path}/dictionary")
     with pytest.raises(ValueError, match="hash"):
         token_store.read_tokens(spark, path)
+
+
+def test_led_runs_are_encoded_side_by_side(monkeypatch):
+    encoder, library = token_store.RunEncoder(JSON), Tokenizer.from_file(JSON)
+    library.encode_special_tokens = True
+    texts = ["one two  three", " one\ttwo!", "\u3000wide  naïve 😀 \x85", "", "a</s> b", "\n\nlast\n", " x" * 30_000]
+    kinds, joined = [], encoder.joined
+    monkeypatch.setattr(encoder, "joined", lambda runs: kinds.append(len(runs)) or joined(runs))
+    got = [x.tolist() for x in encoder.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = [x.tolist() for x in encoder.encode(texts[:3] + [" more words \u2028here"])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in [*texts[:3], " more words \u2028here"]]
+    assert sum(kinds) >= 3
+    encoder.lengths = encoder.lengths + 1      # bytes that do not fit: the runs are fenced instead
+    assert encoder.joined([" two", " six"]) is None
+    assert [x.tolist() for x in encoder.encode([" seven eight"])] == [library.encode(" seven eight", add_special_tokens=False).ids]

@@ -51,6 +51,7 @@ RUNS_KEPT, OFTEN = 300_000, 3     # distinct runs remembered before the rare one
 # Letters of Latin blocks, and Unicode's White_Space characters.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"       # some that are letters in every version
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+SPACES = frozenset(re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001)))))
 
 
 class RunEncoder:
@@ -67,6 +68,9 @@ class RunEncoder:
         # a special token between runs keeps them apart in one call
         self.fence = next(((i, t.content) for i, t in added.items()
                            if t.special and not (t.lstrip or t.rstrip or t.single_word) and not has_border(t.content)), None)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.lengths = np.zeros(max(vocabulary.values(), default=-1) + 1, dtype=np.int64)      # a character of an entry is a byte
+        self.lengths[list(vocabulary.values())] = [len(entry) for entry in vocabulary]
         self.reset()
 
     @property
@@ -104,20 +108,46 @@ class RunEncoder:
             raise ValueError("the special token does not keep runs apart")
         return ids[ids != number], np.diff(np.append(-1, ends)) - 1
 
+    def joined(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of all runs, and how many each has, for runs that begin with white space and end without it: they stay
+        apart by themselves and are cut where the tokens' bytes fill a run's.  None where no token ends there."""
+        self.tokenizer.encode_special_tokens = True
+        texts = ["".join(runs[i:i + 200]) for i in range(0, len(runs), 200)]
+        ids = np.concatenate([np.array(e.ids, dtype=np.uint32)
+                              for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        if not len(ids) or ids.max() >= len(self.lengths):
+            return None
+        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(run.encode()) for run in runs])
+        if ends[-1] != wanted[-1]:
+            return None
+        at = np.searchsorted(ends, wanted)
+        return (ids, np.diff(np.append(-1, at))) if (ends[at] == wanted).all() else None
+
+    def ids_of(self, runs: list[str], led: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all runs, and how many each has; ``led`` runs begin with white space and end without it."""
+        text = "".join(runs)
+        special = any(t in text for t in self.added)
+        got = self.joined(runs) if led and not special else None
+        if got is None and (self.fence is None or special):
+            ids = self.apart(runs)
+            return np.concatenate(ids), np.array([len(x) for x in ids], dtype=np.int64)
+        return got or self.fenced(runs)
+
     def learn(self) -> None:
-        fresh = self.runs.since(len(self.counts))
-        flats, counts = [self.flat], [self.counts]
+        fresh, known = self.runs.since(len(self.counts)), len(self.counts)
+        flats, base = [self.flat], len(self.flat)
+        starts, counts = (np.append(x, np.zeros(len(fresh), dtype=np.int64)) for x in (self.starts, self.counts))
         for i in range(0, len(fresh), 20_000):
             part = fresh[i:i + 20_000]
-            if self.fence is None or any(t in "".join(part) for t in self.added):
-                ids = self.apart(part)
-                flats.append(np.concatenate(ids))
-                counts.append(np.array([len(x) for x in ids], dtype=np.int64))
-            else:
-                for to, got in zip((flats, counts), self.fenced(part), strict=True):
-                    to.append(got)
-        self.flat, self.counts = np.concatenate(flats), np.concatenate(counts)
-        self.starts = np.cumsum(self.counts) - self.counts
+            is_led = np.array([run[0] in SPACES and run[-1] not in SPACES for run in part])
+            for led in (True, False):
+                at = np.flatnonzero(is_led == led)
+                if len(at):
+                    ids, n = self.ids_of([part[k] for k in at.tolist()], led)
+                    counts[known + i + at], starts[known + i + at] = n, base + np.cumsum(n) - n
+                    flats.append(ids)
+                    base += len(ids)
+        self.flat, self.starts, self.counts = np.concatenate(flats), starts, counts
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.runs) > RUNS_KEPT:
