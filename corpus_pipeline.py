@@ -8,7 +8,7 @@ and read again as the next one's ``docs``.  All but the last keep the columns of
   network learns from the labelled rows of the stage's own input whose crc32 fold is not 0.
 * near_duplicates: of documents linked by 5-word shingles at 0.8, the one of the smallest id stays.
 * decontamination: documents that hold a benchmark item go.
-* encoding: ids of each text, decoded again and compared; a mismatch stops the job.
+* encoding: ids of each text, written, then decoded again and compared; a mismatch stops the job.
 
 Null texts count as empty (the rules reject them), tables may be empty, extra columns pass
 through, and a column named like one that a stage adds is kept as it is.
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialframe.llm import bpe, byte_cnn, decontam, line_quality, ngram_join
-from trialframe.llm.common import fold_is, read_table
+from trialframe.llm.common import fold_is, read_table, shared_table
 from trialframe.session import scratch_path
 
 MIN_QUALITY = 0.3
@@ -60,7 +60,8 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     texts = docs.select("doc_id", "text", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("text_sha256"))
-    encoded = bpe.encode_documents(texts, ranks, public_tokenizers.PATTERN, "text_sha256")
+    # written in between: a core runs one Python worker at a time, not encoder and decoder side by side
+    encoded = shared_table(bpe.encode_documents(texts, ranks, public_tokenizers.PATTERN, "text_sha256"), "ids")
     decoded = bpe.decode_documents(encoded, ranks, "text_sha256", "n_tokens", "ids")
     same = F.sha2("decoded", 256) == F.col("text_sha256")
     return decoded.select("doc_id", "n_tokens", F.when(same, F.col("ids")).otherwise(

@@ -85,6 +85,11 @@ def test_encoding(stages):
         assert bytes(r.ids) == want and r.n_tokens == len(want) // 4 and r.ids_sha256 == hashlib.sha256(want).hexdigest()
 
 
+def test_encoder_and_decoder_do_not_run_side_by_side(stages, spark):
+    plan = corpus_pipeline.encoding(spark, stages["encoding"][0], "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_run_gives_the_last_stage(stages, spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, stages["encoding"][1].collect()))

@@ -164,3 +164,30 @@ def test_led_runs_are_encoded_side_by_side(monkeypatch):
     encoder.lengths = encoder.lengths + 1      # bytes that do not fit: the runs are fenced instead
     assert encoder.joined([" two", " six"]) is None
     assert [x.tolist() for x in encoder.encode([" seven eight"])] == [library.encode(" seven eight", add_special_tokens=False).ids]
+
+
+def test_a_worker_keeps_no_freed_memory(spark):
+    """Small blocks freed under a living one: malloc holds them until they are given back."""
+    def make():
+        import os
+        import sys
+
+        def anonymous():
+            with open("/proc/self/smaps_rollup") as f:
+                return sum(int(line.split()[1]) for line in f if line.startswith("Pss_Anon"))
+
+        before = anonymous()
+
+        def step(batch):
+            blocks = [os.urandom(2000) for _ in range(100_000)]
+            sys.pinned = [*getattr(sys, "pinned", ()), os.urandom(2000)]        # above the blocks
+            yield pa.RecordBatch.from_arrays([pa.array([len(blocks)]), pa.array([before]), pa.array([os.getpid()])], names=["n", "kb", "pid"])
+        return step
+
+    rows = spark.range(1).coalesce(1)
+    kept = [map_batches(rows, make, "n long, kb long, pid long").collect()[0] for _ in range(4)]
+    by_worker: dict[int, list[int]] = {}
+    for r in kept:
+        by_worker.setdefault(r.pid, []).append(r.kb)
+    again = [after[0] - before for before, *after in by_worker.values() if after]
+    assert again and max(again) < 100_000

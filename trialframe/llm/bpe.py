@@ -42,15 +42,27 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-class MergeReplay:
+class TokenBytes:
+    """The bytes of each id of a rank file, in one array."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        token_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            token_bytes[rank] = token
+        self.lengths = np.array([len(t) for t in token_bytes], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        self.blob = np.frombuffer(b"".join(token_bytes), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        return gather(self.blob, self.starts, self.lengths, ids).tobytes()
+
+
+class MergeReplay(TokenBytes):
     """Replays the merges of a rank file over many words at once."""
 
     def __init__(self, ranks: dict[bytes, int]):
+        super().__init__(ranks)
         self.ranks = ranks
-        size = max(ranks.values()) + 1
-        self.token_bytes: list[bytes] = [b""] * size
-        for token, rank in ranks.items():
-            self.token_bytes[rank] = token
         pairs: dict[int, int] = {}
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -61,9 +73,6 @@ class MergeReplay:
         self.pair_forms = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int32)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.byte_pairs = self.formed(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)).reshape(256, 256)
-        self.lengths = np.array([len(t) for t in self.token_bytes], dtype=np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        self.blob = np.frombuffer(b"".join(self.token_bytes), dtype=np.uint8)
 
     def formed(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The token that each pair forms, -1 where it forms none."""
@@ -167,9 +176,6 @@ class MergeReplay:
             ids, counts = np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
         return ids, counts
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return gather(self.blob, self.starts, self.lengths, ids).tobytes()
-
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
     """The runs ``flat[starts[w] : starts[w] + lengths[w]]`` for each ``w``, one after another."""
@@ -260,11 +266,11 @@ def decode_documents(encoded: DataFrame, ranks_path: str, *more: str) -> DataFra
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in (encoded.schema[c] for c in ("doc_id", *more)))
 
     def make():
-        replay = MergeReplay(load_ranks(ranks_path))
+        tokens = TokenBytes(load_ranks(ranks_path))
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for part in slices(batch, "ids"):
-                decoded = [replay.decode(np.frombuffer(x or b"", dtype="<u4")) for x in part.column("ids").to_pylist()]
+                decoded = [tokens.decode(np.frombuffer(x or b"", dtype="<u4")) for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", *more)), pa.array(decoded, pa.binary())],
                                                  names=["doc_id", *more, "decoded"])
         return step
