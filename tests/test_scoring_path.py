@@ -103,3 +103,18 @@ def test_run_log(spark, tmp_path):
         append_run(run_log_row(spark, f"r{i}", "m", {"depth": i}, {"f1": i / 10}, AT), str(tmp_path))
     rows = {r.run_id: r for r in spark.read.parquet(f"{tmp_path}/runs").collect()}
     assert len(rows) == 3 and rows["r2"].params == {"depth": "2"} and rows["r2"].metrics == {"f1": 0.2}
+
+
+def test_forest_keeps_node_ids_and_grows_the_same_trees(spark):
+    """Every level walked all trees from their roots for each row."""
+    from pyspark.ml.feature import VectorAssembler
+    rows = spark.range(0, 600, 1, 2).select(
+        (F.xxhash64("id") % 50).cast("double").alias("a"), (F.xxhash64("id", F.lit(1)) % 7).cast("double").alias("b"),
+        (F.xxhash64("id", F.lit(2)) % 300).cast("double").alias("c"), F.col("id"))
+    rows = rows.withColumn("label", (F.col("a") * F.col("b") + F.col("id") % 11 > 20).cast("double"))
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows).select("label", "features").cache()
+    forest = candidates(600)["random_forest"]()
+    assert forest.getCacheNodeIds()
+    kept, walked = (forest.copy({forest.cacheNodeIds: c}).fit(vectors).toDebugString.split("\n", 1)[1] for c in (True, False))
+    assert kept == walked
+    vectors.unpersist()
